@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import log_bin
+from ..functions import log_bin, outside_domain
 
 # Bins per factor of e. A coarse bin is 0.4 % wide; a fine one a 4096th of it.
 _COARSE = 256
@@ -17,10 +17,14 @@ _FINE = _COARSE * 4096
 def _bin_with_rank(counts: DataFrame, order: str) -> DataFrame:
     """Per key, keep the row whose ``n`` values hold the value ranked ``rank``.
 
-    ``rank`` then counts from the first value of that row.
+    ``rank`` then counts from the first value of that row. Without a rank column
+    it is the middle one.
     """
     ordered = Window.partitionBy("key").orderBy(order)
     upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if "rank" not in counts.columns:
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counts = counts.withColumn("rank", F.ceil(F.sum("n").over(whole) / 2))
     return (
         counts.withColumn("before", upto - F.col("n"))
         .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
@@ -51,33 +55,39 @@ def median_by_key(
     task ever sees more of a key than its bin counts, and copies of one value
     are combined before every shuffle.
 
-    With a closed ``domain`` only its keys and null are kept, so the chosen bins
-    are at most ``len(domain) + 1`` rows and are broadcast: ``df`` is then read
-    twice and the bulk of it never shuffled. Without one, the number of keys is
-    unknown, so distinct values are shuffled once and bins joined to them.
+    With a closed ``domain`` a key that is neither in it nor null fails the job,
+    so the chosen bins are at most ``len(domain) + 1`` rows and are broadcast:
+    ``df`` is then read twice and the bulk of it never shuffled. Without one the
+    number of keys is unknown, so distinct values are shuffled once and the bins
+    are joined to them.
 
     Keys without any non-null value are left out.
     """
     closed = domain is not None
-    rows = df.select(F.col(key).alias("key"), F.col(value).alias("value"))
-    rows = rows.where(F.col("value").isNotNull())
-    if closed:
-        rows = rows.where(F.col("key").isin(*domain) | F.col("key").isNull())
-    else:
-        rows = rows.groupBy("key", "value").agg(F.count("*").alias("n"))
-    size = F.count("*") if closed else F.sum("n")
-
-    coarse = rows.groupBy("key", log_bin(F.col("value"), _COARSE).alias("bin")).agg(size.alias("n"))
-    total = F.sum("n").over(Window.partitionBy("key"))
-    coarse = coarse.withColumn("rank", F.ceil(total / 2))
-
-    values = _in_bin(rows, _bin_with_rank(coarse, "bin"), _COARSE, closed)
+    rows = df.select(
+        (_within(key, domain) if closed else F.col(key)).alias("key"), F.col(value).alias("value")
+    )
+    # Null values have a null bin that counts 0 and so holds no rank.
+    size = F.count("value")
+    if not closed:
+        rows = rows.groupBy("key", "value").agg(size.alias("n"))
+        size = F.sum("n")
+
+    by_bin = rows.groupBy("key", log_bin(F.col("value"), _COARSE).alias("bin"))
+    chosen = _bin_with_rank(by_bin.agg(size.alias("n")), "bin")
+    values = _in_bin(rows, chosen, _COARSE, closed)
     if closed:
-        values = values.groupBy("key", "rank", "value").agg(F.count("*").alias("n"))
-    fine = values.groupBy("key", "rank", log_bin(F.col("value"), _FINE).alias("bin"))
-    chosen = _bin_with_rank(fine.agg(F.sum("n").alias("n")), "bin")
+        values = values.groupBy("key", "rank", "value").agg(size.alias("n"))
 
+    by_fine_bin = values.groupBy("key", "rank", log_bin(F.col("value"), _FINE).alias("bin"))
+    chosen = _bin_with_rank(by_fine_bin.agg(F.sum("n").alias("n")), "bin")
     finalists = _in_bin(values.drop("rank"), chosen, _FINE, closed)
     return _bin_with_rank(finalists, "value").select(
         F.col("key").alias(key), F.col("value").alias("median")
     )
+
+
+def _within(key: str, domain: Sequence[str]) -> Column:
+    """The key; fails the job on one that is outside the domain."""
+    error = F.concat(F.lit(f"{key} outside the given domain: "), F.col(key))
+    return F.when(outside_domain(key, domain), F.raise_error(error)).otherwise(F.col(key))

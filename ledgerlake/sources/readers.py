@@ -38,6 +38,16 @@ def read_transactions_csv(
     return reader.csv(path)
 
 
-def read_layer(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
-    """Read a stored layer."""
-    return spark.read.options(**_lenient(skip_unreadable)).parquet(path)
+def read_layer(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    skip_unreadable: bool = False,
+) -> DataFrame:
+    """Read a stored layer.
+
+    The schema comes from one file unless it is given, which it should be if
+    that file may be an unreadable one.
+    """
+    reader = spark.read.options(**_lenient(skip_unreadable))
+    return (reader.schema(schema) if schema else reader).parquet(path)
