@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 _LN_BOUND = 746
 
 
+def bin_span(per_e_fold: int) -> int:
+    """More than the difference of any two bins of :func:`log_bin`."""
+    return 4 * _LN_BOUND * per_e_fold + 4
+
+
 def log_bin(value: Column, per_e_fold: int) -> Column:
     """Map a double to a bigint that never decreases as the value grows.
 
     Each factor of e is cut into ``per_e_fold`` bins, so a bin spans a relative
-    width of about ``1 / per_e_fold`` whatever the scale of the data, and at
-    most ``4 * 746 * per_e_fold + 3`` bins exist. NaN sorts above infinity, as
-    in Spark's own ordering; null stays null.
+    width of about ``1 / per_e_fold`` whatever the scale of the data, and there
+    are fewer than ``bin_span(per_e_fold)`` bins. NaN sorts above infinity, as in
+    Spark's own ordering; null stays null.
     """
     limit = _LN_BOUND * per_e_fold
     # Clamped so that infinities keep a bin; shifted so that it is positive.

@@ -7,42 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import log_bin, outside_domain
+from ..functions import bin_span, log_bin
 
 # Bins per factor of e. A coarse bin is 0.4 % wide; a fine one a 4096th of it.
 _COARSE = 256
 _FINE = _COARSE * 4096
 
 
-def _bin_with_rank(counts: DataFrame, order: str) -> DataFrame:
-    """Per key, keep the row whose ``n`` values hold the value ranked ``rank``.
-
-    ``rank`` then counts from the first value of that row. Without a rank column
-    it is the middle one.
-    """
-    ordered = Window.partitionBy("key").orderBy(order)
-    upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if "rank" not in counts.columns:
-        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        counts = counts.withColumn("rank", F.ceil(F.sum("n").over(whole) / 2))
-    return (
-        counts.withColumn("before", upto - F.col("n"))
-        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        .withColumn("rank", F.col("rank") - F.col("before"))
-        .drop("before", "n")
-    )
-
-
-def _in_bin(rows: DataFrame, bins: DataFrame, per_e_fold: int, closed: bool) -> DataFrame:
-    """Rows of each key's chosen bin; they take over that bin's ``rank``."""
-    chosen = bins.select(F.col("key").alias("bin_key"), "bin", "rank")
-    match = F.col("key").eqNullSafe(F.col("bin_key")) & (
-        log_bin(F.col("value"), per_e_fold) == F.col("bin")
-    )
-    # One row per key of a closed domain; an open key set is left to the planner.
-    return rows.join(F.broadcast(chosen) if closed else chosen, match).drop("bin_key", "bin")
-
-
 def median_by_key(
     df: DataFrame, key: str, value: str, domain: Sequence[str] | None = None
 ) -> DataFrame:
@@ -63,31 +34,76 @@ def median_by_key(
 
     Keys without any non-null value are left out.
     """
-    closed = domain is not None
-    rows = df.select(
-        (_within(key, domain) if closed else F.col(key)).alias("key"), F.col(value).alias("value")
-    )
-    # Null values have a null bin that counts 0 and so holds no rank.
-    size = F.count("value")
-    if not closed:
-        rows = rows.groupBy("key", "value").agg(size.alias("n"))
-        size = F.sum("n")
-
-    by_bin = rows.groupBy("key", log_bin(F.col("value"), _COARSE).alias("bin"))
-    chosen = _bin_with_rank(by_bin.agg(size.alias("n")), "bin")
-    values = _in_bin(rows, chosen, _COARSE, closed)
-    if closed:
-        values = values.groupBy("key", "rank", "value").agg(size.alias("n"))
-
-    by_fine_bin = values.groupBy("key", "rank", log_bin(F.col("value"), _FINE).alias("bin"))
-    chosen = _bin_with_rank(by_fine_bin.agg(F.sum("n").alias("n")), "bin")
-    finalists = _in_bin(values.drop("rank"), chosen, _FINE, closed)
-    return _bin_with_rank(finalists, "value").select(
-        F.col("key").alias(key), F.col("value").alias("median")
-    )
+    if domain is None:
+        medians = _narrow_shuffled(df.select(F.col(key).alias("key"), F.col(value).alias("value")))
+        name = F.col("key")
+    else:
+        names = F.array(*(F.lit(each) for each in domain))
+        medians = _narrow_in_place(df.select(_place(key, names).alias("key"), F.col(value).alias("value")))
+        name = F.when(F.col("key") > 0, F.element_at(names, F.col("key").cast("int")))
+    return medians.select(name.alias(key), F.col("value").alias("median"))
+
+
+def _place(key: str, names: Column) -> Column:
+    """The key's place among the names, 0 for null; fails the job on another key."""
+    place = F.array_position(names, F.col(key))
+    error = F.concat(F.lit(f"{key} outside the given domain: "), F.col(key))
+    return F.when(place == 0, F.raise_error(error)).otherwise(F.coalesce(place, F.lit(0)))
 
 
-def _within(key: str, domain: Sequence[str]) -> Column:
-    """The key; fails the job on one that is outside the domain."""
-    error = F.concat(F.lit(f"{key} outside the given domain: "), F.col(key))
-    return F.when(outside_domain(key, domain), F.raise_error(error)).otherwise(F.col(key))
+def _narrow_in_place(rows: DataFrame) -> DataFrame:
+    """For few keys, numbered from 0: read the rows twice, broadcast the bins."""
+
+    def cell(per_e_fold: int) -> Column:
+        # Belongs to one key only, so rows are matched by a single number.
+        return F.col("key") * bin_span(per_e_fold) + log_bin(F.col("value"), per_e_fold)
+
+    def in_chosen(rows: DataFrame, chosen: DataFrame, per_e_fold: int) -> DataFrame:
+        chosen = F.broadcast(chosen.select("cell", "rank"))
+        return rows.join(chosen, cell(per_e_fold) == F.col("cell")).drop("cell")
+
+    coarse = rows.groupBy("key", cell(_COARSE).alias("cell")).agg(F.count("value").alias("n"))
+    rows = in_chosen(rows, _holding_rank(coarse, "cell"), _COARSE)
+    values = rows.groupBy("key", "rank", "value").agg(F.count("value").alias("n"))
+
+    fine = values.groupBy("key", "rank", cell(_FINE).alias("cell")).agg(F.sum("n").alias("n"))
+    values = in_chosen(values.drop("rank"), _holding_rank(fine, "cell"), _FINE)
+    return _holding_rank(values, "value")
+
+
+def _narrow_shuffled(rows: DataFrame) -> DataFrame:
+    """For any number of keys: reduce to distinct values, join the bins to them."""
+
+    def in_chosen(values: DataFrame, chosen: DataFrame, per_e_fold: int) -> DataFrame:
+        chosen = chosen.select(F.col("key").alias("of_key"), "cell", "rank")
+        same_cell = log_bin(F.col("value"), per_e_fold) == F.col("cell")
+        match = F.col("key").eqNullSafe(F.col("of_key")) & same_cell
+        return values.join(chosen, match).drop("of_key", "cell")
+
+    values = rows.groupBy("key", "value").agg(F.count("value").alias("n"))
+    for per_e_fold in (_COARSE, _FINE):
+        keys = [name for name in values.columns if name in ("key", "rank")]
+        cells = values.groupBy(*keys, log_bin(F.col("value"), per_e_fold).alias("cell"))
+        chosen = _holding_rank(cells.agg(F.sum("n").alias("n")), "cell")
+        values = in_chosen(values.drop("rank"), chosen, per_e_fold)
+    return _holding_rank(values, "value")
+
+
+def _holding_rank(counts: DataFrame, order: str) -> DataFrame:
+    """Per key, keep the row whose ``n`` values hold the value ranked ``rank``.
+
+    ``rank`` then counts from the first value of that row. Without a rank column
+    it is the middle one. Null values have a null bin that counts 0 and so holds
+    no rank.
+    """
+    ordered = Window.partitionBy("key").orderBy(order)
+    upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if "rank" not in counts.columns:
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counts = counts.withColumn("rank", F.ceil(F.sum("n").over(whole) / 2))
+    return (
+        counts.withColumn("before", upto - F.col("n"))
+        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
+        .withColumn("rank", F.col("rank") - F.col("before"))
+        .drop("before", "n")
+    )
