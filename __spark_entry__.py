@@ -38,6 +38,15 @@ def type_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.type_metrics(_silver(spark, sf_dir), domain=TRANSACTION_TYPES)
 
 
+def type_metrics_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The sketch keeps every value of a type up to about half its accuracy.
+    return op.type_metrics(_silver(spark, sf_dir), "approx", accuracy=1_000_000)
+
+
+def type_metrics_open_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.type_metrics(dirty_transactions(spark, sf_dir))
+
+
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _silver(spark, sf_dir).groupBy("type").agg(F.count("*").alias("transaction_count"))
     return op.share_of_total(counts)
@@ -64,6 +73,11 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
 
 
+def silver_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = op.clean(transactions(spark, sf_dir), keep_flags=True)
+    return flagged.select("txn_id", "type", "amount", "balance_check")
+
+
 def duplicate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.duplicate_report(transactions(spark, sf_dir))
 
@@ -133,12 +147,15 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     registered = (
         type_metrics,
+        type_metrics_sketch,
+        type_metrics_open_domain,
         share_of_total,
         median_by_type,
         median_by_open_key,
         balance_flags,
         balance_discrepancies,
         silver_clean,
+        silver_flagged,
         duplicate_report,
         invalid_type_report,
         quarantine_split,
@@ -202,9 +219,10 @@ _SILVER = (
 )"""
 )
 
-_METRICS = (
-    _SILVER
-    + """, metrics AS (
+
+
+def _metrics_of(table: str) -> str:
+    return f""", metrics AS (
   SELECT type,
          count(*) AS transaction_count,
          round(avg(amount / 1000), 2) AS avg_amount_k,
@@ -217,9 +235,11 @@ _METRICS = (
          round(sum(amount) / nullif(sum(oldbalanceOrg), 0), 4) AS volume_to_balance_ratio,
          round(avg(CASE WHEN amount > 10000 THEN 1 ELSE 0 END) * 100, 2) AS large_txn_ratio_pct,
          round(count(*) / sum(count(*)) OVER () * 100, 2) AS percentage_of_total
-  FROM silver GROUP BY type
+  FROM {table} GROUP BY type
 )"""
-)
+
+
+_METRICS = _SILVER + _metrics_of("silver")
 
 _DOMAIN = "('PAYMENT', 'TRANSFER', 'CASH_OUT', 'CASH_IN', 'DEBIT')"
 _DRIFT = "abs(oldbalanceOrg - amount - newbalanceOrig)"
@@ -259,6 +279,8 @@ def oracle_sql() -> dict[str, str]:
     null_counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in contract)
     return {
         "type_metrics": metrics,
+        "type_metrics_sketch": metrics,
+        "type_metrics_open_domain": _DIRTY + _metrics_of("dirty") + " SELECT * FROM metrics",
         "share_of_total": _METRICS + " SELECT type, transaction_count, percentage_of_total FROM metrics",
         "median_by_type": _SILVER
         + " SELECT type, quantile_disc(amount, 0.5) AS median FROM silver GROUP BY type",
@@ -271,6 +293,9 @@ def oracle_sql() -> dict[str, str]:
                FROM (SELECT type, {_LABEL} AS balance_check FROM txn)
                WHERE balance_check <> 'valid' GROUP BY type, balance_check""",
         "silver_clean": _SILVER + " SELECT * FROM silver",
+        "silver_flagged": _TXN
+        + f""" SELECT txn_id, type, coalesce(amount, 0) AS amount, {_LABEL} AS balance_check
+               FROM (SELECT DISTINCT * FROM txn)""",
         "duplicate_report": _TXN
         + """ SELECT total_rows, distinct_rows, total_rows - distinct_rows AS duplicate_rows
               FROM (SELECT count(*) AS total_rows FROM txn),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,6 @@ from ..operators import (
     assert_columns,
     assert_domain,
     clean,
-    run_expectations,
     type_metrics,
 )
 from ..sources import layer_path, new_run_id, read_layer, read_transactions_csv, write_layer
@@ -61,14 +60,22 @@ class MedallionRun:
         }
 
 
-def layer_checks() -> dict[str, Column]:
+def layer_checks(suite: Sequence[Expectation] = ()) -> dict[str, Column]:
     """Aggregates the clean layer needs to know about its input.
 
-    The number of rows outside the domain, and of rows per broken fee rule.
+    The number of rows outside the domain, of rows per broken fee rule, and of
+    unexpected cells per expectation of the suite.
     """
     label = balance_label()
-    flagged = {rule.label: F.count_if(label == rule.label) for rule in FEE_RULES}
-    return {"invalid_types": F.count_if(outside_domain()), **flagged}
+    return {
+        "invalid_types": F.count_if(outside_domain()),
+        **{rule.label: F.count_if(label == rule.label) for rule in FEE_RULES},
+        **{_check_name(i, e): e.unexpected_count() for i, e in enumerate(suite)},
+    }
+
+
+def _check_name(i: int, expectation: Expectation) -> str:
+    return f"expectation {i}: {expectation.column} {expectation.name}"
 
 
 def _write(layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None) -> LayerRun:
@@ -79,43 +86,49 @@ def _write(layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] |
 
 
 def ingest_layer(
-    spark: SparkSession, source: str, target: str, strict_header: bool = False
+    spark: SparkSession,
+    source: str,
+    target: str,
+    suite: Sequence[Expectation] = (),
+    strict_header: bool = False,
 ) -> LayerRun:
     """CSV under the contract -> Parquet. Takes the layer checks on the way."""
     df = read_transactions_csv(spark, source, strict_header=strict_header)
-    return _write("bronze", df, target, layer_checks())
+    return _write("bronze", df, target, layer_checks(suite))
 
 
 def clean_layer(
     spark: SparkSession,
     source: str,
     target: str,
-    checked: LayerRun | None = None,
     suite: Sequence[Expectation] = (),
+    checked: LayerRun | None = None,
 ) -> LayerRun:
     """Gate, de-duplicate and fill a Parquet layer.
 
-    Raises :class:`InvalidTypeError`, writing nothing, if a type is outside the
-    domain, and ``ValueError`` if an expectation of ``suite`` fails. The checks
-    come from ``checked``, the run that wrote ``source``; without it, from one
-    scan of the four columns they need. They are kept in the result, as they
-    include the rows per broken fee rule.
+    Raises :class:`InvalidTypeError` if a type is outside the domain and
+    ``ValueError`` if an expectation of ``suite`` fails; nothing is written then.
+
+    The checks come from ``checked``, the ingest of ``source`` with the same
+    suite; without it, from one scan of the columns they need. They stay in the
+    result, as they include the rows per broken fee rule.
     """
     df = assert_columns(read_layer(spark, source))
     if checked is None:
-        counts = {"rows": F.count(F.lit(1)), **layer_checks()}
+        counts = {"rows": F.count(F.lit(1)), **layer_checks(suite)}
         seen = df.agg(*(c.alias(name) for name, c in counts.items())).first().asDict()
         checked = LayerRun("bronze", source, seen.pop("rows"), seen)
+
     if checked.checks["invalid_types"]:
         assert_domain(df)
-    if suite:
-        failed = run_expectations(df, suite).where(~F.col("success")).collect()
-        if failed:
-            names = ", ".join(f"{r['column']} {r['expectation']}" for r in failed)
-            raise ValueError(f"expectations failed: {names}")
+    names = [_check_name(i, e) for i, e in enumerate(suite)]
+    failed = [f"{name} ({checked.checks[name]} cells)" for name in names if checked.checks[name]]
+    if failed:
+        raise ValueError(f"expectations failed: {', '.join(failed)}")
+
     with sized_shuffle(spark, checked.rows):
         written = _write("silver", clean(df), target)
-    return LayerRun(written.layer, target, written.rows, checked.checks)
+    return replace(written, checks=checked.checks)
 
 
 def metrics_layer(
@@ -123,11 +136,19 @@ def metrics_layer(
     source: str,
     target: str,
     median: str = "exact",
-    domain: Sequence[str] | None = None,
+    cleaned: LayerRun | None = None,
 ) -> LayerRun:
-    """Metrics per type of a cleaned Parquet layer."""
+    """Metrics per type of a cleaned Parquet layer.
+
+    ``cleaned``, the run that wrote ``source``, tells that its types are inside
+    the domain and how many rows to size the median's shuffle for.
+    """
     df = read_layer(spark, source)
-    return _write("gold", type_metrics(df, median=median, domain=domain), target)
+    if cleaned is None:
+        return _write("gold", type_metrics(df, median), target)
+    # Two narrow columns of the rows around the medians.
+    with sized_shuffle(spark, cleaned.rows // 16):
+        return _write("gold", type_metrics(df, median, TRANSACTION_TYPES), target)
 
 
 def run_medallion(
@@ -148,7 +169,7 @@ def run_medallion(
     run_id = run_id or new_run_id()
     path = {layer: layer_path(base, layer, run_id) for layer in ("bronze", "silver", "gold")}
 
-    bronze = ingest_layer(spark, source, path["bronze"], strict_header)
-    silver = clean_layer(spark, bronze.path, path["silver"], bronze, suite)
-    gold = metrics_layer(spark, silver.path, path["gold"], median, TRANSACTION_TYPES)
+    bronze = ingest_layer(spark, source, path["bronze"], suite, strict_header)
+    silver = clean_layer(spark, bronze.path, path["silver"], suite, checked=bronze)
+    gold = metrics_layer(spark, silver.path, path["gold"], median, cleaned=silver)
     return MedallionRun(bronze, silver, gold, started, datetime.now() - started)

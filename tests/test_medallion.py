@@ -61,9 +61,16 @@ def test_invalid_type_stops_the_run_before_silver(spark, source, tmp_path):
 
 def test_suite_can_gate_the_clean_layer(spark, source, tmp_path):
     path = source(GOOD, GOOD.replace("9839.64", "-1.0"))
-    plans.run_medallion(spark, path, str(tmp_path / "lenient"))
-    with pytest.raises(ValueError, match="amount between"):
+    run = plans.run_medallion(spark, path, str(tmp_path / "lenient"))
+    with pytest.raises(ValueError, match=r"amount between \(1 cells\)"):
         plans.run_medallion(spark, path, str(tmp_path / "strict"), suite=op.TRANSACTION_EXPECTATIONS)
+    assert not (tmp_path / "strict" / "silver").exists()
+    target = str(tmp_path / "silver")
+    with pytest.raises(ValueError, match="amount between"):
+        plans.clean_layer(spark, run.bronze.path, target, op.TRANSACTION_EXPECTATIONS)
+    plans.clean_layer(spark, run.bronze.path, target, [op.not_null("amount")])
+    good = plans.run_medallion(spark, source(GOOD), str(tmp_path / "ok"), suite=op.TRANSACTION_EXPECTATIONS)
+    assert good.silver.rows == 1
 
 
 def test_header_only_input(spark, source, tmp_path):
@@ -78,8 +85,8 @@ def test_invariants_on_the_derived_tables(spark, tmp_path):
     gold = spark.read.parquet(run.gold.path).collect()
     assert sum(r.transaction_count for r in gold) == run.silver.rows == 1515
     assert abs(sum(r.percentage_of_total for r in gold) - 100) < 0.1
-    flagged = {k: v for k, v in run.silver.checks.items() if k != "invalid_types"}
-    assert flagged == {
+    assert run.silver.checks == {
+        "invalid_types": 0,
         "payment_fee_exceeded": 213,
         "transfer_fee_exceeded": 122,
         "cashout_fee_exceeded": 80,
@@ -129,14 +136,15 @@ def test_scratch_is_in_the_shared_folder_the_session_names(tmp_path):
 
 
 def test_a_run_is_three_actions(tmp_path, source):
-    """Counted in Spark's event log: one SQL execution per layer."""
+    """Counted in Spark's event log: one SQL execution per layer, checks included."""
     logs = tmp_path / "events"
     logs.mkdir()
     path = source(GOOD, GOOD)
     run_script(
         f"""
 from ledgerlake.plans import run_medallion
-run_medallion(spark, {path!r}, {str(tmp_path / "lake")!r})
+from ledgerlake.operators import TRANSACTION_EXPECTATIONS
+run_medallion(spark, {path!r}, {str(tmp_path / "lake")!r}, suite=TRANSACTION_EXPECTATIONS)
 """,
         **{
             "spark.eventLog.enabled": "true",
