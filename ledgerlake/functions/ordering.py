@@ -32,3 +32,12 @@ def log_bin(value: Column, per_e_fold: int) -> Column:
         .when(value < 0, -shifted.cast("bigint"))
         .when(value == 0, F.lit(0).cast("bigint"))
     )
+
+
+def linear_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """Cut ``[low, high]`` evenly; a bigint in ``0..bins`` that never decreases.
+
+    For values of one sign between the bounds; equal bounds give bin 0.
+    """
+    share = F.try_divide(value - low, high - low)
+    return F.coalesce(F.floor(share * bins), F.lit(0))

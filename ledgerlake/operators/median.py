@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import bin_span, log_bin
+from ..functions import bin_span, linear_bin, log_bin
 
-# Bins per factor of e. A coarse bin is 0.4 % wide; a fine one a 4096th of it.
-_COARSE = 256
-_FINE = _COARSE * 4096
+# A coarse bin is 1/256 wide, relative to its values; it is cut into fine bins.
+_COARSE_PER_E_FOLD = 256
+_FINE = 65_536
 
 
 def median_by_key(
@@ -22,9 +22,10 @@ def median_by_key(
     The median is an actual value, the smallest one with at least half of the
     key's non-null values at or below it. It is found by narrowing: count the
     values per coarse bin, keep only the bin that holds the middle rank, count
-    the distinct values in there, and narrow once more before ranking them. No
-    task ever sees more of a key than its bin counts, and copies of one value
-    are combined before every shuffle.
+    the distinct values in there, cut the range they span into fine bins, and
+    rank only the values of the bin that holds the middle. A single task orders
+    a key's bins, whose number is fixed, and the distinct values of one fine
+    bin. Copies of a value are combined before every shuffle.
 
     With a closed ``domain`` a key that is neither in it nor null fails the job,
     so the chosen bins are at most ``len(domain) + 1`` rows and are broadcast:
@@ -34,14 +35,44 @@ def median_by_key(
 
     Keys without any non-null value are left out.
     """
-    if domain is None:
-        medians = _narrow_shuffled(df.select(F.col(key).alias("key"), F.col(value).alias("value")))
-        name = F.col("key")
-    else:
-        names = F.array(*(F.lit(each) for each in domain))
-        medians = _narrow_in_place(df.select(_place(key, names).alias("key"), F.col(value).alias("value")))
-        name = F.when(F.col("key") > 0, F.element_at(names, F.col("key").cast("int")))
-    return medians.select(name.alias(key), F.col("value").alias("median"))
+    closed = domain is not None
+    names = F.array(*(F.lit(name) for name in domain)) if closed else None
+    rows = df.select(
+        (_place(key, names) if closed else F.col(key)).alias("key"),
+        F.col(value).alias("value"),
+        F.col(value).isNotNull().cast("bigint").alias("n"),
+    )
+    if not closed:
+        rows = _sum_counts(rows, "key", "value")
+
+    def in_chosen(rows: DataFrame, chosen: DataFrame, bin: Column, span: int) -> DataFrame:
+        """Rows of each key's chosen bin, which they take their rank from."""
+        if closed:
+            # Places are numbers, so place and bin match as one number.
+            chosen = F.broadcast(chosen.withColumn("chosen", F.col("key") * span + F.col("bin")))
+            match = F.col("key") * span + bin == F.col("chosen")
+            return rows.join(chosen.drop("key", "bin"), match).drop("chosen")
+        chosen = chosen.withColumnsRenamed({"key": "of_key", "bin": "chosen"})
+        match = F.col("key").eqNullSafe(F.col("of_key")) & (bin == F.col("chosen"))
+        return rows.join(chosen, match).drop("of_key", "chosen")
+
+    coarse_bin = log_bin(F.col("value"), _COARSE_PER_E_FOLD)
+    coarse = rows.groupBy("key", coarse_bin.alias("bin")).agg(
+        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    middle = F.ceil(F.sum("n").over(Window.partitionBy("key")) / 2)
+    chosen = _holding_rank(coarse.withColumn("rank", middle), "bin")
+    near = in_chosen(rows, chosen, coarse_bin, bin_span(_COARSE_PER_E_FOLD))
+    if closed:
+        of_key = (F.any_value(name).alias(name) for name in ("rank", "low", "high"))
+        near = near.groupBy("key", "value").agg(F.sum("n").alias("n"), *of_key)
+
+    fine_bin = linear_bin(F.col("value"), F.col("low"), F.col("high"), _FINE)
+    fine = _sum_counts(near.withColumn("bin", fine_bin), "key", "rank", "bin")
+    nearest = in_chosen(near.drop("rank"), _holding_rank(fine, "bin"), fine_bin, _FINE + 1)
+
+    name = F.when(F.col("key") > 0, F.element_at(names, F.col("key").cast("int"))) if closed else F.col("key")
+    return _holding_rank(nearest, "value").select(name.alias(key), F.col("value").alias("median"))
 
 
 def _place(key: str, names: Column) -> Column:
@@ -51,59 +82,19 @@ def _place(key: str, names: Column) -> Column:
     return F.when(place == 0, F.raise_error(error)).otherwise(F.coalesce(place, F.lit(0)))
 
 
-def _narrow_in_place(rows: DataFrame) -> DataFrame:
-    """For few keys, numbered from 0: read the rows twice, broadcast the bins."""
-
-    def cell(per_e_fold: int) -> Column:
-        # Belongs to one key only, so rows are matched by a single number.
-        return F.col("key") * bin_span(per_e_fold) + log_bin(F.col("value"), per_e_fold)
-
-    def in_chosen(rows: DataFrame, chosen: DataFrame, per_e_fold: int) -> DataFrame:
-        chosen = F.broadcast(chosen.select("cell", "rank"))
-        return rows.join(chosen, cell(per_e_fold) == F.col("cell")).drop("cell")
-
-    coarse = rows.groupBy("key", cell(_COARSE).alias("cell")).agg(F.count("value").alias("n"))
-    rows = in_chosen(rows, _holding_rank(coarse, "cell"), _COARSE)
-    values = rows.groupBy("key", "rank", "value").agg(F.count("value").alias("n"))
-
-    fine = values.groupBy("key", "rank", cell(_FINE).alias("cell")).agg(F.sum("n").alias("n"))
-    values = in_chosen(values.drop("rank"), _holding_rank(fine, "cell"), _FINE)
-    return _holding_rank(values, "value")
-
-
-def _narrow_shuffled(rows: DataFrame) -> DataFrame:
-    """For any number of keys: reduce to distinct values, join the bins to them."""
-
-    def in_chosen(values: DataFrame, chosen: DataFrame, per_e_fold: int) -> DataFrame:
-        chosen = chosen.select(F.col("key").alias("of_key"), "cell", "rank")
-        same_cell = log_bin(F.col("value"), per_e_fold) == F.col("cell")
-        match = F.col("key").eqNullSafe(F.col("of_key")) & same_cell
-        return values.join(chosen, match).drop("of_key", "cell")
-
-    values = rows.groupBy("key", "value").agg(F.count("value").alias("n"))
-    for per_e_fold in (_COARSE, _FINE):
-        keys = [name for name in values.columns if name in ("key", "rank")]
-        cells = values.groupBy(*keys, log_bin(F.col("value"), per_e_fold).alias("cell"))
-        chosen = _holding_rank(cells.agg(F.sum("n").alias("n")), "cell")
-        values = in_chosen(values.drop("rank"), chosen, per_e_fold)
-    return _holding_rank(values, "value")
+def _sum_counts(counts: DataFrame, *keys: str) -> DataFrame:
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def _holding_rank(counts: DataFrame, order: str) -> DataFrame:
     """Per key, keep the row whose ``n`` values hold the value ranked ``rank``.
 
-    ``rank`` then counts from the first value of that row. Without a rank column
-    it is the middle one. Null values have a null bin that counts 0 and so holds
-    no rank.
+    ``rank`` then counts from the first value of that row. Null values count 0,
+    so their row holds no rank.
     """
     ordered = Window.partitionBy("key").orderBy(order)
     upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if "rank" not in counts.columns:
-        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        counts = counts.withColumn("rank", F.ceil(F.sum("n").over(whole) / 2))
-    return (
-        counts.withColumn("before", upto - F.col("n"))
-        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        .withColumn("rank", F.col("rank") - F.col("before"))
-        .drop("before", "n")
-    )
+    rank, before = F.col("rank"), F.col("before")
+    held = counts.withColumn("before", upto - F.col("n"))
+    held = held.where((rank > before) & (rank <= before + F.col("n")))
+    return held.withColumn("rank", rank - before).drop("before", "n")
