@@ -13,13 +13,13 @@ from .plans import run_medallion
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="ledgerlake", description="Ingest, clean and summarise transactions.")
+    parser = argparse.ArgumentParser("ledgerlake", description="Ingest, clean and summarise.")
     parser.add_argument("source", help="CSV file or folder, any file system Spark can read")
     parser.add_argument("base", help="folder that receives <layer>/run_id=<run id>")
     parser.add_argument("--run-id", help="repeat one to replace its output (default: start time)")
     parser.add_argument("--median", choices=("exact", "approx"), default="exact")
-    parser.add_argument("--expect", action="store_true", help="fail unless the expectation suite passes")
-    parser.add_argument("--strict-header", action="store_true", help="fail on an unexpected CSV header")
+    parser.add_argument("--expect", action="store_true", help="fail unless the suite passes")
+    parser.add_argument("--strict-header", action="store_true", help="fail on another header")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")

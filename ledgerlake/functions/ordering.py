@@ -24,8 +24,8 @@ def log_bin(value: Column, per_e_fold: int) -> Column:
     """
     limit = _LN_BOUND * per_e_fold
     # Clamped so that infinities keep a bin; shifted so that it is positive.
-    magnitude = F.least(F.floor(F.ln(F.abs(value)) * per_e_fold).cast("double"), F.lit(float(limit)))
-    shifted = magnitude + F.lit(float(limit + 1))
+    magnitude = F.floor(F.ln(F.abs(value)) * per_e_fold).cast("double")
+    shifted = F.least(magnitude, F.lit(float(limit))) + F.lit(float(limit + 1))
     return (
         F.when(F.isnan(value), F.lit(2 * limit + 2).cast("bigint"))
         .when(value > 0, shifted.cast("bigint"))

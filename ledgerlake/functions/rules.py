@@ -28,6 +28,6 @@ def balance_label(rules: Sequence[FeeRule] = FEE_RULES) -> Column:
     """
     label = F.lit(VALID_LABEL)
     for rule in reversed(rules):
-        broken = (F.col("type") == rule.type) & (balance_drift() > F.col("amount") * F.lit(rule.rate))
-        label = F.when(broken, rule.label).otherwise(label)
+        exceeded = balance_drift() > F.col("amount") * F.lit(rule.rate)
+        label = F.when((F.col("type") == rule.type) & exceeded, rule.label).otherwise(label)
     return label

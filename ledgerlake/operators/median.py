@@ -71,7 +71,9 @@ def median_by_key(
     fine = _sum_counts(near.withColumn("bin", fine_bin), "key", "rank", "bin")
     nearest = in_chosen(near.drop("rank"), _holding_rank(fine, "bin"), fine_bin, _FINE + 1)
 
-    name = F.when(F.col("key") > 0, F.element_at(names, F.col("key").cast("int"))) if closed else F.col("key")
+    name = F.col("key")
+    if closed:
+        name = F.when(name > 0, F.element_at(names, name.cast("int")))
     return _holding_rank(nearest, "value").select(name.alias(key), F.col("value").alias("median"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import LARGE_AMOUNT, METRIC_COLUMNS, SKETCH_ACCURACY
@@ -12,12 +12,16 @@ from .gate import assert_columns
 from .median import median_by_key
 
 
-def share_of_total(counts: DataFrame, count: str = "transaction_count") -> DataFrame:
+def share_of_total(
+    counts: DataFrame, count: str = "transaction_count", total: Column | None = None
+) -> DataFrame:
     """Add ``percentage_of_total`` to a table that has one row per group.
 
-    The window spans the groups, not the rows they were counted from.
+    Without a ``total`` it is summed by a window, which brings the groups (not
+    the rows they were counted from) to one task: right for a closed domain.
     """
-    total = F.sum(count).over(Window.partitionBy())
+    if total is None:
+        total = F.sum(count).over(Window.partitionBy())
     return counts.withColumn("percentage_of_total", F.round(F.col(count) / total * 100, 2))
 
 
@@ -36,8 +40,9 @@ def type_metrics(
     :func:`median_by_key`) is the better plan although it reads ``type`` and
     ``amount`` again.
 
-    Give ``domain`` if ``df`` has passed the gate for it; the exact median then
-    needs no shuffle of the table, and fails on a type outside the domain.
+    Give ``domain`` if ``df`` has passed the gate for it. The exact median then
+    needs no shuffle of the table, and fails on a type outside the domain; the
+    total is taken from the groups instead of a second count of the rows.
     """
     if median not in ("exact", "approx"):
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
@@ -70,5 +75,7 @@ def type_metrics(
         metrics = metrics.join(medians, same_type, "left")
 
     metrics = metrics.withColumn("median_amount_k", F.round(F.col("median") / 1000, 2))
-    return share_of_total(metrics).select(*METRIC_COLUMNS)
+    # Any number of types may occur without a domain: count rows in a subquery.
+    total = None if domain is not None else df.agg(F.count("*")).scalar()
+    return share_of_total(metrics, total=total).select(*METRIC_COLUMNS)
 

@@ -18,10 +18,11 @@ def distinct_types(df: DataFrame) -> DataFrame:
 
 def quarantine_counts(df: DataFrame, domain: Sequence[str] = TRANSACTION_TYPES) -> DataFrame:
     """One row: all rows, rows that pass the gate, rows to quarantine."""
-    return df.agg(
+    counts = df.agg(
         F.count("*").alias("total_rows"),
         F.count_if(outside_domain(domain=domain)).alias("quarantined_rows"),
-    ).select("total_rows", (F.col("total_rows") - F.col("quarantined_rows")).alias("passing_rows"), "quarantined_rows")
+    )
+    return counts.withColumn("passing_rows", F.col("total_rows") - F.col("quarantined_rows"))
 
 
 def ingest_profile(df: DataFrame) -> DataFrame:

@@ -78,7 +78,9 @@ def _check_name(i: int, expectation: Expectation) -> str:
     return f"expectation {i}: {expectation.column} {expectation.name}"
 
 
-def _write(layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None) -> LayerRun:
+def _write(
+    layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None
+) -> LayerRun:
     seen = write_layer(df, path, checks)
     run = LayerRun(layer, path, seen.pop("rows"), seen)
     log.info("%s: %d rows -> %s", layer, run.rows, path)

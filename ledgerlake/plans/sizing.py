@@ -29,7 +29,8 @@ def sized_shuffle(spark: SparkSession, rows: int) -> Iterator[None]:
     """
     needed = shuffle_partitions(rows)
     saved = {name: spark.conf.get(name, None) for name in (_PARTITIONS, _INITIAL)}
-    raised = [name for name, value in saved.items() if value is not None and int(value) < needed]
+    numeric = {name: int(value) for name, value in saved.items() if (value or "").isdigit()}
+    raised = [name for name, value in numeric.items() if value < needed]
     for name in raised:
         spark.conf.set(name, needed)
     try:

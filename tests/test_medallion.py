@@ -1,4 +1,5 @@
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -117,7 +118,7 @@ def run_script(body, **conf):
     conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", **conf}
     script = f"""
 from pyspark.sql import SparkSession
-builder = SparkSession.builder.master("local[2]")
+builder = SparkSession.builder.master("local[2, 3]")  # a task may fail twice
 for name, value in {conf!r}.items():
     builder = builder.config(name, value)
 spark = builder.getOrCreate()
@@ -135,6 +136,38 @@ def test_scratch_is_in_the_shared_folder_the_session_names(tmp_path):
     assert printed.startswith(f"{tmp_path}/ledgerlake/x-")
 
 
+def test_counts_are_exact_when_tasks_fail_and_run_again(tmp_path):
+    body = f"""
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+from ledgerlake.sources import write_layer
+
+def flaky(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost after all rows were passed on")
+
+df = spark.range(0, 1000, 1, 4).mapInPandas(flaky, "id bigint")
+seen = write_layer(df, {str(tmp_path / "out")!r}, {{"even": F.count_if(F.col("id") % 2 == 0)}})
+print(seen["rows"], seen["even"], spark.read.parquet({str(tmp_path / "out")!r}).count())
+"""
+    assert run_script(body).split() == ["1000", "500", "1000"]
+
+
+def test_command_line(tmp_path, source):
+    command = [sys.executable, "-m", "ledgerlake", source(GOOD), str(tmp_path / "lake")]
+    command += ["--run-id", "r1", "--expect", "--strict-header", "--median", "approx"]
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false pyspark-shell"}
+    done = subprocess.run(
+        command, cwd=REPO, check=True, capture_output=True, timeout=300, text=True, env=env
+    )
+    assert "SparkUI" not in done.stderr
+    summary = json.loads(done.stdout)
+    assert summary["gold_path"] == f"{tmp_path}/lake/gold/run_id=r1"
+    assert list(Path(summary["gold_path"]).glob("*.parquet"))
+
+
 def test_a_run_is_three_actions(tmp_path, source):
     """Counted in Spark's event log: one SQL execution per layer, checks included."""
     logs = tmp_path / "events"
