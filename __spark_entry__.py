@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from ledgerlake import operators as op  # noqa: E402
 from ledgerlake.contracts import TRANSACTION_TYPES  # noqa: E402
 from ledgerlake.plans import run_medallion  # noqa: E402
-from ledgerlake.sources import read_layer, read_transactions_csv  # noqa: E402
+from ledgerlake.sources import read_layer, read_transactions_csv, write_layer  # noqa: E402
 from ledgerlake.testtables import (  # noqa: E402
     dirty_transactions,
     scratch_path,
@@ -34,8 +34,19 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.clean(transactions(spark, sf_dir))
 
 
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Store an input that is read more than once, as the pipeline does.
+
+    Exchanges would be reused, but the wide de-duplication behind one would be
+    finished again by every branch that reads it.
+    """
+    path = scratch_path(spark, "layer")
+    write_layer(df, path)
+    return read_layer(spark, path)
+
+
 def type_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.type_metrics(_silver(spark, sf_dir), domain=TRANSACTION_TYPES)
+    return op.type_metrics(_stored(spark, _silver(spark, sf_dir)), domain=TRANSACTION_TYPES)
 
 
 def type_metrics_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +55,7 @@ def type_metrics_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_metrics_open_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.type_metrics(dirty_transactions(spark, sf_dir))
+    return op.type_metrics(_stored(spark, dirty_transactions(spark, sf_dir)))
 
 
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +64,8 @@ def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def median_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.median_by_key(_silver(spark, sf_dir), "type", "amount", TRANSACTION_TYPES)
+    silver = _stored(spark, _silver(spark, sf_dir))
+    return op.median_by_key(silver, "type", "amount", TRANSACTION_TYPES)
 
 
 def median_by_open_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,8 @@ def type_metrics(
     :func:`median_by_key`) is the better plan although it reads ``type`` and
     ``amount`` again.
 
+    The exact median reads ``df`` again, so store it first if it is expensive.
+
     Give ``domain`` if ``df`` has passed the gate for it. The exact median then
     needs no shuffle of the table, and fails on a type outside the domain; the
     total is taken from the groups instead of a second count of the rows.

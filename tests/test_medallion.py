@@ -1,5 +1,6 @@
 import json
 import os
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -113,6 +114,13 @@ def test_shuffle_size_grows_with_rows_and_is_restored(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_shuffle_size_reaches_the_plan(spark):
+    with plans.sized_shuffle(spark, 20 * 8_000_000):
+        df = spark.createDataFrame([(1,)], "n int").distinct()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(n#\d+, 20\)", plan)
+
+
 def run_script(body, **conf):
     """Run ``body`` on a fresh session with ``conf``; return what it prints."""
     conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", **conf}
