@@ -1,6 +1,8 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from ledgerlake import operators as op
 
@@ -80,3 +82,21 @@ def test_copies_combine_before_the_shuffle(frame):
     exchange = plan.index("Exchange hashpartitioning")
     assert plan.count("Exchange") == 1
     assert "HashAggregate" in plan[:exchange] and "HashAggregate" in plan[exchange:]
+
+
+def test_against_brute_force(frame):
+    cells = st.sampled_from([None, NAN, 0.0, -0.0, 1.5])
+    types = st.sampled_from([None, "DEBIT", "PAYMENT"])
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(types, cells, cells, cells), min_size=1, max_size=300))
+    def check(table):
+        # A marker makes NaN equal to itself; Python's zeros are equal already.
+        unique = {tuple("nan" if c != c else c for c in row) for row in table}
+        filled = [
+            (row[0], *(0.0 if c in (None, "nan") else c for c in row[1:])) for row in unique
+        ]
+        got = [(r[0], *(c + 0.0 for c in r[1:])) for r in op.clean(frame(*table)).collect()]
+        assert sorted(map(repr, got)) == sorted(repr((t, *(c + 0.0 for c in r))) for t, *r in filled)
+
+    check()
