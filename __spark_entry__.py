@@ -27,6 +27,12 @@ from ledgerlake.testtables import (  # noqa: E402
     write_transactions_csv,
 )
 
+try:  # an optional part of the library
+    import corpus_pipeline
+    from ledgerlake.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -180,7 +186,10 @@ def queries() -> dict[str, Query]:
         layer_row_counts,
         medallion_end_to_end,
     )
-    return {query.__name__: query for query in registered}
+    named = {query.__name__: query for query in registered}
+    if llm_queries:
+        named |= {"pipeline": corpus_pipeline.run} | llm_queries.queries()
+    return named
 
 
 # The derivation of the transactions. Columns in the contract's order.
@@ -289,7 +298,10 @@ def oracle_sql() -> dict[str, str]:
         "oldbalanceDest newbalanceDest isFraud isFlaggedFraud"
     ).split()
     null_counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in contract)
-    return {
+    llm = llm_queries.oracle_sql() if llm_queries else {}
+    if llm_queries and corpus_pipeline.ORACLE_SQL:
+        llm["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm | {
         "type_metrics": metrics,
         "type_metrics_sketch": metrics,
         "type_metrics_open_domain": _DIRTY + _metrics_of("dirty") + " SELECT * FROM metrics",
