@@ -69,15 +69,15 @@ def bands(percent: int, largest: int) -> list[tuple[int, int]]:
 
 
 def pieces(members: np.ndarray, percent: int, band_list: list[tuple[int, int]]) -> list[np.ndarray]:
-    """Keys of the pieces to join: for the set's band, and for the next one if a
-    set of that band can be similar."""
+    """Keys of the pieces to join: for the set's band, and for each larger one in
+    which a set can be similar."""
     size = len(members)
     lows = [low for low, _ in band_list]
     home = int(np.searchsorted(lows, size, "right")) - 1
     found = []
-    for band in (home, home + 1):
-        if band >= len(band_list) or (band > home and 100 * size < percent * lows[band]):
-            continue
+    for band in range(home, len(band_list)):
+        if band > home and 100 * size < percent * lows[band]:
+            break
         needed = band_list[band][1]
         spare = int(needed * SPARE)
         count = needed + spare
@@ -409,10 +409,10 @@ def near_duplicates_removed(
     groups = jaccard_components(documents, key, text, n, percent)
     kept = (
         groups.where(F.col(key).eqNullSafe(F.col("component")))
-        .groupBy(F.col(key).alias("kept_key"))
-        .agg(F.max(F.col("n_shingles") > 0).alias("grouped"))
+        .groupBy(F.col(key).alias("_ll_kept_key"))
+        .agg(F.max(F.col("n_shingles") > 0).alias("_ll_grouped"))
     )
-    rows = documents.join(kept, F.col(key).eqNullSafe(F.col("kept_key")))
-    grouped = rows.where("grouped and kept_key is not null").dropDuplicates([key])
-    single = rows.where("not grouped or kept_key is null")
+    rows = documents.join(kept, F.col(key).eqNullSafe(F.col("_ll_kept_key")))
+    grouped = rows.where("_ll_grouped and _ll_kept_key is not null").dropDuplicates([key])
+    single = rows.where("not _ll_grouped or _ll_kept_key is null")
     return grouped.unionByName(single).select(*documents.columns)

@@ -80,22 +80,22 @@ def drop_boilerplate(
     same = F.col("site").eqNullSafe(F.col("bad_site")) & (F.col("line") == F.col("bad_line"))
     drops = (
         marked.join(bad, same)
-        .groupBy(F.col("page").alias("drop_page"), F.col("site").alias("drop_site"))
-        .agg(F.collect_set("line").alias("drop_lines"))
+        .groupBy(F.col("page").alias("_ll_drop_page"), F.col("site").alias("_ll_drop_site"))
+        .agg(F.collect_set("line").alias("_ll_drop_lines"))
     )
     names = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     joined = pages.select(*names).join(
         drops,
-        F.col(key).eqNullSafe(F.col("drop_page")) & F.col(host).eqNullSafe(F.col("drop_site")),
+        F.col(key).eqNullSafe(F.col("_ll_drop_page")) & F.col(host).eqNullSafe(F.col("_ll_drop_site")),
         "left",
     )
     lines = _lines(F.col(text))
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("drop_lines"), _digest(x)))
-    kept = F.when(F.col("drop_lines").isNull(), lines).otherwise(kept)
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_ll_drop_lines"), _digest(x)))
+    kept = F.when(F.col("_ll_drop_lines").isNull(), lines).otherwise(kept)
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_kept = F.when(F.col(text).isNull(), 0).otherwise(F.size("kept_lines")).cast("long")
-    result = joined.withColumn("kept_lines", kept)
-    cleaned = F.when(F.col(text).isNotNull(), F.array_join("kept_lines", "\n"))
+    n_kept = F.when(F.col(text).isNull(), 0).otherwise(F.size("_ll_kept_lines")).cast("long")
+    result = joined.withColumn("_ll_kept_lines", kept)
+    cleaned = F.when(F.col(text).isNotNull(), F.array_join("_ll_kept_lines", "\n"))
     return result.select(
         *(cleaned.alias(text) if c == text else F.col(c) for c in names),
         n_lines.alias("n_lines"),

@@ -213,23 +213,23 @@ def mixed_documents(
     size share one decision.
     """
     drawn = mix(documents, size, key, source, shards, seed).select(
-        F.col(key).alias("drawn_key"),
-        F.col(source).alias("drawn_source"),
-        F.col("size").alias("drawn_size"),
-        F.col("shards").alias("drawn_shards"),
+        F.col(key).alias("_ll_drawn_key"),
+        F.col(source).alias("_ll_drawn_source"),
+        F.col("size").alias("_ll_drawn_size"),
+        F.col("shards").alias("_ll_drawn_shards"),
     )
-    drawn = drawn.dropDuplicates(["drawn_key", "drawn_source", "drawn_size"]).where(F.size("drawn_shards") > 0)
+    drawn = drawn.dropDuplicates(["_ll_drawn_key", "_ll_drawn_source", "_ll_drawn_size"]).where(F.size("_ll_drawn_shards") > 0)
     same = (
-        F.col(key).eqNullSafe(F.col("drawn_key"))
-        & F.col(source).eqNullSafe(F.col("drawn_source"))
-        & (size == F.col("drawn_size"))
+        F.col(key).eqNullSafe(F.col("_ll_drawn_key"))
+        & F.col(source).eqNullSafe(F.col("_ll_drawn_source"))
+        & (size == F.col("_ll_drawn_size"))
     )
     copies = documents.join(drawn, same).select(
-        *documents.columns, F.posexplode("drawn_shards").alias("drawn_copy", "drawn_shard")
+        *documents.columns, F.posexplode("_ll_drawn_shards").alias("_ll_drawn_copy", "_ll_drawn_shard")
     )
-    order = F.xxhash64(F.lit(seed + 3), key, "drawn_copy")
+    order = F.xxhash64(F.lit(seed + 3), key, "_ll_drawn_copy")
     return (
-        copies.repartition(shards, "drawn_shard")
-        .sortWithinPartitions("drawn_shard", order)
+        copies.repartition(shards, "_ll_drawn_shard")
+        .sortWithinPartitions("_ll_drawn_shard", order)
         .select(*documents.columns)
     )

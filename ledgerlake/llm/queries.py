@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chunk_dedup import repeated_passages
+from .imatch import build_lexicon, compare_with_next
 from .jaccard_join import jaccard_components
+from .kd_sharding import shard_documents
+from .kneser_ney import fold, score_texts, train_bigrams
 from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from .mixing import mix
 from .packing import pack_documents
 from .quality_rules import quality_rules, train_quality
+from .site_quality import site_quality
 from .small_tables import word_count
 
 
@@ -17,6 +22,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return compare_with_next(documents, build_lexicon(documents))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,6 +34,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), tokenizer)
 
 
+def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source is its host, its language within it the path."""
+    documents = _documents(spark, sf_dir)
+    model = train_quality(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return site_quality(documents, model, host=F.col("source"), path=F.col("lang"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(_documents(spark, sf_dir), word_count(F.col("text")))
     return mixed.select(
@@ -37,6 +54,14 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = fold(F.col("doc_id")) == 2
+    model = train_bigrams(documents.where(~held_out).select("text"))
+    scored = score_texts(documents.withColumn("held_out", held_out), model)
+    return scored.drop("text")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = jaccard_components(_documents(spark, sf_dir), n=3, percent=90)
     return groups.withColumnRenamed("component", "component_id")
@@ -49,6 +74,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_documents(_documents(spark, sf_dir), shards=8)
+    return sharded.withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passages = repeated_passages(_documents(spark, sf_dir))
+    return passages.withColumnRenamed("first_key", "first_doc_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir).select("doc_id", "source", "text")
     return drop_boilerplate(documents)
@@ -56,10 +93,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     registered = (
+        op1_imatch_fingerprints,
         op2_best_fit_packing,
+        op3_site_quality,
         op4_source_mixing,
+        op5_language_model,
         op6_jaccard_join,
         op7_quality_rules,
+        op8_kd_sharding,
+        op9_chunk_dedup,
         op10_line_dedup,
     )
     return {query.__name__: query for query in registered}
