@@ -1,0 +1,143 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.llm.linear_model import train
+from ledgerlake.llm.quality_rules import counts, quality_rules, train_quality
+from ledgerlake.llm.site_quality import site_quality
+from ledgerlake.llm.text import WordHashes
+
+from .data import SCHEMA, empty, odd, odd_rows, prose
+
+BLANK = set(" \t\n\x0b\x0c\r")
+
+
+def brute_counts(text):
+    text = text or ""
+    words, word = [], ""
+    for c in text + " ":
+        if c in BLANK:
+            words += [word] * bool(word)
+            word = ""
+        else:
+            word += c
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {
+        i + k
+        for i in range(len(words) - 2)
+        for k in range(3)
+        if windows[tuple(words[i : i + 3])] > 1
+    }
+    lines = [x for x in text.split("\n") if set(x) - BLANK]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(text.count(c) for c in "#*$%&|<>"),
+        sum(x in lines[:i] for i, x in enumerate(lines)),
+        len(covered),
+    )
+
+
+def test_counts_against_plain_python():
+    rng = random.Random(3)
+    cache = WordHashes(20)
+    texts = [r[1] for r in odd_rows()]
+    for _ in range(400):
+        pick = [rng.choice(["a", "b", "#c", "d|é", "\n", " ", "\t", "\x1c", "𝄞"]) for _ in range(rng.randrange(40))]
+        texts.append("".join(x + rng.choice([" ", "\n", "", "  "]) for x in pick))
+    for text in texts:
+        assert counts(text, cache) == brute_counts(text)
+
+
+def labelled(spark, n=240):
+    rows = []
+    for i in range(n):
+        good = prose(90, i)
+        bad = " ".join(w.upper() + "!!" for w in prose(90, i).split())
+        rows.append((i, good if i % 3 else bad, "en", f"s{i % 4}", i))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    return docs, docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, 0).otherwise(1).alias("quality"))
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = labelled(spark)
+    model = train_quality(docs, labels.where("doc_id % 2 = 0"), per_class=50)
+    judged = quality_rules(docs.where("doc_id % 2 = 1"), model).select("doc_id", "kept", "quality").collect()
+    assert all(r["kept"] == (r["doc_id"] % 3 > 0) for r in judged)
+    assert all(0 <= r["quality"] <= 1 for r in judged)
+
+
+def test_model_of_odd_labels(spark):
+    docs, labels = labelled(spark, 30)
+    odd_labels = labels.unionByName(labels).unionByName(
+        spark.createDataFrame([(None, 1), (3, None), (4, 7), (9999, 0)], "doc_id bigint, quality int")
+    )
+    a, b = train_quality(docs, labels), train_quality(docs.unionByName(docs), odd_labels)
+    # 9999 is no document but a label, so only the class shares differ.
+    assert np.array_equal(a.weights, b.weights)
+    assert train_quality(docs, labels.where("quality = 1")) is None
+    assert train_quality(empty(spark), labels) is None
+    assert train(docs, labels.limit(0), "quality") is None
+
+
+def test_rules_on_odd_rows(spark):
+    docs, labels = labelled(spark, 60)
+    model = train_quality(docs, labels)
+    for m in (model, None):
+        judged = quality_rules(odd(spark, kept="x", quality=1, n_words="y"), m)
+        assert judged.columns[: len(SCHEMA.split(", "))] == [c.split()[0] for c in SCHEMA.split(", ")]
+        rows = judged.collect()
+        for r in rows:
+            n, chars, symbols, lines, again = brute_counts(r["text"])
+            assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (
+                n, chars, symbols, lines, again,
+            )
+            assert r["base_failed"] == (n < 50 or 100 * again > 50 * n)
+            assert not (r["kept"] and r["base_failed"])
+            assert m is None or r["kept"] == (not r["base_failed"] and r["quality"] >= 0.5)
+            assert (r["quality"] is None) == (m is None)
+        assert len(rows) == len(odd_rows())
+    assert quality_rules(empty(spark), model).count() == 0
+
+
+def strength(groups, prior_of):
+    """groups: (n, mean, prior)."""
+    total = sum(n for n, _, _ in groups)
+    spread = sum(n * (m - p) ** 2 for n, m, p in groups) / total
+    chance = sum(p * (1 - p) for _, _, p in groups) / total
+    inside = sum(n * p * (1 - p) for n, _, p in groups) / total
+    return min(max(inside / max(spread - chance, 1e-6) - 1, 1.0), 1000.0)
+
+
+def test_site_rates_against_plain_python(spark):
+    docs, labels = labelled(spark, 120)
+    table = docs.unionByName(odd(spark)).withColumn("host", F.lit("clash")).withColumn("n", F.lit(1))
+    model = train_quality(docs, labels)
+    rows = site_quality(table, model, F.col("source"), F.col("lang")).collect()
+    assert len(rows) == 120 + len(odd_rows())
+    prior = sum(r["evidence"] for r in rows) / len(rows)
+    hosts, paths = {}, {}
+    for r in rows:
+        hosts.setdefault(r["host"], []).append(r["evidence"])
+        paths.setdefault((r["host"], r["path"]), []).append(r["evidence"])
+    k = strength([(len(v), sum(v) / len(v), prior) for v in hosts.values()], prior)
+    rate = {h: (sum(v) + k * prior) / (len(v) + k) for h, v in hosts.items()}
+    j = strength([(len(v), sum(v) / len(v), rate[h]) for (h, _), v in paths.items()], prior)
+    for r in rows:
+        own = paths[r["host"], r["path"]]
+        p = (sum(own) - r["evidence"] + j * rate[r["host"]]) / (len(own) - 1 + j)
+        odds = math.log(r["evidence"] / (1 - r["evidence"])) - math.log(prior / (1 - prior)) + math.log(p / (1 - p))
+        assert r["host_rate"] == pytest.approx(rate[r["host"]], rel=1e-6)
+        assert r["path_rate"] == pytest.approx(p, rel=1e-6)
+        assert r["quality"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
+        assert r["kept"] == (r["quality"] >= 0.5)
+
+
+def test_site_quality_empty(spark):
+    assert site_quality(empty(spark), None, F.col("source"), F.col("lang")).count() == 0
+    rows = site_quality(odd(spark), None, F.col("source"), F.col("lang")).collect()
+    assert {r["evidence"] for r in rows} == {0.5}
