@@ -1,0 +1,122 @@
+import random
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerlake.llm.chunk_dedup import (
+    CUT_BITS,
+    CUT_SHIFT,
+    MAX_CHUNK,
+    MIN_CHUNK,
+    chunk_ends,
+    chunks,
+    drop_repeated_passages,
+    gear_hashes,
+    repeated_chunks,
+    repeated_passages,
+)
+
+from .data import SCHEMA, empty, odd, odd_rows, prose
+
+
+def rolling_ends(data):
+    """The same cuts, byte by byte with a rolling hash."""
+    import numpy as np
+
+    gear = gear_hashes(np.arange(256, dtype=np.uint8).repeat(16))[15::16]  # windows of one byte
+    del gear
+    single = [int(gear_hashes(np.array([b], np.uint8))[0]) for b in range(256)]
+    ends, start, h = [], 0, 0
+    for i, b in enumerate(data):
+        h = ((h << 1) + single[b]) & 0xFFFF
+        if i + 1 - start > MAX_CHUNK:
+            end = start + MAX_CHUNK
+            while data[end] & 0xC0 == 0x80:
+                end -= 1
+            ends.append(end)
+            start = end
+        cut = b in b" \t\n\x0b\x0c\r" and not (h >> CUT_SHIFT) & ((1 << CUT_BITS) - 1)
+        if cut and i + 1 - start >= MIN_CHUNK:
+            ends.append(i + 1)
+            start = i + 1
+    return ends + [len(data)] * (start < len(data))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab é𝄞\n", max_size=4000))
+def test_ends_against_a_rolling_hash(text):
+    data = text.encode()
+    ends = chunk_ends(data)
+    assert ends == rolling_ends(data)
+    parts = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    assert b"".join(parts) == data
+    assert all(len(p) <= MAX_CHUNK and p.decode() for p in parts)
+
+
+def test_insertions_shift_few_borders():
+    data = prose(3000, 1, 3000).encode()
+    for at in (0, 5000, 9000):
+        moved = data[:at] + b"an insertion " + data[at:]
+        old = {data[a:b] for a, b in zip([0, *chunk_ends(data)], chunk_ends(data), strict=False)}
+        new = {moved[a:b] for a, b in zip([0, *chunk_ends(moved)], chunk_ends(moved), strict=False)}
+        assert len(new - old) <= 6 and len(old) > 200
+
+
+def planted(n=120):
+    passages = [prose(60, 1000 + i, 5000) for i in range(10)]
+    rng = random.Random(5)
+    rows = []
+    for i in range(n):
+        text = prose(rng.randrange(50, 300), i, 20_000)
+        if i % 4 == 0:
+            words = text.split()
+            at = rng.randrange(len(words))
+            text = " ".join(words[:at] + [passages[i // 4 % 10]] + words[at:])
+        rows.append((i, text, "en", "s", 1))
+    return rows
+
+
+def test_planted_passages_are_found(spark):
+    docs = spark.createDataFrame(planted(), SCHEMA).repartition(5)
+    rows = repeated_passages(docs).collect()
+    assert {r["doc_id"] for r in rows} == set(range(0, 120, 4))
+    texts = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+    assert all(r["first_key"] % 40 == r["doc_id"] % 40 for r in rows)
+    assert {r["doc_id"] for r in rows if r["kept"]} == set(range(0, 40, 4))
+    for r in rows:
+        span = texts[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert span in texts[r["first_key"]] and len(span.split()) == r["words"] >= 20
+    cleaned = {r["doc_id"]: r["text"].encode() for r in drop_repeated_passages(docs).collect()}
+    for key, text in texts.items():
+        spans = sorted((r["start"], r["length"]) for r in rows if r["doc_id"] == key and not r["kept"])
+        for start, length in reversed(spans):
+            text = text[:start] + text[start + length :]
+        assert cleaned[key] == text
+
+
+def test_repeated_chunks_against_counting(spark):
+    rows = planted(40) + odd_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    seen = Counter()
+    for _, text, *_ in rows:
+        data = (text or "").encode()
+        ends = chunk_ends(data)
+        seen.update(data[a:b] for a, b in zip([0, *ends], ends, strict=False))
+    assert chunks(docs).count() == sum(seen.values())
+    got = repeated_chunks(docs).collect()
+    assert Counter(r["copies"] for r in got) == Counter(n for n in seen.values() if n > 1 for _ in range(n))
+
+
+def test_odd_rows(spark):
+    docs = odd(spark, start=1, length="x", kept=True, digest=2)
+    rows = repeated_passages(docs).collect()
+    whole = {(r["doc_id"], r["kept"], r["first_key"]) for r in rows}
+    assert {(5, True, 5), (6, False, 5), (7, False, 5)} <= whole
+    cleaned = drop_repeated_passages(docs)
+    assert cleaned.columns == docs.columns and cleaned.count() == len(odd_rows())
+
+
+def test_empty(spark):
+    assert repeated_passages(empty(spark)).count() == 0
+    assert drop_repeated_passages(empty(spark)).count() == 0

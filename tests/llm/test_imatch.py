@@ -1,0 +1,98 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerlake.llm.imatch import (
+    PARTS,
+    build_lexicon,
+    compare_with_next,
+    fingerprint_texts,
+    likeness,
+)
+
+from .data import SCHEMA, empty, odd, odd_rows, prose
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+
+
+def edit(a, b):
+    half = len(a) // 2
+    return a[: len(a) - half] + b[:half]
+
+
+def corpus(n=400):
+    rng = np.random.default_rng(3)
+    rows = [(int(i) * 7 - 900, prose(int(rng.integers(1, 150)), int(i))) for i in range(n)]
+    return rows + [(10_000 + i, rows[i][1]) for i in range(20)]
+
+
+def test_lexicon_holds_the_band(spark):
+    rows = corpus()
+    lexicon = build_lexicon(table(spark, rows), min_share=0.02, max_share=0.2)
+    frequency = Counter(w for _, t in rows for w in set(t.encode().lower().split()))
+    want = [w for w, n in frequency.items() if 0.02 * len(rows) <= n <= 0.2 * len(rows)]
+    assert 0 < len(want) < len(frequency) and len(lexicon) == len(want)
+
+
+def test_against_sorted_documents(spark):
+    rows = corpus()
+    docs = table(spark, rows).withColumn("run", F.lit(1))
+    lexicon = build_lexicon(docs)
+    got = {r["doc_id"]: r for r in compare_with_next(docs, lexicon).collect()}
+    ordered = sorted(rows)
+    assert sorted(got) == [k for k, _ in ordered]
+    by_text = {}
+    plain = {r["doc_id"]: r["fingerprint"] for r in fingerprint_texts(docs, lexicon).collect()}
+    for (key, text), (after, following) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        r = got[key]
+        changed = edit(text, following)
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert r["fingerprint"] == plain[key] and len(r["fingerprint"]) == 8 * PARTS
+        assert r["near_next"] == likeness(plain[key], plain[after])
+        assert r["near_edited"] == likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert by_text.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+    long = [got[k] for k, t in ordered if len(t) > 300]
+    assert np.mean([r["near_edited"] for r in long]) > 3 * np.mean([r["near_next"] for r in long])
+
+
+def test_near_copies_are_nearer(spark):
+    base = [(i, prose(200, i, 2000)) for i in range(200)]
+    near = [(1000 + i, t.replace(t.split()[50], "changed", 1)) for i, t in base]
+    docs = table(spark, base + near)
+    prints = {r["doc_id"]: r["fingerprint"] for r in fingerprint_texts(docs, build_lexicon(docs)).collect()}
+    same = [likeness(prints[i], prints[1000 + i]) for i in range(200)]
+    other = [likeness(prints[i], prints[(i + 1) % 200]) for i in range(200)]
+    assert np.mean(same) > 0.6 and min(same) > 2 * max(other)
+
+
+def test_odd_rows(spark):
+    docs = odd(spark, fingerprint="x", tie=1, border=2, key=3)
+    rows = compare_with_next(docs, build_lexicon(docs)).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in odd_rows())
+    texts = {}
+    for key, text, *_ in odd_rows():
+        texts.setdefault(key, []).append(text or "")
+    for r in rows:
+        assert r["n_chars"] in map(len, texts[r["doc_id"]])
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    by_key = {r["doc_id"]: r for r in rows}
+    assert by_key[5]["fingerprint"] == by_key[6]["fingerprint"]
+    assert by_key[1]["fingerprint"] == by_key[2]["fingerprint"] == "0" * 8 * PARTS
+    assert by_key[9]["edited_sha256"] == hashlib.sha256(edit(texts[9][0], texts[10][0]).encode()).hexdigest()
+    # After the last key comes the first: a null one, the first by its text's hash.
+    after_last = {hashlib.sha256(edit(texts[10][0], t).encode()).hexdigest() for t in texts[None]}
+    assert by_key[10]["edited_sha256"] in after_last
+
+
+def test_one_and_no_document(spark):
+    one = table(spark, [(5, "a b c d")])
+    r = compare_with_next(one, build_lexicon(one)).first()
+    assert r["edited_sha256"] == hashlib.sha256(b"a b a b"[:0] + edit("a b c d", "a b c d").encode()).hexdigest()
+    assert r["near_next"] == 1.0
+    assert compare_with_next(empty(spark), build_lexicon(empty(spark))).count() == 0
+    assert SCHEMA

@@ -1,0 +1,103 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import ledgerlake.llm.kneser_ney as kn
+from ledgerlake.llm.kneser_ney import discounts, fold, score_texts, train_bigrams
+
+from .data import empty, odd, odd_rows, prose
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+class Reference:
+    """The same model with dictionaries."""
+
+    def __init__(self, texts):
+        self.unigrams, self.bigrams = Counter(), Counter()
+        for text in texts:
+            own = tokens(text)
+            self.unigrams.update(own)
+            self.bigrams.update(zip(["<s>", *own[:-1]], own, strict=True))
+        self.types, self.follow, self.total = Counter(), defaultdict(Counter), Counter()
+        for (u, w), n in self.bigrams.items():
+            self.types[w] += 1
+            self.follow[u][min(n, 3)] += 1
+            self.total[u] += n
+        of = Counter(self.bigrams.values())
+        self.high = discounts([of[i] for i in (1, 2, 3, 4)])
+        of = Counter(self.types.values())
+        self.low = discounts([of[i] for i in (1, 2, 3, 4)])
+        n = sum(self.types.values())
+        mass = sum(self.low[min(t, 3) - 1] for t in self.types.values())
+        self.uniform = mass / n if n else 1.0
+
+    def word(self, w):
+        t = self.types[w]
+        left = max(t - self.low[min(t, 3) - 1], 0) / sum(self.types.values()) if t else 0
+        return left + self.uniform / (len(self.unigrams) + 1)
+
+    def p(self, u, w):
+        if not self.total[u]:
+            return self.word(w)
+        n = self.bigrams[u, w]
+        left = max(n - self.high[min(n, 3) - 1], 0) if n else 0
+        gamma = sum(self.high[i - 1] * k for i, k in self.follow[u].items())
+        return (left + gamma * self.word(w)) / self.total[u]
+
+    def score(self, text):
+        own = tokens(text)
+        return sum(math.log10(self.p(u, w)) for u, w in zip(["<s>", *own[:-1]], own, strict=True))
+
+
+def corpus():
+    rows = [(i, prose(1 + i * 13 % 200, i % 90, 60 + i)) for i in range(300)]
+    return rows + [(300 + i, "the " * (i % 400) + prose(20, i)) for i in range(60)]
+
+
+@pytest.mark.parametrize("shard_tokens,type_rows", [(1_000_000, 1 << 18), (900, 64)])
+def test_against_dictionaries(spark, monkeypatch, shard_tokens, type_rows):
+    monkeypatch.setattr(kn, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(kn, "TYPE_ROWS", type_rows)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    held = fold(F.col("doc_id")) == 2
+    model = train_bigrams(docs.where(~held).select("text"))
+    learnt = [t for k, t in rows if zlib.crc32(str(k).encode()) % 7 != 2]
+    reference = Reference(learnt)
+    n, v = sum(reference.unigrams.values()), len(reference.unigrams)
+    for r in score_texts(docs.withColumn("held_out", held), model).collect():
+        own = tokens(r["text"])
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
+        assert (r["n_tokens"], r["train_tokens"]) == (len(own), n)
+        assert r["n_known"] == sum(reference.unigrams[w] > 0 for w in own)
+        base = sum(math.log10((reference.unigrams[w] + 1) / (n + v + 1)) for w in own)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+        assert r["score"] == pytest.approx(reference.score(r["text"]), rel=1e-9)
+        assert r["perplexity"] == pytest.approx(10 ** (-r["score"] / len(own)))
+    # Probabilities of all words and one unknown add up to 1 after any word.
+    for u in ("<s>", b"the", next(iter(reference.unigrams)), b"never"):
+        words = [*reference.unigrams, b"unknown"]
+        assert sum(reference.p(u, w) for w in words) == pytest.approx(1)
+
+
+def test_odd_rows(spark):
+    docs = odd(spark, score="x", hash=1, n=2)
+    model = train_bigrams(docs.select("text"))
+    reference = Reference([r[1] for r in odd_rows()])
+    rows = score_texts(docs, model).collect()
+    assert len(rows) == len(odd_rows())
+    for r in rows:
+        assert r["score"] == pytest.approx(reference.score(r["text"]), rel=1e-9)
+
+
+def test_nothing_to_learn(spark):
+    model = train_bigrams(empty(spark).select("text"))
+    assert score_texts(empty(spark), model).count() == 0
+    rows = score_texts(odd(spark), model).collect()
+    assert all(r["n_known"] == 0 and r["score"] == 0 and r["base_score"] == 0 for r in rows)
