@@ -1,7 +1,7 @@
 """Registered queries and their SQL counterparts.
 
 Every query works on transactions derived from the whole ``orders`` and
-``customer`` tables; ``ledgerlake/testtables.py`` and the SQL below state the
+``customer`` tables; ``testtables.py`` and the SQL below state the
 same derivation.
 """
 
@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlake import operators as op  # noqa: E402
-from ledgerlake.contracts import TRANSACTION_TYPES  # noqa: E402
-from ledgerlake.plans import run_medallion  # noqa: E402
-from ledgerlake.sources import read_layer, read_transactions_csv, write_layer  # noqa: E402
-from ledgerlake.testtables import (  # noqa: E402
-    dirty_transactions,
+from ledgerlake.contracts import TRANSACTION_SCHEMA, TRANSACTION_TYPES  # noqa: E402
+from ledgerlake.plans import MALFORMED, ingest_layer, run_medallion  # noqa: E402
+from ledgerlake.sources import (  # noqa: E402
+    read_layer,
+    read_transactions_csv,
     scratch_path,
-    transactions,
-    write_transactions_csv,
+    write_layer,
 )
+from testtables import dirty_transactions, transactions, write_transactions_csv  # noqa: E402
 
 try:  # an optional part of the library
     import corpus_pipeline
@@ -56,8 +56,54 @@ def type_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_metrics_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The sketch keeps every value of a type up to about half its accuracy.
-    return op.type_metrics(_silver(spark, sf_dir), "approx", accuracy=1_000_000)
+    """Metrics with a sketched median, and whether its rank is within the bound.
+
+    The rank is off by no more than half a percent of the type's rows.
+    """
+    silver = _stored(spark, _silver(spark, sf_dir))
+    metrics = op.type_metrics(silver, "approx", TRANSACTION_TYPES)
+    own = F.broadcast(metrics.select(F.col("type").alias("of_type"), "median_amount_k"))
+    # The metric is rounded to 10; half of that on either side counts as equal.
+    off = F.col("amount") - F.col("median_amount_k") * 1000
+    ranks = silver.join(own, F.col("type") == F.col("of_type")).groupBy("of_type").agg(
+        F.avg((off < -5).cast("int")).alias("below"), F.avg((off > 5).cast("int")).alias("above")
+    )
+    within = (F.col("below") <= 0.505) & (F.col("above") <= 0.505)
+    ranks = ranks.select("of_type", within.alias("median_within_bound"))
+    joined = metrics.join(ranks, F.col("type") == F.col("of_type"))
+    return joined.drop("of_type", "median_amount_k")
+
+
+def medallion_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each layer of a run that sets bad rows aside."""
+    source = _write_dirty_csv(spark, sf_dir)
+    run = run_medallion(spark, source, scratch_path(spark, "lake"), quarantine=True)
+    reports = [
+        read_layer(spark, layer.path).agg(
+            F.lit(layer.layer).alias("layer"), F.count("*").alias("stored_rows")
+        )
+        for layer in (run.bronze, run.silver, run.silver.quarantined)
+    ]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines counted while ingesting, against those found in storage."""
+    path = scratch_path(spark, "bronze")
+    run = ingest_layer(spark, _write_dirty_csv(spark, sf_dir), path, keep_malformed=True)
+    return read_layer(spark, path).agg(
+        F.lit(run.checks["malformed_lines"]).cast("bigint").alias("counted_lines"),
+        F.count(MALFORMED).alias("stored_lines"),
+    )
+
+
+def _write_dirty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Dirty transactions as CSV in which some amounts are not numbers."""
+    path = scratch_path(spark, "csv")
+    broken = F.when(F.col("txn_id") % 101 == 0, "n/a").otherwise(F.col("amount").cast("string"))
+    rows = dirty_transactions(spark, sf_dir).withColumn("amount", broken)
+    rows.select(*TRANSACTION_SCHEMA.names).write.option("header", True).csv(path)
+    return path
 
 
 def type_metrics_open_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +231,8 @@ def queries() -> dict[str, Query]:
         csv_ingest_profile,
         layer_row_counts,
         medallion_end_to_end,
+        medallion_quarantine,
+        malformed_lines,
     )
     named = {query.__name__: query for query in registered}
     if llm_queries:
@@ -230,6 +278,15 @@ _DIRTY = (
 )"""
 )
 
+_BROKEN = (
+    _DIRTY
+    + """, broken AS (
+  SELECT *, txn_id % 101 = 0 OR coalesce(type NOT IN
+         ('PAYMENT', 'TRANSFER', 'CASH_OUT', 'CASH_IN', 'DEBIT'), false) AS apart
+  FROM dirty
+)"""
+)
+
 _SILVER = (
     _TXN
     + """, silver AS (
@@ -303,7 +360,8 @@ def oracle_sql() -> dict[str, str]:
         llm["pipeline"] = corpus_pipeline.ORACLE_SQL
     return llm | {
         "type_metrics": metrics,
-        "type_metrics_sketch": metrics,
+        "type_metrics_sketch": _METRICS
+        + " SELECT * EXCLUDE (median_amount_k), true AS median_within_bound FROM metrics",
         "type_metrics_open_domain": _DIRTY + _metrics_of("dirty") + " SELECT * FROM metrics",
         "share_of_total": _METRICS + " SELECT type, transaction_count, percentage_of_total FROM metrics",
         "median_by_type": _SILVER
@@ -348,4 +406,12 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'silver', count(*) FROM silver
                 UNION ALL SELECT 'gold', count(*) FROM metrics)""",
         "medallion_end_to_end": metrics,
+        "medallion_quarantine": _BROKEN
+        + """, good AS (SELECT DISTINCT * EXCLUDE (txn_id) FROM broken WHERE NOT apart)
+             SELECT 'bronze' AS layer, count(*) AS stored_rows FROM broken
+             UNION ALL SELECT 'silver', count(*) FROM good
+             UNION ALL SELECT 'quarantine', count(*) FROM broken WHERE apart""",
+        "malformed_lines": _BROKEN
+        + """ SELECT count(*) FILTER (WHERE txn_id % 101 = 0) AS counted_lines,
+                     count(*) FILTER (WHERE txn_id % 101 = 0) AS stored_lines FROM broken""",
     }

@@ -8,7 +8,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .operators import TRANSACTION_EXPECTATIONS
+from .operators import METRIC_EXPECTATIONS, TRANSACTION_EXPECTATIONS
 from .plans import run_medallion
 
 
@@ -20,6 +20,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--median", choices=("exact", "approx"), default="exact")
     parser.add_argument("--expect", action="store_true", help="fail unless the suite passes")
     parser.add_argument("--strict-header", action="store_true", help="fail on another header")
+    parser.add_argument("--quarantine", action="store_true", help="set bad rows aside, go on")
+    parser.add_argument("--check-balance", metavar="TYPE", help="fail unless its balances add up")
+    parser.add_argument("--check-metrics", action="store_true", help="fail on implausible metrics")
+    parser.add_argument("--skip-unreadable", action="store_true", help="skip unreadable files")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
@@ -33,6 +37,10 @@ def main(argv: list[str] | None = None) -> None:
         median=args.median,
         suite=TRANSACTION_EXPECTATIONS if args.expect else (),
         strict_header=args.strict_header,
+        quarantine=args.quarantine,
+        balance_type=args.check_balance,
+        metric_gate=METRIC_EXPECTATIONS if args.check_metrics else (),
+        skip_unreadable=args.skip_unreadable,
     )
     print(json.dumps(run.summary()))
 

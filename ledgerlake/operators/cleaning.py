@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import FILLED_COLUMNS
+from ..contracts import FEE_RULES, FILLED_COLUMNS, FeeRule
 from .balance import flag_balance
 from .gate import assert_columns
 
@@ -27,7 +27,9 @@ def fill_missing(df: DataFrame, columns: Sequence[str] = FILLED_COLUMNS) -> Data
     return assert_columns(df, columns).na.fill(0, list(columns))
 
 
-def clean(df: DataFrame, keep_flags: bool = False) -> DataFrame:
+def clean(
+    df: DataFrame, keep_flags: bool = False, rules: Sequence[FeeRule] = FEE_RULES
+) -> DataFrame:
     """Drop duplicate rows, then fill missing amounts and balances.
 
     The fill comes last, so rows that differ only by null and 0 both stay and
@@ -35,7 +37,7 @@ def clean(df: DataFrame, keep_flags: bool = False) -> DataFrame:
     fill; it depends on the row alone, so it is computed after the shuffle.
     """
     unique = drop_duplicate_rows(assert_columns(df))
-    return fill_missing(flag_balance(unique) if keep_flags else unique)
+    return fill_missing(flag_balance(unique, rules) if keep_flags else unique)
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

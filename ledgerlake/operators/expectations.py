@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,30 +14,49 @@ from .gate import assert_columns
 
 @dataclass(frozen=True)
 class Expectation:
-    """A condition on the cells of one column.
+    """A condition on the cells of one column, held as plain values.
 
-    ``violated`` maps the column to a boolean; a cell where it is null is not
-    unexpected. ``null_in_scope`` tells whether null cells are evaluated.
+    ``not_null`` looks at all cells, the others at those that are not null:
+    ``in_set`` wants one of ``values``, ``between`` a cell within the bounds that
+    are given. Two expectations that ask for the same are equal.
     """
 
     name: str
     column: str
-    violated: Callable[[Column], Column]
-    null_in_scope: bool = False
+    values: tuple = ()
+    min_value: float | None = None
+    max_value: float | None = None
+    strict_min: bool = False
+    strict_max: bool = False
+
+    def violated(self) -> Column:
+        """Whether a cell is unexpected; false or null if it is not."""
+        cell = F.col(self.column)
+        if self.name == "not_null":
+            return cell.isNull()
+        if self.name == "in_set":
+            return ~cell.isin(*self.values)
+        low, high = self.min_value, self.max_value
+        outside = F.lit(False)
+        if low is not None:
+            outside = outside | (cell <= low if self.strict_min else cell < low)
+        if high is not None:
+            outside = outside | (cell >= high if self.strict_max else cell > high)
+        return outside
 
     def evaluated_count(self) -> Column:
-        return F.count(F.lit(1) if self.null_in_scope else F.col(self.column))
+        return F.count(F.lit(1) if self.name == "not_null" else F.col(self.column))
 
     def unexpected_count(self) -> Column:
-        return F.count_if(self.violated(F.col(self.column)))
+        return F.count_if(self.violated())
 
 
 def not_null(column: str) -> Expectation:
-    return Expectation("not_null", column, lambda c: c.isNull(), null_in_scope=True)
+    return Expectation("not_null", column)
 
 
 def in_set(column: str, values: Sequence) -> Expectation:
-    return Expectation("in_set", column, lambda c: ~c.isin(*values))
+    return Expectation("in_set", column, values=tuple(values))
 
 
 def between(
@@ -50,16 +69,7 @@ def between(
     """Cells within the given bounds; a bound left out does not apply."""
     if min_value is None and max_value is None:
         raise ValueError("between needs min_value or max_value")
-
-    def violated(c: Column) -> Column:
-        outside = []
-        if min_value is not None:
-            outside.append(c <= min_value if strict_min else c < min_value)
-        if max_value is not None:
-            outside.append(c >= max_value if strict_max else c > max_value)
-        return outside[0] if len(outside) == 1 else outside[0] | outside[1]
-
-    return Expectation("between", column, violated)
+    return Expectation("between", column, (), min_value, max_value, strict_min, strict_max)
 
 
 TRANSACTION_EXPECTATIONS = (
@@ -76,14 +86,22 @@ METRIC_EXPECTATIONS = (
 )
 
 
+RESULT_SCHEMA = (
+    "expectation string, column string, evaluated bigint, unexpected bigint, success boolean"
+)
+
+
 def run_expectations(
     df: DataFrame, suite: Sequence[Expectation] = TRANSACTION_EXPECTATIONS
 ) -> DataFrame:
     """One row per expectation: evaluated and unexpected cells, and success.
 
-    The whole suite is a single aggregate over the columns it names.
+    The whole suite is a single aggregate over the columns it names. An empty
+    suite gives no rows.
     """
     assert_columns(df, {e.column for e in suite})
+    if not suite:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     counts = df.agg(
         *(e.evaluated_count().alias(f"evaluated_{i}") for i, e in enumerate(suite)),
         *(e.unexpected_count().alias(f"unexpected_{i}") for i, e in enumerate(suite)),
@@ -105,4 +123,4 @@ def run_expectations(
 
 def passes(df: DataFrame, suite: Sequence[Expectation] = TRANSACTION_EXPECTATIONS) -> bool:
     """Whether every expectation of the suite holds."""
-    return run_expectations(df, suite).agg(F.bool_and("success")).first()[0]
+    return run_expectations(df, suite).where("not success").isEmpty()

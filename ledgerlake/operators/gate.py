@@ -14,15 +14,13 @@ from ..functions import outside_domain
 class InvalidTypeError(ValueError):
     """Rows carry transaction types outside the domain.
 
-    ``counts`` lists the most frequent ones; ``rows`` and ``types`` are totals.
+    ``rows`` and ``types`` are totals; ``report`` is the complete table of types
+    and their row counts, which may be of any size and so is not collected.
     """
 
-    def __init__(self, counts: dict[str, int], rows: int, types: int):
-        listing = "".join(f"\n  {name!r}: {n} rows" for name, n in counts.items())
-        unlisted = types - len(counts)
-        more = f"\n  and {unlisted} more types" if unlisted else ""
-        super().__init__(f"invalid transaction types in {rows} rows:{listing}{more}")
-        self.counts, self.rows, self.types = counts, rows, types
+    def __init__(self, rows: int, types: int, report: DataFrame):
+        super().__init__(f"invalid transaction types: {types} types in {rows} rows")
+        self.rows, self.types, self.report = rows, types, report
 
 
 def assert_columns(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -38,20 +36,16 @@ def invalid_type_report(df: DataFrame, domain: Sequence[str] = TRANSACTION_TYPES
     return df.where(outside_domain(domain=domain)).groupBy("type").count()
 
 
-def assert_domain(
-    df: DataFrame, domain: Sequence[str] = TRANSACTION_TYPES, listed: int = 20
-) -> DataFrame:
+def assert_domain(df: DataFrame, domain: Sequence[str] = TRANSACTION_TYPES) -> DataFrame:
     """Return ``df`` if no row has a type outside the domain, else raise.
 
-    Valid data costs one job that reads only ``type``. The error names the
-    ``listed`` most frequent types, so the driver never holds more than that;
-    :func:`invalid_type_report` has all of them.
+    Costs one job that reads only ``type``, and fetches two totals. The error's
+    ``report`` lists every type when it is read.
     """
     report = invalid_type_report(df, domain)
-    worst = report.orderBy(F.desc("count"), "type").limit(listed).collect()
-    if worst:
-        rows, types = report.agg(F.sum("count"), F.count("*")).first()
-        raise InvalidTypeError({r["type"]: r["count"] for r in worst}, rows, types)
+    totals = report.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    if totals[1]:
+        raise InvalidTypeError(*totals, report)
     return df
 
 

@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 
 from ..functions import bin_span, linear_bin, log_bin
 
+#: Keys a closed domain may have: its bins are broadcast, a row per key.
+MAX_DOMAIN = 10_000
+#: Parts over which the open path spreads the values of one bin.
+SALTS = 16
+
 # A coarse bin is 1/256 wide, relative to its values; it is cut into fine bins.
 _COARSE_PER_E_FOLD = 256
 _FINE = 65_536
 
 
 def median_by_key(
-    df: DataFrame, key: str, value: str, domain: Sequence[str] | None = None
+    df: DataFrame,
+    key: str,
+    value: str,
+    domain: Sequence[str] | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The lower median of ``value`` per key: ``(key, median)``.
 
@@ -30,12 +39,15 @@ def median_by_key(
     With a closed ``domain`` a key that is neither in it nor null fails the job,
     so the chosen bins are at most ``len(domain) + 1`` rows and are broadcast:
     ``df`` is then read twice and the bulk of it never shuffled. Without one the
-    number of keys is unknown, so distinct values are shuffled once and the bins
-    are joined to them.
+    number of keys is unknown, so distinct values are shuffled, and the bins are
+    joined to them by a shuffle in which a key's bin is spread over ``salts``
+    parts by a hash of the values.
 
     Keys without any non-null value are left out.
     """
     closed = domain is not None
+    if closed and len(domain) > MAX_DOMAIN:
+        raise ValueError(f"a closed domain has at most {MAX_DOMAIN} keys; leave it out")
     names = F.array(*(F.lit(name) for name in domain)) if closed else None
     rows = df.select(
         (_place(key, names) if closed else F.col(key)).alias("key"),
@@ -53,8 +65,10 @@ def median_by_key(
             match = F.col("key") * span + bin == F.col("chosen")
             return rows.join(chosen.drop("key", "bin"), match).drop("chosen")
         chosen = chosen.withColumnsRenamed({"key": "of_key", "bin": "chosen"})
+        chosen = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        part = F.pmod(F.xxhash64("value"), F.lit(salts))
         match = F.col("key").eqNullSafe(F.col("of_key")) & (bin == F.col("chosen"))
-        return rows.join(chosen, match).drop("of_key", "chosen")
+        return rows.join(chosen, match & (part == F.col("part"))).drop("of_key", "chosen", "part")
 
     coarse_bin = log_bin(F.col("value"), _COARSE_PER_E_FOLD)
     coarse = rows.groupBy("key", coarse_bin.alias("bin")).agg(
@@ -66,6 +80,9 @@ def median_by_key(
     if closed:
         of_key = (F.any_value(name).alias(name) for name in ("rank", "low", "high"))
         near = near.groupBy("key", "value").agg(F.sum("n").alias("n"), *of_key)
+        # True everywhere; it makes both readers below need the same columns, so
+        # that the second one reuses the shuffle.
+        near = near.where(F.col("rank") > 0)
 
     fine_bin = linear_bin(F.col("value"), F.col("low"), F.col("high"), _FINE)
     fine = _sum_counts(near.withColumn("bin", fine_bin), "key", "rank", "bin")

@@ -12,19 +12,76 @@ from .gate import assert_columns
 from .median import median_by_key
 
 
+#: Groups of scan tasks whose sketches are merged apart.
+MERGES = 64
+
+
+def over_all(count: str) -> Column:
+    """The sum over all rows, which brings them to one task: for few groups."""
+    return F.sum(count).over(Window.partitionBy())
+
+
 def share_of_total(
     counts: DataFrame, count: str = "transaction_count", total: Column | None = None
 ) -> DataFrame:
     """Add ``percentage_of_total`` to a table that has one row per group.
 
-    Without a ``total`` it is summed by a window, which brings the groups (not
-    the rows they were counted from) to one task: right for a closed domain.
+    Without a ``total`` it is summed in a subquery, so that any number of groups
+    may occur; for a closed domain :func:`over_all` sums the few groups in place.
     """
     if total is None:
-        total = F.sum(count).over(Window.partitionBy())
+        total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn("percentage_of_total", F.round(F.col(count) / total * 100, 2))
 
 
+def _sums(large_amount: float) -> list[Column]:
+    """What the metrics are made of; every one can be added up over parts."""
+    amount, old, new = F.col("amount"), F.col("oldbalanceOrg"), F.col("newbalanceOrig")
+    change = (new - old) / F.when(old != 0, old).otherwise(1) * 100
+    return [
+        F.count("*").alias("transaction_count"),
+        F.count(amount).alias("amounts"),
+        F.sum(amount / 1000).alias("sum_amount_k"),
+        F.sum(amount).alias("sum_amount"),
+        F.count(change).alias("changes"),
+        F.sum(change).alias("sum_change"),
+        F.count_if(old == 0).alias("zero_balance_count"),
+        F.sum(old).alias("sum_balance"),
+        F.count_if(amount > large_amount).alias("large"),
+    ]
+
+
+def _finished(sums: DataFrame) -> DataFrame:
+    """Metrics of each type from its sums."""
+    # Scale and number of digits of every metric.
+    return sums.select(
+        *(c for c in ("type", "median") if c in sums.columns),
+        "transaction_count",
+        F.round(F.try_divide("sum_amount_k", "amounts"), 2).alias("avg_amount_k"),
+        F.round(F.col("sum_amount") / 1_000_000, 3).alias("total_volume_m"),
+        F.round(F.try_divide("sum_change", "changes"), 2).alias("avg_balance_change_pct"),
+        "zero_balance_count",
+        # Null where a type's balances sum to 0.
+        F.round(F.try_divide("sum_amount", "sum_balance"), 4).alias("volume_to_balance_ratio"),
+        F.round(F.col("large") / F.col("transaction_count") * 100, 2).alias("large_txn_ratio_pct"),
+    )
+
+
+def _with_sketch(df: DataFrame, large_amount: float, accuracy: int) -> DataFrame:
+    sketch = F.kll_sketch_agg_double("amount", accuracy).alias("sketch")
+    parts = df.groupBy("type", F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part")).agg(
+        *_sums(large_amount), sketch
+    )
+    added = [c for c in parts.columns if c not in ("type", "part", "sketch")]
+    merged = parts.groupBy("type").agg(
+        *(F.sum(c).alias(c) for c in added), F.kll_merge_agg_double("sketch", accuracy).alias("sketch")
+    )
+    median = F.when(
+        F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5))
+    )
+    return _finished(merged.withColumn("median", median))
+
+
 def type_metrics(
     df: DataFrame,
     median: str = "exact",
@@ -34,11 +91,11 @@ def type_metrics(
 ) -> DataFrame:
     """The metrics table: one row per type, columns as in ``METRIC_COLUMNS``.
 
-    ``median="approx"`` adds a quantile sketch to the same aggregate: one scan,
-    a value whose rank is off by at most 1/``accuracy``. Its sketches are merged
-    by one task per type, so with very many scan tasks ``"exact"`` (see
-    :func:`median_by_key`) is the better plan although it reads ``type`` and
-    ``amount`` again.
+    ``median="approx"`` adds quantile sketches of size ``accuracy`` to the same
+    aggregate: one scan, and a value whose rank is nearly the middle one (about
+    0.13 % off at the default size). Scan tasks are dealt to ``MERGES`` groups
+    whose sketches are merged first, then those of the groups, so no task merges
+    the sketches of all scan tasks. NaN amounts are left out of a sketch.
 
     The exact median reads ``df`` again, so store it first if it is expensive.
 
@@ -50,27 +107,12 @@ def type_metrics(
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     assert_columns(df)
 
-    amount, old, new = F.col("amount"), F.col("oldbalanceOrg"), F.col("newbalanceOrig")
-    change = (new - old) / F.when(old != 0, old).otherwise(1) * 100
-    aggregates = [
-        F.count("*").alias("transaction_count"),
-        F.round(F.avg(amount / 1000), 2).alias("avg_amount_k"),
-        F.round(F.sum(amount) / 1_000_000, 3).alias("total_volume_m"),
-        F.round(F.avg(change), 2).alias("avg_balance_change_pct"),
-        F.count_if(old == 0).alias("zero_balance_count"),
-        # Null where a type's balances sum to 0.
-        F.round(F.try_divide(F.sum(amount), F.sum(old)), 4).alias("volume_to_balance_ratio"),
-        F.round(F.avg(F.when(amount > large_amount, 1).otherwise(0)) * 100, 2).alias(
-            "large_txn_ratio_pct"
-        ),
-    ]
     if median == "approx":
-        sketch = F.percentile_approx(amount, 0.5, accuracy)
-        metrics = df.groupBy("type").agg(*aggregates, sketch.alias("median"))
+        metrics = _with_sketch(df, large_amount, accuracy)
     else:
         medians = median_by_key(df, "type", "amount", domain)
         medians = medians.withColumnRenamed("type", "median_type")
-        metrics = df.groupBy("type").agg(*aggregates)
+        metrics = _finished(df.groupBy("type").agg(*_sums(large_amount)))
         if domain is not None:
             medians = F.broadcast(medians)
         same_type = F.col("type").eqNullSafe(F.col("median_type"))
@@ -78,6 +120,6 @@ def type_metrics(
 
     metrics = metrics.withColumn("median_amount_k", F.round(F.col("median") / 1000, 2))
     # Any number of types may occur without a domain: count rows in a subquery.
-    total = None if domain is not None else df.agg(F.count("*")).scalar()
+    total = df.agg(F.count("*")).scalar() if domain is None else over_all("transaction_count")
     return share_of_total(metrics, total=total).select(*METRIC_COLUMNS)
 

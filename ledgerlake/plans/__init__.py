@@ -1,6 +1,8 @@
 """Plans that chain sources, operators and sinks."""
 
 from .medallion import (
+    MALFORMED,
+    ChecksFailed,
     LayerRun,
     MedallionRun,
     clean_layer,
@@ -9,9 +11,11 @@ from .medallion import (
     metrics_layer,
     run_medallion,
 )
-from .sizing import shuffle_partitions, sized_shuffle
+from .sizing import shuffle_partitions, sized_session
 
 __all__ = [
+    "MALFORMED",
+    "ChecksFailed",
     "LayerRun",
     "MedallionRun",
     "clean_layer",
@@ -20,5 +24,5 @@ __all__ = [
     "metrics_layer",
     "run_medallion",
     "shuffle_partitions",
-    "sized_shuffle",
+    "sized_session",
 ]

@@ -1,8 +1,8 @@
 """The layered job: ingest, clean, metrics.
 
-Each layer is one write. The checks that decide whether cleaning may go ahead
-are taken while the layer before it is written, so the whole run is three
-actions and no table is scanned just to be counted.
+Each layer is one write. The checks that decide whether the next layer may go
+ahead are taken while a layer is written, so the whole run is three actions
+(four if rows are quarantined) and no table is scanned just to be counted.
 """
 
 from __future__ import annotations
@@ -15,29 +15,57 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import FEE_RULES, TRANSACTION_TYPES
-from ..functions import balance_label, outside_domain
+from ..contracts import BALANCE_TOLERANCE, Ledger
+from ..functions import balance_drift, balance_label, outside_domain
 from ..operators import (
     Expectation,
+    InvalidTypeError,
     assert_columns,
-    assert_domain,
     clean,
+    invalid_type_report,
     type_metrics,
 )
 from ..sources import layer_path, new_run_id, read_layer, read_transactions_csv, write_layer
-from .sizing import sized_shuffle
+from .sizing import ROWS_PER_PARTITION, sized_session
 
 log = logging.getLogger("ledgerlake")
 
+#: Column of a bronze layer that keeps the raw text of malformed lines.
+MALFORMED = "malformed_line"
+DEFAULT = Ledger()
+
+
+class ChecksFailed(ValueError):
+    """Expectations that do not hold; ``unexpected`` has the number of cells of each."""
+
+    def __init__(self, layer: str, unexpected: Mapping[str, int]):
+        listing = ", ".join(f"{name} ({n} cells)" for name, n in unexpected.items())
+        super().__init__(f"{layer}: expectations failed: {listing}")
+        self.layer, self.unexpected = layer, dict(unexpected)
+
 
 @dataclass(frozen=True)
 class LayerRun:
-    """A stored layer: its rows, and the checks taken while writing it."""
+    """A stored layer: its rows, the checks taken while writing it, and what was
+    checked: the suite and the ledger."""
 
     layer: str
     path: str
     rows: int
     checks: Mapping[str, int] = field(default_factory=dict)
+    suite: tuple[Expectation, ...] = ()
+    ledger: Ledger = DEFAULT
+    quarantined: LayerRun | None = None
+
+    def verify(self, path: str, suite: Sequence[Expectation], ledger: Ledger) -> None:
+        """Raise unless this run checked this path with this suite and ledger."""
+        for what, own, asked in (
+            ("path", self.path, path),
+            ("suite", self.suite, tuple(suite)),
+            ("ledger", self.ledger, ledger),
+        ):
+            if own != asked:
+                raise ValueError(f"the {self.layer} run given was taken with another {what}")
 
 
 @dataclass(frozen=True)
@@ -51,38 +79,49 @@ class MedallionRun:
     duration: timedelta
 
     def summary(self) -> dict[str, str]:
+        # The names of the entries.
         return {
             "bronze_path": self.bronze.path,
             "silver_path": self.silver.path,
             "gold_path": self.gold.path,
-            "start_time": self.started.strftime("%Y-%m-%d %H:%M:%S"),
-            "duration": str(self.duration),
+            "start_time": self.started.isoformat(timespec="milliseconds"),
+            "duration": f"{self.duration.total_seconds():.3f} s",
         }
 
 
-def layer_checks(suite: Sequence[Expectation] = ()) -> dict[str, Column]:
+def layer_checks(suite: Sequence[Expectation] = (), ledger: Ledger = DEFAULT) -> dict[str, Column]:
     """Aggregates the clean layer needs to know about its input.
 
     The number of rows outside the domain, of rows per broken fee rule, and of
     unexpected cells per expectation of the suite.
     """
-    label = balance_label()
+    label = balance_label(ledger.fee_rules)
     return {
-        "invalid_types": F.count_if(outside_domain()),
-        **{rule.label: F.count_if(label == rule.label) for rule in FEE_RULES},
-        **{_check_name(i, e): e.unexpected_count() for i, e in enumerate(suite)},
+        "invalid_types": F.count_if(outside_domain(domain=ledger.types)),
+        **{rule.label: F.count_if(label == rule.label) for rule in ledger.fee_rules},
+        **_suite_checks(suite),
     }
 
 
+def _suite_checks(suite: Sequence[Expectation]) -> dict[str, Column]:
+    return {_check_name(i, e): e.unexpected_count() for i, e in enumerate(suite)}
+
+
 def _check_name(i: int, expectation: Expectation) -> str:
     return f"expectation {i}: {expectation.column} {expectation.name}"
 
 
+def _passed(layer: str, checks: Mapping[str, int], names: Sequence[str]) -> None:
+    failed = {name: checks[name] for name in names if checks[name]}
+    if failed:
+        raise ChecksFailed(layer, failed)
+
+
 def _write(
-    layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None
+    layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None, **more
 ) -> LayerRun:
     seen = write_layer(df, path, checks)
-    run = LayerRun(layer, path, seen.pop("rows"), seen)
+    run = LayerRun(layer, path, seen.pop("rows"), seen, **more)
     log.info("%s: %d rows -> %s", layer, run.rows, path)
     return run
 
@@ -93,10 +132,27 @@ def ingest_layer(
     target: str,
     suite: Sequence[Expectation] = (),
     strict_header: bool = False,
+    ledger: Ledger = DEFAULT,
+    keep_malformed: bool = False,
+    skip_unreadable: bool = False,
 ) -> LayerRun:
-    """CSV under the contract -> Parquet. Takes the layer checks on the way."""
-    df = read_transactions_csv(spark, source, strict_header=strict_header)
-    return _write("bronze", df, target, layer_checks(suite))
+    """CSV under the ledger's schema -> Parquet. Takes the layer checks on the way.
+
+    ``keep_malformed`` stores the raw text of malformed lines in a further
+    column, :data:`MALFORMED`, and counts them (check ``malformed_lines``).
+    """
+    df = read_transactions_csv(
+        spark,
+        source,
+        ledger.schema,
+        strict_header,
+        MALFORMED if keep_malformed else None,
+        skip_unreadable,
+    )
+    checks = layer_checks(suite, ledger)
+    if keep_malformed:
+        checks["malformed_lines"] = F.count(MALFORMED)
+    return _write("bronze", df, target, checks, suite=tuple(suite), ledger=ledger)
 
 
 def clean_layer(
@@ -105,32 +161,72 @@ def clean_layer(
     target: str,
     suite: Sequence[Expectation] = (),
     checked: LayerRun | None = None,
+    ledger: Ledger = DEFAULT,
+    quarantine: str | None = None,
+    rejected: str | None = None,
+    gate: Sequence[Expectation] = (),
+    balance_type: str | None = None,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> LayerRun:
     """Gate, de-duplicate and fill a Parquet layer.
 
-    Raises :class:`InvalidTypeError` if a type is outside the domain and
-    ``ValueError`` if an expectation of ``suite`` fails; nothing is written then.
+    Raises :class:`ChecksFailed` if an expectation of ``suite`` fails, and
+    :class:`InvalidTypeError` if a type is outside the domain; nothing is written
+    then, but the complete report of types goes to ``rejected`` if that path is
+    given. With a ``quarantine`` path the rows with such types and the malformed
+    lines of the source are written there instead, and the others are cleaned.
 
     The checks come from ``checked``, the ingest of ``source`` with the same
-    suite; without it, from one scan of the columns they need. They stay in the
-    result, as they include the rows per broken fee rule.
+    suite and ledger (anything else is a ``ValueError``); without it, from one
+    scan of the columns they need. They stay in the result, as they include the
+    rows per broken fee rule.
+
+    ``gate`` is a suite for the cleaned rows, ``balance_type`` a type whose rows
+    must all satisfy the balance arithmetic (check ``balance_unexpected``); both
+    are taken while writing, and raise :class:`ChecksFailed` after it.
     """
-    df = assert_columns(read_layer(spark, source))
     if checked is None:
-        counts = {"rows": F.count(F.lit(1)), **layer_checks(suite)}
+        df = assert_columns(read_layer(spark, source))
+        counts = {"rows": F.count(F.lit(1)), **layer_checks(suite, ledger)}
+        if MALFORMED in df.columns:
+            counts["malformed_lines"] = F.count(MALFORMED)
         seen = df.agg(*(c.alias(name) for name, c in counts.items())).first().asDict()
-        checked = LayerRun("bronze", source, seen.pop("rows"), seen)
-
-    if checked.checks["invalid_types"]:
-        assert_domain(df)
-    names = [_check_name(i, e) for i, e in enumerate(suite)]
-    failed = [f"{name} ({checked.checks[name]} cells)" for name in names if checked.checks[name]]
-    if failed:
-        raise ValueError(f"expectations failed: {', '.join(failed)}")
-
-    with sized_shuffle(spark, checked.rows):
-        written = _write("silver", clean(df), target)
-    return replace(written, checks=checked.checks)
+        checked = LayerRun("bronze", source, seen.pop("rows"), seen, tuple(suite), ledger)
+    checked.verify(source, suite, ledger)
+
+    _passed("bronze", checked.checks, list(_suite_checks(suite)))
+    df = assert_columns(read_layer(sized_session(spark, checked.rows, rows_per_partition), source))
+    stray = outside_domain(domain=ledger.types)
+    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
+    bad = checked.checks["invalid_types"] + checked.checks.get("malformed_lines", 0)
+    aside = None
+    if quarantine and bad:
+        apart = F.coalesce(stray, F.lit(False)) | malformed
+        aside = _write("quarantine", df.where(apart), quarantine, ledger=ledger)
+        df = df.where(~apart)
+    elif checked.checks["invalid_types"]:
+        _reject(df, ledger, rejected)
+    df = df.drop(MALFORMED)
+
+    checks = _suite_checks(gate)
+    if balance_type:
+        holds = F.coalesce(balance_drift() < F.lit(BALANCE_TOLERANCE), F.lit(False))
+        checks["balance_unexpected"] = F.count_if((F.col("type") == balance_type) & ~holds)
+    rows = clean(df, rules=ledger.fee_rules)
+    written = _write("silver", rows, target, checks, ledger=ledger, quarantined=aside)
+    _passed("silver", written.checks, list(checks))
+    return replace(written, checks={**checked.checks, **written.checks})
+
+
+def _reject(df: DataFrame, ledger: Ledger, path: str | None) -> None:
+    """Raise, with the complete report of types outside the domain."""
+    report = invalid_type_report(df, ledger.types)
+    if path:
+        totals = write_layer(report, path, {"of": F.sum("count")})
+        report = read_layer(df.sparkSession, path, report.schema)
+        raise InvalidTypeError(totals["of"], totals["rows"], report)
+    rows, types = report.agg(F.sum("count"), F.count("*")).first()
+    raise InvalidTypeError(rows, types, report)
 
 
 def metrics_layer(
@@ -139,18 +235,28 @@ def metrics_layer(
     target: str,
     median: str = "exact",
     cleaned: LayerRun | None = None,
+    ledger: Ledger = DEFAULT,
+    gate: Sequence[Expectation] = (),
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> LayerRun:
     """Metrics per type of a cleaned Parquet layer.
 
-    ``cleaned``, the run that wrote ``source``, tells that its types are inside
-    the domain and how many rows to size the median's shuffle for.
+    ``cleaned``, the run that wrote ``source`` under the same ledger, tells that
+    its types are inside the domain and how many rows to size shuffles for;
+    without it the rows are counted and any type may occur. ``gate`` is a suite
+    for the metrics, taken while writing; :class:`ChecksFailed` comes after it.
     """
-    df = read_layer(spark, source)
     if cleaned is None:
-        return _write("gold", type_metrics(df, median), target)
-    # Two narrow columns of the rows around the medians.
-    with sized_shuffle(spark, cleaned.rows // 16):
-        return _write("gold", type_metrics(df, median, TRANSACTION_TYPES), target)
+        rows, domain = read_layer(spark, source).count(), None
+    else:
+        cleaned.verify(source, cleaned.suite, ledger)
+        rows, domain = cleaned.rows // 16, ledger.types  # two columns near the medians
+    df = read_layer(sized_session(spark, rows, rows_per_partition), source)
+    metrics = type_metrics(df, median, domain, ledger.large_amount, ledger.accuracy)
+    checks = _suite_checks(gate)
+    written = _write("gold", metrics, target, checks, suite=tuple(gate), ledger=ledger)
+    _passed("gold", written.checks, list(checks))
+    return written
 
 
 def run_medallion(
@@ -161,17 +267,44 @@ def run_medallion(
     median: str = "exact",
     suite: Sequence[Expectation] = (),
     strict_header: bool = False,
+    ledger: Ledger = DEFAULT,
+    quarantine: bool = False,
+    clean_gate: Sequence[Expectation] = (),
+    balance_type: str | None = None,
+    metric_gate: Sequence[Expectation] = (),
+    skip_unreadable: bool = False,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> MedallionRun:
     """Run all three layers on the caller's session.
 
     Output goes to ``<base>/<layer>/run_id=<run_id>``. Repeating a run id
-    replaces that run's output.
+    replaces that run's output. ``quarantine`` sets bad types and malformed lines
+    aside in the layer ``quarantine`` instead of stopping the run; otherwise a
+    stopped run leaves the complete report of bad types in the layer ``rejected``.
+    The gates are described at :func:`clean_layer` and :func:`metrics_layer`.
     """
     started = datetime.now()
     run_id = run_id or new_run_id()
-    path = {layer: layer_path(base, layer, run_id) for layer in ("bronze", "silver", "gold")}
-
-    bronze = ingest_layer(spark, source, path["bronze"], suite, strict_header)
-    silver = clean_layer(spark, bronze.path, path["silver"], suite, checked=bronze)
-    gold = metrics_layer(spark, silver.path, path["gold"], median, cleaned=silver)
+    layers = ("bronze", "silver", "gold", "quarantine", "rejected")
+    path = {layer: layer_path(base, layer, run_id) for layer in layers}
+
+    bronze = ingest_layer(
+        spark, source, path["bronze"], suite, strict_header, ledger, quarantine, skip_unreadable
+    )
+    silver = clean_layer(
+        spark,
+        bronze.path,
+        path["silver"],
+        suite,
+        bronze,
+        ledger,
+        path["quarantine"] if quarantine else None,
+        path["rejected"],
+        clean_gate,
+        balance_type,
+        rows_per_partition,
+    )
+    gold = metrics_layer(
+        spark, silver.path, path["gold"], median, silver, ledger, metric_gate, rows_per_partition
+    )
     return MedallionRun(bronze, silver, gold, started, datetime.now() - started)

@@ -2,6 +2,14 @@
 
 from .layout import layer_path, new_run_id
 from .readers import read_layer, read_transactions_csv
+from .scratch import scratch_path
 from .writers import write_layer
 
-__all__ = ["layer_path", "new_run_id", "read_layer", "read_transactions_csv", "write_layer"]
+__all__ = [
+    "layer_path",
+    "new_run_id",
+    "read_layer",
+    "read_transactions_csv",
+    "scratch_path",
+    "write_layer",
+]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 
 def new_run_id() -> str:
-    """A run id that sorts by start time."""
-    return datetime.now(timezone.utc).strftime("%Y-%m-%d_%H-%M-%S")
+    """A run id that sorts by start time and that no other run gets."""
+    now = datetime.now(timezone.utc)
+    return f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def layer_path(base: str, layer: str, run_id: str) -> str:

@@ -2,6 +2,7 @@ import pytest
 
 from ledgerlake import operators as op
 from ledgerlake.contracts import METRIC_COLUMNS, TRANSACTION_TYPES
+from ledgerlake.operators.metrics import over_all
 
 PLANS = [
     {"median": "exact", "domain": TRANSACTION_TYPES},
@@ -20,17 +21,17 @@ def metrics(request):
 
 
 def test_two_equal_payments(frame, metrics):
-    row = ("PAYMENT", 1000.0, 2000.0, 1000.0)
+    row = ("PAYMENT", 3000.0, 12000.0, 9000.0)
     got = metrics(frame(row, row))
     assert got["PAYMENT"].asDict() == {
         "type": "PAYMENT",
         "transaction_count": 2,
-        "avg_amount_k": 1.0,
-        "total_volume_m": 0.002,
-        "median_amount_k": 1.0,
-        "avg_balance_change_pct": -50.0,
+        "avg_amount_k": 3.0,
+        "total_volume_m": 0.006,
+        "median_amount_k": 3.0,
+        "avg_balance_change_pct": -25.0,
         "zero_balance_count": 0,
-        "volume_to_balance_ratio": 0.5,
+        "volume_to_balance_ratio": 0.25,
         "large_txn_ratio_pct": 0.0,
         "percentage_of_total": 100.0,
     }
@@ -103,7 +104,34 @@ def test_unknown_median_is_an_error(frame):
 
 def test_share_of_total(spark):
     counts = spark.createDataFrame([("a", 1), ("b", 3)], "g string, n bigint")
-    assert {r.g: r.percentage_of_total for r in op.share_of_total(counts, "n").collect()} == {"a": 25.0, "b": 75.0}
+    for total in (None, over_all("n")):
+        shares = {r.g: r.percentage_of_total for r in op.share_of_total(counts, "n", total).collect()}
+        assert shares == {"a": 25.0, "b": 75.0}
+    # The default does not bring the groups to one task.
+    assert "Window" not in op.share_of_total(counts, "n")._jdf.queryExecution().toString()
+
+
+def test_sketch_is_near_the_middle_rank(spark):
+    # 2 000 000 different amounts: the sketch can't hold them all.
+    df = spark.range(0, 2_000_000, 1, 70).selectExpr(
+        "'DEBIT' as type", "double((id * 7919) % 2000000) as amount",
+        "1d as oldbalanceOrg", "1d as newbalanceOrig",
+    )
+    got = op.type_metrics(df, "approx").first().median_amount_k * 1000
+    assert abs(got - 1_000_000) < 0.005 * 2_000_000
+
+
+def test_exact_median_reads_its_input_three_times(spark, frame, tmp_path):
+    """Counted in the plan that ran, where every reused shuffle is one scan less."""
+    path = str(tmp_path / "layer")
+    rows = [(t, float(i), 2.0, 1.0) for i in range(200) for t in ("DEBIT", "PAYMENT")]
+    frame(*rows).write.parquet(path)
+    for options, most in (({"domain": TRANSACTION_TYPES}, 3), ({"median": "approx", "domain": TRANSACTION_TYPES}, 1)):
+        result = op.type_metrics(spark.read.parquet(path), **options)
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == most
 
 
 def test_scans_read_only_the_columns_they_need(spark, frame, tmp_path):

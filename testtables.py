@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .contracts import TRANSACTION_SCHEMA
+from ledgerlake.contracts import TRANSACTION_SCHEMA
+from ledgerlake.sources import scratch_path
 
 # Which transaction type stands for an order priority.
 TYPE_OF_PRIORITY = {
@@ -83,19 +79,6 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share.
-
-    That is ``spark.checkpoint.dir`` if the session names one. Only a session
-    without it, as in local tests, gets a temporary folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="ledgerlake-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return f"{shared.rstrip('/')}/ledgerlake/{name}-{uuid.uuid4().hex}"
-
-
 def write_transactions_csv(spark: SparkSession, sf_dir: str) -> str:
     """Store :func:`transactions` as CSV files with a header; return the path."""
     path = scratch_path(spark, "csv")
