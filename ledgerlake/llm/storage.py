@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-_own: list[str] = []
-
+from ..sources import scratch_path
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; Spark deletes it when it ends.
-
-    A session of this machine alone (``local[n]``) may leave the setting out and
-    gets a temporary folder. On a cluster that is an error: what one executor
-    writes to its own disk the others cannot read.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="ledgerlake-"))
-            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
-        base = _own[0]
-    folder = f"{base.rstrip('/')}/ledgerlake-llm/{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
+    """A new folder that all executors share; see :func:`..sources.scratch_path`."""
+    return scratch_path(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:
