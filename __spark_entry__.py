@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlake import operators as op  # noqa: E402
-from ledgerlake.contracts import TRANSACTION_SCHEMA, TRANSACTION_TYPES  # noqa: E402
+from ledgerlake.contracts import (  # noqa: E402
+    REQUIRED_COLUMNS,
+    TRANSACTION_SCHEMA,
+    TRANSACTION_TYPES,
+)
 from ledgerlake.plans import MALFORMED, ingest_layer, run_medallion  # noqa: E402
 from ledgerlake.sources import (  # noqa: E402
     read_layer,
@@ -97,6 +101,34 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lenient_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a stored table, read together with files of another format."""
+    rows = transactions(spark, sf_dir)
+    good, broken = scratch_path(spark, "good"), scratch_path(spark, "broken")
+    write_layer(rows, good)
+    rows.write.csv(broken)
+    found = read_layer(spark, [good, broken], rows.schema, skip_unreadable=True)
+    return found.groupBy("type").agg(F.count("*").alias("readable_rows"))
+
+
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that are there in the columns which every step requires."""
+    rows = op.assert_columns(transactions(spark, sf_dir))
+    return rows.agg(*(F.count(c).alias(f"present_{c}") for c in REQUIRED_COLUMNS))
+
+
+def invalid_type_emptiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the report of invalid types is empty, before and after spoiling."""
+    tables = {"clean": transactions(spark, sf_dir), "dirty": dirty_transactions(spark, sf_dir)}
+    found = [
+        op.invalid_type_report(df).agg(
+            F.lit(name).alias("table_name"), (F.count("*") == 0).alias("is_empty")
+        )
+        for name, df in tables.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _write_dirty_csv(spark: SparkSession, sf_dir: str) -> str:
     """Dirty transactions as CSV in which some amounts are not numbers."""
     path = scratch_path(spark, "csv")
@@ -233,6 +265,9 @@ def queries() -> dict[str, Query]:
         medallion_end_to_end,
         medallion_quarantine,
         malformed_lines,
+        lenient_scan,
+        required_columns,
+        invalid_type_emptiness,
     )
     named = {query.__name__: query for query in registered}
     if llm_queries:
@@ -411,6 +446,14 @@ def oracle_sql() -> dict[str, str]:
              SELECT 'bronze' AS layer, count(*) AS stored_rows FROM broken
              UNION ALL SELECT 'silver', count(*) FROM good
              UNION ALL SELECT 'quarantine', count(*) FROM broken WHERE apart""",
+        "lenient_scan": _TXN + " SELECT type, count(*) AS readable_rows FROM txn GROUP BY type",
+        "required_columns": _TXN
+        + """ SELECT count(type) AS present_type, count(amount) AS present_amount,
+                     count(oldbalanceOrg) AS "present_oldbalanceOrg",
+                     count(newbalanceOrig) AS "present_newbalanceOrig" FROM txn""",
+        "invalid_type_emptiness": _DIRTY
+        + f""" SELECT 'clean' AS table_name, count(*) FILTER (WHERE type NOT IN {_DOMAIN}) = 0 AS is_empty FROM txn
+               UNION ALL SELECT 'dirty', count(*) FILTER (WHERE type NOT IN {_DOMAIN}) = 0 FROM dirty""",
         "malformed_lines": _BROKEN
         + """ SELECT count(*) FILTER (WHERE txn_id % 101 = 0) AS counted_lines,
                      count(*) FILTER (WHERE txn_id % 101 = 0) AS stored_lines FROM broken""",

@@ -40,14 +40,15 @@ def read_transactions_csv(
 
 def read_layer(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | None = None,
     skip_unreadable: bool = False,
 ) -> DataFrame:
-    """Read a stored layer.
+    """Read a stored layer, or several as one.
 
     The schema comes from one file unless it is given, which it should be if
     that file may be an unreadable one.
     """
     reader = spark.read.options(**_lenient(skip_unreadable))
-    return (reader.schema(schema) if schema else reader).parquet(path)
+    paths = [path] if isinstance(path, str) else path
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
