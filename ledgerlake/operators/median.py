@@ -25,6 +25,7 @@ def median_by_key(
     value: str,
     domain: Sequence[str] | None = None,
     salts: int = SALTS,
+    sums: Sequence[Column] = (),
 ) -> DataFrame:
     """The lower median of ``value`` per key: ``(key, median)``.
 
@@ -44,8 +45,15 @@ def median_by_key(
     parts by a hash of the values.
 
     Keys without any non-null value are left out.
+
+    ``sums`` are named aggregates over ``df`` that can be added up over parts of it.
+    They are taken together with the counts per coarse bin, so they cost no scan
+    of their own, and are returned per key as further columns; then every key is
+    in the result, with a null median if it has no value. For a closed domain.
     """
     closed = domain is not None
+    if sums and not closed:
+        raise ValueError("sums need a closed domain")
     if closed and len(domain) > MAX_DOMAIN:
         raise ValueError(f"a closed domain has at most {MAX_DOMAIN} keys; leave it out")
     names = F.array(*(F.lit(name) for name in domain)) if closed else None
@@ -71,9 +79,16 @@ def median_by_key(
         return rows.join(chosen, match & (part == F.col("part"))).drop("of_key", "chosen", "part")
 
     coarse_bin = log_bin(F.col("value"), _COARSE_PER_E_FOLD)
-    coarse = rows.groupBy("key", coarse_bin.alias("bin")).agg(
-        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    if sums:
+        coarse = df.groupBy(_place(key, names).alias("key"), log_bin(F.col(value), _COARSE_PER_E_FOLD).alias("bin"))
+        coarse = coarse.agg(
+            F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), *sums
+        )
+        coarse = _all_needed(coarse)
+    else:
+        coarse = rows.groupBy("key", coarse_bin.alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
     middle = F.ceil(F.sum("n").over(Window.partitionBy("key")) / 2)
     chosen = _holding_rank(coarse.withColumn("rank", middle), "bin")
     near = in_chosen(rows, chosen, coarse_bin, bin_span(_COARSE_PER_E_FOLD))
@@ -91,7 +106,20 @@ def median_by_key(
     name = F.col("key")
     if closed:
         name = F.when(name > 0, F.element_at(names, name.cast("int")))
-    return _holding_rank(nearest, "value").select(name.alias(key), F.col("value").alias("median"))
+    found = _holding_rank(nearest, "value").select("key", F.col("value").alias("median"))
+    if not sums:
+        return found.select(name.alias(key), "median")
+    added = [c for c in coarse.columns if c not in ("key", "bin", "n", "low", "high")]
+    totals = coarse.groupBy("key").agg(*(F.sum(c).alias(c) for c in added))
+    medians = F.broadcast(found.withColumnRenamed("key", "of_key"))  # a row per key
+    totals = totals.join(medians, F.col("key") == F.col("of_key"), "left")
+    return totals.select(name.alias(key), "median", *added)
+
+
+def _all_needed(coarse: DataFrame) -> DataFrame:
+    """A filter that is always true and looks at every column, so that all readers
+    need the same ones and share one scan and shuffle."""
+    return coarse.where(F.size(F.array(*(F.col(c).cast("double") for c in coarse.columns))) > 0)
 
 
 def _place(key: str, names: Column) -> Column:

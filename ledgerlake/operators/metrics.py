@@ -97,7 +97,7 @@ def type_metrics(
     whose sketches are merged first, then those of the groups, so no task merges
     the sketches of all scan tasks. NaN amounts are left out of a sketch.
 
-    The exact median reads ``df`` again, so store it first if it is expensive.
+    The exact plan reads ``df`` twice, so store it first if it is expensive.
 
     Give ``domain`` if ``df`` has passed the gate for it. The exact median then
     needs no shuffle of the table, and fails on a type outside the domain; the
@@ -109,12 +109,12 @@ def type_metrics(
 
     if median == "approx":
         metrics = _with_sketch(df, large_amount, accuracy)
+    elif domain is not None:
+        sums = _sums(large_amount)
+        metrics = _finished(median_by_key(df, "type", "amount", domain, sums=sums))
     else:
-        medians = median_by_key(df, "type", "amount", domain)
-        medians = medians.withColumnRenamed("type", "median_type")
+        medians = median_by_key(df, "type", "amount").withColumnRenamed("type", "median_type")
         metrics = _finished(df.groupBy("type").agg(*_sums(large_amount)))
-        if domain is not None:
-            medians = F.broadcast(medians)
         same_type = F.col("type").eqNullSafe(F.col("median_type"))
         metrics = metrics.join(medians, same_type, "left")
 

@@ -121,12 +121,12 @@ def test_sketch_is_near_the_middle_rank(spark):
     assert abs(got - 1_000_000) < 0.005 * 2_000_000
 
 
-def test_exact_median_reads_its_input_three_times(spark, frame, tmp_path):
+def test_exact_median_reads_its_input_twice(spark, frame, tmp_path):
     """Counted in the plan that ran, where every reused shuffle is one scan less."""
     path = str(tmp_path / "layer")
     rows = [(t, float(i), 2.0, 1.0) for i in range(200) for t in ("DEBIT", "PAYMENT")]
     frame(*rows).write.parquet(path)
-    for options, most in (({"domain": TRANSACTION_TYPES}, 3), ({"median": "approx", "domain": TRANSACTION_TYPES}, 1)):
+    for options, most in (({"domain": TRANSACTION_TYPES}, 2), ({"median": "approx", "domain": TRANSACTION_TYPES}, 1)):
         result = op.type_metrics(spark.read.parquet(path), **options)
         result.collect()
         plan = result._jdf.queryExecution().executedPlan().toString()
@@ -149,5 +149,5 @@ def test_scans_read_only_the_columns_they_need(spark, frame, tmp_path):
     assert scans(median="approx") == [wide]
     assert "ReadSchema: struct<>" in op.type_metrics(df, "approx")._jdf.queryExecution().executedPlan().toString()
     exact = scans(domain=TRANSACTION_TYPES)
-    assert exact.count(wide) == 1
+    # How many of these scans run is counted in the test above: shuffles are reused.
     assert set(exact) == {wide, "struct<type:string,amount:double>"}
