@@ -38,7 +38,7 @@ def test_two_equal_payments(frame, metrics):
 
 
 def test_column_order_and_types(frame):
-    result = op.type_metrics(frame(("PAYMENT", 1000.0, 2000.0, 1000.0)))
+    result = op.type_metrics(frame(("CASH_IN", 470.0, 30.0, 500.0)))
     assert tuple(result.columns) == METRIC_COLUMNS
     kinds = dict(result.dtypes)
     assert kinds.pop("type") == "string"
