@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import scratch_path
 
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors share; see :func:`..sources.scratch_path`."""
     return scratch_path(spark, "llm")
@@ -30,10 +31,13 @@ def stored(df: DataFrame) -> DataFrame:
 def mounted_folder(spark: SparkSession) -> str:
     """A new shared folder as a plain path, for arrays that workers map to memory."""
     folder = shared_folder(spark)
-    scheme, _, rest = folder.rpartition("://")
-    if scheme not in ("", "file"):
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        path = folder
+    elif scheme == "file":
+        path = "/" + rest.lstrip("/")
+    else:
         raise ValueError(f"arrays can be mapped only in a mounted folder, not in {folder}")
-    path = rest if scheme else folder.removeprefix("file:")
     os.makedirs(path, exist_ok=True)
     return path
 
