@@ -84,13 +84,17 @@ class BigramModel:
         shard = np.searchsorted(self.vocabulary.starts, positions, "right") - 1
         return self.vocabulary.take("before_n", positions) + np.asarray(self.starts)[shard]
 
+    def _at(self, context, context_count, share) -> np.ndarray:
+        """The shard at this share of a context's run of shards."""
+        known = np.minimum(context, len(self.vocabulary) - 1)
+        begin = np.where(context == len(self.vocabulary), self.tokens, self.before(known))
+        place = (begin + context_count * share) / (self.tokens + self.documents)
+        return np.minimum((place * self.shards).astype(np.int64), self.shards - 1)
+
     def shard_of(self, context, context_count, word) -> np.ndarray:
         """A context owns a run of shards by its share of all tokens; the next
         word's place in that run is by hash, so a frequent context is spread."""
-        spread = (word * 0x9E3779B1 % (1 << 32)) / (1 << 32)
-        begin = np.where(context == len(self.vocabulary), self.tokens, self.before(np.minimum(context, len(self.vocabulary) - 1)))
-        place = (begin + context_count * spread) / (self.tokens + self.documents)
-        return np.minimum((place * self.shards).astype(np.int64), self.shards - 1)
+        return self._at(context, context_count, (word * 0x9E3779B1 % (1 << 32)) / (1 << 32))
 
     def array(self, name: str) -> np.ndarray:
         opened = self.__dict__.setdefault("_open", {})
@@ -120,7 +124,7 @@ class BigramModel:
         if not len(usable):
             return np.log10(p)
         u, n, w = context[usable], context_count[usable], word[usable]
-        count, gamma = np.zeros(len(u)), np.zeros(len(u))
+        count = np.zeros(len(u))
         key = (u.astype(np.uint64) << np.uint64(32)) | np.maximum(w, 0).astype(np.uint64)
         shard = self.shard_of(u, n, np.maximum(w, 0))
         for s in np.unique(shard).tolist():
@@ -139,21 +143,12 @@ class BigramModel:
                 ]
             count[order] = np.where(hit, found, 0)
         # A context's bigrams may lie in several shards; its sums are added up.
-        kinds, first, back = np.unique(u, return_index=True, return_inverse=True)
-        numbers = n[first]
-        zero = np.zeros(len(kinds), np.int64)
-        begin = np.where(kinds == len(self.vocabulary), self.tokens, self.before(np.minimum(kinds, len(self.vocabulary) - 1)))
-        scale = self.shards / (self.tokens + self.documents)
-        from_shard = np.minimum((begin * scale).astype(np.int64) - 1, self.shards - 1).clip(0)
-        to_shard = np.minimum(((begin + numbers) * scale).astype(np.int64) + 1, self.shards - 1)
+        kinds, one, back = np.unique(u, return_index=True, return_inverse=True)
+        first, last = (self._at(kinds, n[one], share) for share in (0.0, 1.0))
         sums = np.zeros((len(kinds), 3))
-        touched = np.unique(np.concatenate([from_shard + i for i in range(3)])).tolist()
-        wide = np.flatnonzero(to_shard - from_shard > 2)
-        if len(wide):
-            touched = range(self.shards)
-        for s in touched:
-            at = np.flatnonzero((from_shard <= s) & (s <= to_shard)) if s < self.shards else zero[:0]
-            contexts = self.array(f"context-{s}") if len(at) else zero[:0]
+        for s in range(first.min(), last.max() + 1):
+            at = np.flatnonzero((first <= s) & (s <= last))
+            contexts = self.array(f"context-{s}") if len(at) else at
             if not len(contexts):
                 continue
             place = np.minimum(np.searchsorted(contexts, kinds[at]), len(contexts) - 1)
