@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 
 from .small_tables import gapless_rank
 from .storage import stored
+from .text import slices
 
 CAPACITY, SEPARATOR = 2048, 0
 
@@ -22,25 +24,72 @@ class TokenIds(dict):
     """Token ids of a word as little-endian bytes, remembered up to ``most`` words.
 
     The tokenizer sees white space as a border that no token crosses, so a
-    text's ids are those of its words in a row. Unknown words are encoded
-    together, a batch at a time.
+    text's ids are those of its words in a row. Likewise for the border between
+    a letter or digit and punctuation behind it, and upper-case letters have the
+    ids of lower-case ones; so few different words are left to encode. Those of
+    letters alone are encoded many in a text, and told apart by the tokens that
+    end a word.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    PUNCTUATION = b".,!?;:"
+
+    def __init__(self, path: str, most: int = 700_000):
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.ending = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ending[i] = token.endswith("</w>")
 
-    def learn(self, found: set[bytes]) -> None:
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Encode the words of these texts that are not known yet."""
+        found = {word for words in texts for word in words if word not in self}
         if len(self) + len(found) > self.most:
             self.clear()
-        unknown = sorted(found.difference(self))
-        for i in range(0, len(unknown), 4096):
-            part = unknown[i : i + 4096]
-            encoded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
-            )
-            for word, e in zip(part, encoded, strict=True):
-                self[word] = np.array(e.ids, "<u4").tobytes()
+            found = {word for words in texts for word in words}
+        plain, parts, need = [], [], set()
+        for word in found:
+            core = word.rstrip(self.PUNCTUATION)
+            if core.isalpha():  # ASCII letters alone
+                tail, core = word[len(core) :], core.lower()
+            elif core[-1:].isalnum() or core.decode("utf-8", "replace").lower()[-1:].isalnum():
+                tail = word[len(core) :]
+            else:
+                tail, core = b"", word
+            need.add(core)
+            if tail:
+                need.add(tail)
+                parts.append((word, core, tail))
+            elif core != word:
+                plain.append((word, core))
+        self._encode([word for word in need if word not in self])
+        for word, core in plain:
+            self[word] = self[core]
+        for word, core, tail in parts:
+            self[word] = self[core] + self[tail]
+
+    def _encode(self, need: list[bytes]) -> None:
+        single, letters = [], []
+        for word in need:
+            text = word.decode("utf-8", "replace")
+            (letters if text.isalpha() else single).append((text, word))
+        groups = [letters[i : i + 512] for i in range(0, len(letters), 512)]
+        texts = [" ".join(text for text, _ in group) for group in groups]
+        for group, ids in zip(groups, self._ids(texts), strict=True):
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                single += group
+                continue
+            data, start = ids.tobytes(), 0
+            for (_, word), end in zip(group, (4 * ends).tolist(), strict=True):
+                self[word] = data[start:end]
+                start = end
+        for (_, word), ids in zip(single, self._ids([text for text, _ in single]), strict=True):
+            self[word] = ids.tobytes()
+
+    def _ids(self, texts: list[str]):
+        for i in range(0, len(texts), 1024):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False):
+                yield np.array(e.ids, "<u4")
 
 
 def token_pieces(
@@ -64,26 +113,22 @@ def token_pieces(
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         known = TokenIds(tokenizer)
-        for batch in batches:
-            found = [
-                (x or "").encode("utf-8", "surrogatepass").split()
-                for x in batch.column(1).to_pylist()
-            ]
+        for batch in slices(batches):
+            texts = [(x or b"").split() for x in batch.column(1).cast(pa.binary()).to_pylist()]
+            known.learn(texts)
             at, columns = [], [[] for _ in names]
-            for first in range(0, len(found), 256):
-                part = found[first : first + 256]
-                known.learn(set().union(*part))
-                for row, words in enumerate(part, first):
-                    data = b"".join(map(known.__getitem__, words)) + end
-                    for piece, i in enumerate(range(0, len(data), 4 * capacity)):
-                        own = data[i : i + 4 * capacity]
-                        at.append(row)
-                        values = [piece, i // 4, len(own) // 4, zlib.crc32(own)]
-                        if ids:
-                            values.append(np.frombuffer(own, "<u4").astype(np.int32))
-                        for column, value in zip(columns, values, strict=True):
-                            column.append(value)
+            for row, words in enumerate(texts):
+                data = b"".join(map(known.__getitem__, words)) + end
+                for piece, i in enumerate(range(0, len(data), 4 * capacity)):
+                    own = data[i : i + 4 * capacity]
+                    at.append(row)
+                    values = [piece, i // 4, len(own) // 4, zlib.crc32(own)]
+                    if ids:
+                        values.append(np.frombuffer(own, "<u4").astype(np.int32))
+                    for column, value in zip(columns, values, strict=True):
+                        column.append(value)
             keys = batch.column(0).take(pa.array(at, pa.int32()))
             made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([keys, *made], names=["key", *names])

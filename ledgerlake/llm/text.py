@@ -24,7 +24,7 @@ def words(text: str | None, lower: bool = True) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash per word, remembered up to ``most`` words at a time."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
 
@@ -70,6 +70,14 @@ def unsigned(values) -> np.ndarray:
     return np.asarray(values, np.int64).view(np.uint64)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def with_columns(
     df: DataFrame, text: str, make: Callable[[], Callable], added: T.StructType
 ) -> DataFrame:
@@ -88,7 +96,7 @@ def with_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
+        for batch in slices(batches):
             made = compute(batch.column(source).to_pylist())
             arrays = [pa.array(c, k) for c, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerlake.llm.packing import pack_documents, plan_best_fit
+from ledgerlake.llm.packing import TokenIds, pack_documents, plan_best_fit
 
 from .data import empty, odd, odd_rows
 
@@ -74,5 +75,18 @@ def test_odd_rows(spark, capacity):
     assert max(ends.values()) <= capacity
 
 
+def test_ids_of_words_are_those_of_the_text():
+    rng = random.Random(1)
+    signs = ["a", "Ab", "é", "É", "e\u0301", "1", "²", "Ⅷ", ".", ",", "!", "'", "s", "'s", "'LL", "#", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    signs += ["İ", "ẞ", "Σ", "ς", "ﬁ", "𝄞", "中", "\u0301", "\u037e", "\x85", "\x1c", "\u200b", "\xa0", " ", "\n", "\t", "\x00"]
+    whole, known = Tokenizer.from_file(PATH), TokenIds(PATH, most=3000)
+    for _ in range(3000):
+        text = "".join(rng.choices(signs, k=rng.randrange(1, 14)))
+        words = text.encode().split()
+        known.learn([words])
+        ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_empty(spark):
     assert pack_documents(empty(spark), PATH).count() == 0
