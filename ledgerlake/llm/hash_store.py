@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import map_array, mounted_folder, save_array
+from .text import slices
 
 #: Hashes per shard file, about.
 SHARD_ROWS = 500_000
@@ -114,7 +115,7 @@ def write_store(rows: DataFrame, names: list[str], shard_rows: int = SHARD_ROWS)
     return HashStore(folder, bits, starts, sums)
 
 
-def summed_hashes(table: DataFrame, make_hashes, flush: int = 1_000_000) -> DataFrame:
+def summed_hashes(table: DataFrame, make_hashes, flush: int = 500_000) -> DataFrame:
     """``(hash, n)``: how often ``make_hashes(batch)`` yields each hash, over all rows.
 
     ``make_hashes()`` gives a function from an Arrow batch to arrays of hashes.
@@ -132,7 +133,7 @@ def summed_hashes(table: DataFrame, make_hashes, flush: int = 1_000_000) -> Data
         def batch_of(k, c):
             return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], names=["hash", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for hashes in of(batch):
                 k, c = np.unique(hashes, return_counts=True)
                 keys.append(k)

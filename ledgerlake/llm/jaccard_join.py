@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
+from .small_tables import small
 from .storage import stored
-from .text import WordHashes, mix, signed, windows, with_columns, words
+from .text import WordHashes, mix, signed, slices, windows, with_columns, words
 
 #: A band's largest size over its smallest.
 BAND_RATIO = 1.4
@@ -34,7 +35,7 @@ BAND_RATIO = 1.4
 SPARE = 0.25
 #: Entries a task holds before it deals them out; sets of a piece compared at a
 #: time; rows in a group of such comparisons.
-FLUSH, BLOCK, GROUP = 2_000_000, 512, 20_000
+FLUSH, BLOCK, GROUP = 500_000, 512, 20_000
 
 
 def shingles(text: str | None, n: int, cache: WordHashes) -> np.ndarray:
@@ -128,8 +129,11 @@ def _shared_pieces(
     schema = "shard int, known boolean, pieces binary, sets binary, more binary"
 
     def deal(keys: np.ndarray, sets: np.ndarray, turn: int) -> pa.RecordBatch:
-        both = np.unique(np.stack([keys, sets], 1), axis=0) if len(keys) else np.empty((0, 2), np.uint64)
-        keys, sets = both[:, 0], both[:, 1]
+        order = np.lexsort((sets, keys))
+        keys, sets = keys[order], sets[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])
+        keys, sets = keys[new], sets[new]
         first = np.ones(len(keys), bool)
         first[1:] = keys[1:] != keys[:-1]
         last = np.ones(len(keys), bool)
@@ -159,7 +163,7 @@ def _shared_pieces(
     def map_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         keys, sets, held, turn = [], [], 0, 0
-        for batch in batches:
+        for batch in slices(batches):
             for value in batch.column(0).to_pylist():
                 members = shingles(value, n, cache)
                 if not len(members):
@@ -205,10 +209,15 @@ def _shared_pieces(
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """``(set_id, members, sketch)`` of the wanted ``(set_id, key)``: texts of these keys only."""
-    keys = wanted.select(F.col("key").alias("wanted_key")).distinct()
+    """``(set_id, members, sketch)`` of the stored ``wanted (set_id, key)``.
+
+    Only the texts of these keys are looked at; texts are shuffled only if the
+    keys are too many to broadcast. Rows that repeat a key's text give one set;
+    texts of one key that differ but have equal sets may give it again.
+    """
+    keys = wanted.select(F.col("set_id").alias("wanted_set"), F.col("key").alias("wanted_key"))
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.join(keys, F.col("key").eqNullSafe(F.col("wanted_key")), "left_semi")
+    rows = rows.join(small(keys), F.col("key").eqNullSafe(F.col("wanted_key"))).drop("wanted_key")
     added = T.StructType(
         [
             T.StructField("set_id", T.LongType()),
@@ -230,10 +239,8 @@ def _sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, n: int)
 
         return compute
 
-    found = with_columns(rows, "text", make, added).select("set_id", "members", "sketch")
-    return found.join(wanted.select("set_id").distinct(), "set_id", "left_semi").dropDuplicates(
-        ["set_id"]
-    )
+    found = with_columns(rows, "text", make, added).where("set_id = wanted_set")
+    return found.select("set_id", "members", "sketch")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,8 +253,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sketch(members: np.ndarray) -> bytes:
-    """A parity bit per hash value modulo a power of two, two to four bits a member."""
-    bits = max(64, 1 << int(2 * len(members) - 1).bit_length())
+    """A parity bit per hash value modulo a power of two, one to two bits a member."""
+    bits = max(64, 1 << int(len(members) - 1).bit_length())
     odd = np.bincount((members % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -266,6 +273,43 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return np.stack(rows)
 
 
+def _allowed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """The largest symmetric difference that sets of these sizes may have."""
+    both = a + b
+    return both - 2 * -(-percent * both // (100 + percent))
+
+
+def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes and sketches allow: far less to verify, and
+    a sketch is a small part of a set."""
+    thin = sets.select("set_id", F.size("members").cast("long").alias("size"), "sketch")
+    left = thin.withColumnsRenamed({"set_id": "a", "size": "size_a", "sketch": "sketch_a"})
+    right = thin.withColumnsRenamed({"set_id": "b", "size": "size_b", "sketch": "sketch_b"})
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            a, b = batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist()
+            sizes = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            most = _allowed(*sizes, percent)
+            widths = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)])
+            kept = np.zeros(len(a), bool)
+            for x, y in np.unique(widths, axis=0).tolist() if len(a) else []:
+                at = np.flatnonzero((widths == (x, y)).all(1))
+                width = min(x, y) // 8
+                rows = (
+                    np.bitwise_xor.reduce(
+                        np.frombuffer(b"".join(s[i] for i in at), np.uint64).reshape(len(at), -1, width), axis=1
+                    )
+                    for s in (a, b)
+                )
+                kept[at] = np.bitwise_count(np.bitwise_xor(*rows)).sum(1) <= most[at]
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    joined = pairs.join(left, "a").join(right, "b").where(100 * smaller >= percent * larger)
+    return joined.mapInArrow(near, "a bigint, b bigint")
+
+
 def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of one piece in different components that their sketches allow.
 
@@ -282,12 +326,13 @@ def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> Da
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     thin = sets.select("set_id", F.size("members").alias("size"), "sketch")
     low, high = F.least("block", "other"), F.greatest("block", "other")
+    # The sketches come last, so that only the last shuffle carries them.
     dealt = (
-        members.join(thin, "set_id")
-        .join(sizes, "piece")
+        members.join(sizes, "piece")
         .withColumn("block", block)
         .withColumn("other", other)
         .withColumn("unit", F.xxhash64("piece", low, high))
+        .join(thin, "set_id")
         .select(
             F.pmod("unit", F.lit(groups)).alias("group"),
             "unit",
@@ -316,8 +361,7 @@ def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> Da
             names, parts, sizes = name[part], component[part], size[part]
             to = np.flatnonzero(right[part])
             for x in np.flatnonzero(left[part]):
-                both = sizes[x] + sizes[to]
-                most = both - 2 * -(-percent * both // (100 + percent))
+                most = _allowed(sizes[to], sizes[x], percent)
                 apart = parts[to] != parts[x]
                 apart &= np.abs(sizes[to] - sizes[x]) <= most
                 y, most = to[apart], most[apart]
@@ -362,9 +406,9 @@ def jaccard_components(
         lowest = members.groupBy("piece").agg(F.min("set_id").alias("a"))
         stars = members.join(lowest, "piece").where(F.col("a") != F.col("set_id"))
         stars = stars.select("a", F.col("set_id").alias("b")).distinct()
-        wanted = members.select("set_id").distinct().join(classes, "set_id")
+        wanted = stored(members.select("set_id").distinct().join(classes, "set_id"))
         sets = stored(_sets(documents, wanted, key, text, n))
-        links = stored(_verified(stars, sets, percent))
+        links = stored(_verified(_sketched(stars, sets, percent), sets, percent))
         merged = stored(components(links))
 
         placed = members.join(merged, F.col("set_id") == F.col("node"), "left").select(

@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 
 from .hash_store import HashStore, summed_hashes, write_store
 from .storage import map_array, mounted_folder, save_array, stored
-from .text import WordHashes, with_columns, words
+from .text import WordHashes, slices, with_columns, words
 
 #: The hash that stands for a text's end.
 END = np.uint64(1)
 #: Training tokens per bigram shard; vocabulary entries per array of word types.
 SHARD_TOKENS, TYPE_ROWS = 1_000_000, 1 << 18
 #: Bigrams a task holds before it deals them out; tokens scored at a time.
-FLUSH, BATCH_TOKENS = 2_000_000, 250_000
+FLUSH, BATCH_TOKENS = 1_000_000, 250_000
 
 
 def text_hashes(text: str | None, cache: WordHashes) -> np.ndarray:
@@ -228,7 +228,7 @@ def _count_bigrams(texts: DataFrame, model: BigramModel) -> BigramModel:
                 names=["shard", "once", "several", "counts"],
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             for hashes, sizes in _batches(batch.column(0).to_pylist(), cache):
                 w, _ = model.positions(hashes)
                 keys.append(_pair_keys(w, sizes, len(model.vocabulary)))
