@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 
 from .hash_store import HashStore, summed_hashes, write_store
 from .storage import stored
-from .text import WordHashes, mix, words
+from .text import WordHashes, mix, slices, words
 
 #: Terms in at least and at most these shares of all documents form the lexicon.
 MIN_SHARE, MAX_SHARE = 1e-4, 0.1
+#: Documents in a run of consecutive keys, about; runs there may be at most.
+RUN_ROWS, MAX_RUNS = 1_000, 40_000
 #: One fingerprint part covers the whole lexicon; then, for each of so many random
 #: orders of it, a part per rate covers the subset of that share that comes first.
-RATES, PER_RATE = (1 / 4, 1 / 16, 1 / 64, 1 / 256, 1 / 1024), 8
+RATES, PER_RATE = (1 / 32, 1 / 128, 1 / 512, 1 / 2048), 10
 PARTS = 1 + len(RATES) * PER_RATE
 #: Hex digits of a part; a part without a term is all zeros.
 DIGITS = 8
@@ -107,10 +109,10 @@ def fingerprint_texts(documents: DataFrame, lexicon: HashStore, key: str = "doc_
 
     def run(batches):
         prints = Fingerprints(lexicon)
-        for batch in batches:
-            terms = [set(words(x)) for x in batch.column(1).to_pylist()]
+        for batch in slices(batches):
+            found = _all(prints, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_all(prints, terms), pa.string())], names=["key", "fingerprint"]
+                [batch.column(0), pa.array(found, pa.string())], names=["key", "fingerprint"]
             )
 
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -118,10 +120,10 @@ def fingerprint_texts(documents: DataFrame, lexicon: HashStore, key: str = "doc_
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def _all(prints: Fingerprints, terms: list[set[bytes]]) -> list[str]:
+def _all(prints: Fingerprints, texts: list) -> list[str]:
     found = []
-    for first in range(0, len(terms), 256):
-        part = terms[first : first + 256]
+    for first in range(0, len(texts), 256):
+        part = [set(words(x)) for x in texts[first : first + 256]]
         prints.learn(set().union(*part))
         found += map(prints.of, part)
     return found
@@ -182,7 +184,7 @@ def compare_with_next(
     def compare(batches):
         prints = Fingerprints(lexicon)
         last = None  # run and row that waits for the next one
-        for batch in batches:
+        for batch in slices(batches):
             columns = (batch.column(i).to_pylist() for i in range(5))
             ready = []
             for k, text_, _, run, border in zip(*columns, strict=True):
@@ -194,7 +196,8 @@ def compare_with_next(
 
     schema = "key bigint, text string, tie bigint, run bigint, border boolean"
     dealt = rows.mapInArrow(deal, schema)
-    dealt = dealt.repartition(max(1, len(bounds)), "run").sortWithinPartitions(
+    # Several runs to a task, so that tasks are even though runs are dealt by hash.
+    dealt = dealt.repartition(-(-len(bounds) // 4), "run").sortWithinPartitions(
         "run", "border", "key", "tie"
     )
     result = (
@@ -213,7 +216,7 @@ def _compared(prints: Fingerprints, rows: list[tuple]) -> pa.RecordBatch:
     is not itself a row's text, so fingerprints are shared."""
     changed = [edited(a, b) for _, a, b in rows]
     texts = list(dict.fromkeys([x for _, a, b in rows for x in (a, b)] + changed))
-    of = dict(zip(texts, _all(prints, [set(words(x)) for x in texts]), strict=True))
+    of = dict(zip(texts, _all(prints, texts), strict=True))
     columns = [
         [k for k, _, _ in rows],
         [len(a) for _, a, _ in rows],
@@ -233,8 +236,11 @@ def _compared(prints: Fingerprints, rows: list[tuple]) -> pa.RecordBatch:
 def _run_starts(keys: DataFrame) -> list[tuple]:
     """The first row ``(key, tie)`` of even runs of the sorted rows, in order.
 
-    As many runs as Spark gives the sorted keys partitions.
+    About ``RUN_ROWS`` documents are a run; a table of more than ``MAX_RUNS`` such
+    runs has longer ones, which bounds what the driver holds. A task streams
+    through its runs, so their length is not held in memory.
     """
-    spread = keys.repartitionByRange("key", "tie").withColumn("part", F.spark_partition_id())
+    runs = min(MAX_RUNS, max(1, -(-keys.count() // RUN_ROWS)))
+    spread = keys.repartitionByRange(runs, "key", "tie").withColumn("part", F.spark_partition_id())
     starts = spread.groupBy("part").agg(F.min(F.struct("key", "tie")).alias("s"))
     return [(r["s"]["key"], r["s"]["tie"]) for r in starts.orderBy("s").collect()]

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import imatch
 from ledgerlake.llm.imatch import (
     PARTS,
     build_lexicon,
@@ -38,7 +39,8 @@ def test_lexicon_holds_the_band(spark):
     assert 0 < len(want) < len(frequency) and len(lexicon) == len(want)
 
 
-def test_against_sorted_documents(spark):
+def test_against_sorted_documents(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "RUN_ROWS", 30)
     rows = corpus()
     docs = table(spark, rows).withColumn("run", F.lit(1))
     lexicon = build_lexicon(docs)
@@ -67,7 +69,8 @@ def test_near_copies_are_nearer(spark):
     prints = {r["doc_id"]: r["fingerprint"] for r in fingerprint_texts(docs, build_lexicon(docs)).collect()}
     same = [likeness(prints[i], prints[1000 + i]) for i in range(200)]
     other = [likeness(prints[i], prints[(i + 1) % 200]) for i in range(200)]
-    assert np.mean(same) > 0.6 and min(same) > 2 * max(other)
+    # An approximate likeness: a changed word spoils the parts that hold it.
+    assert np.mean(same) > 0.8 and np.mean(other) < 0.05
 
 
 def test_odd_rows(spark):
