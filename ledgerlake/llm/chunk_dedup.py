@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import mix, signed
+from .text import mix, signed, slices
 
 #: Bytes of a chunk: at least, and at most.
 MIN_CHUNK, MAX_CHUNK = 16, 1024
@@ -75,35 +75,31 @@ def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     chunk.
     """
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = "text_id bigint, start int, length int, words int, digest bigint, check int"
+    schema = "text_id int, start int, length int, words int, digest bigint, check int"
     names = ["key", *(c.split()[0] for c in schema.split(", "))]
 
     def run(batches):
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for first in range(0, len(texts), 512):  # bounds what a batch grows to
-                at, columns = [], [[] for _ in range(5)]
-                ids, digests = [], []
-                for row, text in enumerate(texts[first : first + 512], first):
-                    data = (text or "").encode("utf-8", "surrogatepass")
-                    start, name = 0, xxhash.xxh64_intdigest(data)
-                    for end in chunk_ends(data):
-                        part = data[start:end]
-                        at.append(row)
-                        ids.append(name)
-                        digests.append(xxhash.xxh64_intdigest(part))
-                        for column, v in zip(
-                            columns, (start, end - start, len(part.split()), xxhash.xxh32_intdigest(part)), strict=False
-                        ):
-                            column.append(v)
-                        start = end
-                kinds = (pa.int32(), pa.int32(), pa.int32())
-                made = [pa.array(c, k) for c, k in zip(columns[:3], kinds, strict=True)]
-                check = pa.array(np.array(columns[3], np.uint32).view(np.int32))
-                keys = batch.column(0).take(pa.array(at, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(signed(ids)), *made, pa.array(signed(digests)), check], names=names
-                )
+        for batch in slices(batches):
+            at, columns = [], [[] for _ in range(4)]
+            ids, digests = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                start, name = 0, xxhash.xxh32_intdigest(data)
+                for end in chunk_ends(data):
+                    part = data[start:end]
+                    at.append(row)
+                    ids.append(name)
+                    digests.append(xxhash.xxh64_intdigest(part))
+                    values = (start, end - start, len(part.split()), xxhash.xxh32_intdigest(part))
+                    for column, value in zip(columns, values, strict=True):
+                        column.append(value)
+                    start = end
+            made = [pa.array(c, pa.int32()) for c in columns[:3]]
+            check, ids = (pa.array(np.array(c, np.uint32).view(np.int32)) for c in (columns[3], ids))
+            keys = batch.column(0).take(pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [keys, ids, *made, pa.array(signed(digests)), check], names=names
+            )
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, {schema}")
