@@ -26,8 +26,11 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their source's boilerplate lines; ``n_chars`` follows."""
-    cleaned = drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Texts without their source's boilerplate lines; ``n_chars`` follows.
+
+    Copies of a text count as one page: the next stage decides about them.
+    """
+    cleaned = drop_boilerplate(docs, different=True).withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import stored
+
 #: A line is boilerplate if more than this share of its site's pages have it ...
 MAX_RATIO = 0.1
 #: ... and at least so many pages.
@@ -32,20 +34,46 @@ def _digests(pages: DataFrame, host: str, text: str, *others: Column) -> DataFra
     return pages.select(*others, F.col(host).alias("site"), F.explode(distinct).alias("line"))
 
 
+def _different(pages: DataFrame, host: str, text: str) -> DataFrame:
+    """``(site, lines)``: the digests of the lines with a word, once for all pages
+    of a site that have equal texts. Copies are combined in the tasks that read
+    them, and no text is shuffled."""
+    lines = F.transform(F.filter(_lines(F.col(text)), _has_word), _digest)
+    return (
+        pages.select(
+            F.col(host).alias("site"),
+            _digest(F.col(text)).alias("page"),
+            F.array_distinct(lines).alias("lines"),
+        )
+        .groupBy("site", "page")
+        .agg(F.first("lines").alias("lines"))
+        .select("site", "lines")
+    )
+
+
 def boilerplate(
     pages: DataFrame,
     host: str = "source",
     text: str = "text",
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
+    different: bool = False,
 ) -> DataFrame:
     """Lines (as digests) that too many pages of a site have: ``(site, line, pages)``.
 
-    Both counts are combined in the tasks that read the pages, so neither a
-    large site nor a frequent line meets in one task.
+    With ``different``, a site's pages with equal texts are one page in both
+    counts. Counts are combined in the tasks that read the pages, so neither a
+    large site nor a frequent line nor a group of copies meets in one task.
     """
-    totals = pages.groupBy(F.col(host).alias("of_site")).agg(F.count("*").alias("site_pages"))
-    found = _digests(pages, host, text).groupBy("site", "line").agg(F.count("*").alias("pages"))
+    if different:
+        # Stored, since both counts read it.
+        once = stored(_different(pages, host, text))
+        totals = once.groupBy(F.col("site").alias("of_site")).agg(F.count("*").alias("site_pages"))
+        found = once.select("site", F.explode("lines").alias("line"))
+    else:
+        totals = pages.groupBy(F.col(host).alias("of_site")).agg(F.count("*").alias("site_pages"))
+        found = _digests(pages, host, text)
+    found = found.groupBy("site", "line").agg(F.count("*").alias("pages"))
     found = found.where(F.col("pages") >= min_pages)
     return (
         found.join(totals, F.col("site").eqNullSafe(F.col("of_site")))
@@ -61,6 +89,7 @@ def drop_boilerplate(
     text: str = "text",
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
+    different: bool = False,
 ) -> DataFrame:
     """Drop from each text the lines that are boilerplate on its site.
 
@@ -68,12 +97,16 @@ def drop_boilerplate(
     are ``n_lines`` and ``n_dropped`` (they replace columns of these names).
     Lines are split at newlines and compared as they are; lines without a word
     are never dropped. A null host is a site of its own; a null text has no line
-    with a word and stays null. Each row is a page, also when rows repeat.
+    with a word and stays null. Each row is a page, also when rows repeat, so
+    all lines of a text with many copies on its site go from all of them. With
+    ``different``, rows of a site with equal texts are one page, and copies are
+    left to near-duplicate removal; copies that differ in a byte are still
+    pages of their own.
 
     Whether a line goes depends on site and line only, so what is joined back to
     the texts is, per key and site, the few digests to drop.
     """
-    bad = boilerplate(pages, host, text, max_ratio, min_pages).select(
+    bad = boilerplate(pages, host, text, max_ratio, min_pages, different).select(
         F.col("site").alias("bad_site"), F.col("line").alias("bad_line")
     )
     marked = _digests(pages, host, text, F.col(key).alias("page"))

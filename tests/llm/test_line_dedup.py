@@ -55,3 +55,36 @@ def test_odd_rows(spark):
 def test_empty(spark):
     assert drop_boilerplate(empty(spark)).count() == 0
     assert boilerplate(empty(spark)).count() == 0
+
+
+def test_copies_are_one_page(spark):
+    copied = "a story\ntold in two lines"
+    rows = [(i, copied if i % 3 == 0 else f"Menu\nonly {i}", "en", "s", 1) for i in range(60)]
+    rows += [(100 + i, copied if i < 3 else f"only {i}", "en", None, 1) for i in range(20)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = Counter()
+    for key, text, *_ in rows:
+        menu = text.startswith("Menu")
+        kept = text.removeprefix("Menu\n")
+        want[key, kept, text.count("\n") + 1, int(menu)] += 1
+    assert result(table, different=True) == want
+    assert result(table) == brute(rows, 0.1, 3) != want
+
+
+def test_different_pages_against_plain_python(spark):
+    texts = {}
+    for i in range(200):
+        lines = ["Home" * (i % 2), f"often {i % 9}", f"text {i % 70}", ""]
+        texts[f"s{i % 3}" if i % 5 else None, "\n".join(lines)] = i
+    rows = [(key, text, "en", source, 1) for (source, text), key in texts.items()]
+    repeated = rows + [(1000 + i, *rows[i % 7][1:]) for i in range(150)]
+    table = spark.createDataFrame(repeated, SCHEMA).repartition(5)
+    got = {k: (t, n, d) for k, t, n, d in result(table, different=True)}
+    assert {(k, *got[k]) for k, *_ in rows} == set(brute(rows, 0.1, 3))
+    assert all(got[1000 + i] == got[rows[i % 7][0]] for i in range(150))
+
+
+def test_different_pages_odd_rows(spark):
+    got = result(odd(spark, site=1, line=2, page=3, lines=4), different=True, min_pages=2)
+    assert sum(got.values()) == len(odd_rows()) and all(n == 0 for _, _, _, n in got)
+    assert boilerplate(empty(spark), different=True).count() == 0

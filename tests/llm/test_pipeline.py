@@ -66,6 +66,19 @@ def test_line_stage(steps):
     assert all(r[4] == len(r[1]) for r in rows(steps[2]))
 
 
+def test_copies_survive_the_line_and_duplicate_stages(spark):
+    """A group of copies that is a third of a source leaves one whole text."""
+    copied = "a story of some length\nthat many pages tell\nin the same words"
+    given = [
+        (i, copied if i % 3 == 0 else f"own words {i} of page {i * i}", "en", "s", 0) for i in range(30)
+    ]
+    table = stored(spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long"))
+    cleaned = stored(corpus_pipeline.boilerplate_lines(spark, table, SF))
+    kept = corpus_pipeline.near_duplicates(spark, cleaned, SF)
+    assert [r["doc_id"] for r in kept.collect() if r["text"] == copied] == [0]
+    assert not [r for r in kept.collect() if not r["text"]]
+
+
 def test_near_duplicate_stage(steps):
     given = rows(steps[2])
     want = {c for _, _, c in brute_components([r[:2] for r in given], 5, 80)}
