@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.jaccard_join import near_duplicates_removed
-from ledgerlake.llm.line_dedup import drop_boilerplate
+from ledgerlake.llm.line_dedup import CORPUS_DEVIATIONS, CORPUS_RATIO, drop_boilerplate
 from ledgerlake.llm.mixing import mixed_documents
 from ledgerlake.llm.packing import pack_documents
 from ledgerlake.llm.quality_rules import quality_rules, train_quality
@@ -30,8 +30,10 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Copies of a text count as one page: the next stage decides about them.
     """
-    cleaned = drop_boilerplate(docs, different=True).withColumn("n_chars", F.length("text").cast("long"))
-    return cleaned.select(*docs.columns)
+    cleaned = drop_boilerplate(
+        docs, max_ratio=CORPUS_RATIO, different=True, deviations=CORPUS_DEVIATIONS
+    )
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,12 @@ from .storage import stored
 MAX_RATIO = 0.1
 #: ... and at least so many pages.
 MIN_PAGES = 3
+#: The share for corpora: about half the rate of the test tables' own boilerplate
+#: (10.6 % of the pages) and above that of the next lines (3.4 % and less).
+CORPUS_RATIO = 0.05
+#: So many standard deviations above that share, so that on small sites chance
+#: repeats of rarer lines are not boilerplate.
+CORPUS_DEVIATIONS = 2.0
 
 
 def _lines(text: Column) -> Column:
@@ -58,11 +64,14 @@ def boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
     different: bool = False,
+    deviations: float = 0.0,
 ) -> DataFrame:
     """Lines (as digests) that too many pages of a site have: ``(site, line, pages)``.
 
-    With ``different``, a site's pages with equal texts are one page in both
-    counts. Counts are combined in the tasks that read the pages, so neither a
+    Too many are more than ``max_ratio`` of the site's pages, and more than that
+    by ``deviations`` times the square root of that number of pages. With
+    ``different``, a site's pages with equal texts are one page in both counts.
+    Counts are combined in the tasks that read the pages, so neither a
     large site nor a frequent line nor a group of copies meets in one task.
     """
     if different:
@@ -75,9 +84,12 @@ def boilerplate(
         found = _digests(pages, host, text)
     found = found.groupBy("site", "line").agg(F.count("*").alias("pages"))
     found = found.where(F.col("pages") >= min_pages)
+    most = F.col("site_pages") * F.lit(max_ratio)
+    if deviations:
+        most = most + F.lit(deviations) * F.sqrt(most)
     return (
         found.join(totals, F.col("site").eqNullSafe(F.col("of_site")))
-        .where(F.col("pages") > F.col("site_pages") * F.lit(max_ratio))
+        .where(F.col("pages") > most)
         .select("site", "line", "pages")
     )
 
@@ -90,6 +102,7 @@ def drop_boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
     different: bool = False,
+    deviations: float = 0.0,
 ) -> DataFrame:
     """Drop from each text the lines that are boilerplate on its site.
 
@@ -106,7 +119,7 @@ def drop_boilerplate(
     Whether a line goes depends on site and line only, so what is joined back to
     the texts is, per key and site, the few digests to drop.
     """
-    bad = boilerplate(pages, host, text, max_ratio, min_pages, different).select(
+    bad = boilerplate(pages, host, text, max_ratio, min_pages, different, deviations).select(
         F.col("site").alias("bad_site"), F.col("line").alias("bad_line")
     )
     marked = _digests(pages, host, text, F.col(key).alias("page"))

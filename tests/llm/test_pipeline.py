@@ -79,6 +79,28 @@ def test_copies_survive_the_line_and_duplicate_stages(spark):
     assert not [r for r in kept.collect() if not r["text"]]
 
 
+def test_line_on_a_tenth_of_the_pages_goes_from_every_source(spark):
+    """Rates around 10 % go and rates of 3 % stay, on every source."""
+    given = []
+    for source in range(12):
+        for i in range(500):
+            lines = [f"own words {i}"]
+            if i < 40 + 2 * source:  # 8.0 to 12.4 %
+                lines.append("Subscribe to our letter")
+            if i % 33 == 0:
+                lines.append("It was late.")
+            given.append((1000 * source + i, "\n".join(lines), "en", f"s{source}", 0))
+    # A small site: 4 of 50 pages are no more than chance, 10 are.
+    for i in range(50):
+        lines = [f"own words {i}"] + ["By chance."] * (i < 4) + ["Menu"] * (i < 10)
+        given.append((90_000 + i, "\n".join(lines), "en", "small", 0))
+    table = stored(spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long"))
+    lines = Counter()
+    for r in corpus_pipeline.boilerplate_lines(spark, table, SF).collect():
+        lines.update(r["text"].split("\n")[1:])
+    assert lines == {"It was late.": 12 * 16, "By chance.": 4}
+
+
 def test_near_duplicate_stage(steps):
     given = rows(steps[2])
     want = {c for _, _, c in brute_components([r[:2] for r in given], 5, 80)}
