@@ -15,6 +15,10 @@ MIN_CHUNK, MAX_CHUNK = 16, 1024
 #: A blank ends a chunk if these bits of the rolling hash are 0: one in four,
 #: decided by the last 16 bytes.
 CUT_BITS, CUT_SHIFT = 2, 14
+#: Once no blank has come for so many bytes, any character border ends a chunk if
+#: these bits are 0: one in eight. Such a stretch has a word per ``WORD_BYTES``
+#: bytes (an English word and its blank, two Chinese characters).
+NO_BLANK, ANY_BITS, ANY_SHIFT, WORD_BYTES = 64, 3, 13, 6
 #: Repeated chunks in a row are reported from this many words on.
 MIN_WORDS = 20
 
@@ -32,19 +36,58 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _blanks(values: np.ndarray) -> np.ndarray:
+    return (values == 32) | ((values >= 9) & (values <= 13))
+
+
+def blankless(blank: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of more than ``NO_BLANK`` bytes without a blank."""
+    edges = np.concatenate([[-1], np.flatnonzero(blank), [len(blank)]])
+    long = np.flatnonzero(np.diff(edges) > NO_BLANK + 1)
+    return [(int(edges[i]) + 1, int(edges[i + 1])) for i in long]
+
+
+def chunk_words(data: bytes, ends: list[int]) -> list[int]:
+    """Words of each chunk: parts between blanks, and in stretches without a
+    blank one per ``WORD_BYTES`` bytes."""
+    stretches = blankless(_blanks(np.frombuffer(data, np.uint8)))
+    counts, start, at = [], 0, 0
+    for end in ends:
+        n, place = 0, start
+        while at < len(stretches) and stretches[at][1] <= start:
+            at += 1
+        i = at
+        while i < len(stretches) and stretches[i][0] < end:
+            low, high = max(stretches[i][0], start), min(stretches[i][1], end)
+            n += len(data[place:low].split()) + max(1, (high - low) // WORD_BYTES)
+            place = high
+            i += 1
+        counts.append(n + len(data[place:end].split()))
+        start = end
+    return counts
+
+
 def chunk_ends(data: bytes) -> list[int]:
     """Where the chunks of a text's UTF-8 bytes end.
 
     Chunks end behind a blank that the rolling hash selects, so an insertion
-    moves borders only near it. A chunk that would grow beyond ``MAX_CHUNK`` is
-    cut at a character.
+    moves borders only near it. Where no blank has come for ``NO_BLANK`` bytes,
+    the hash selects among all character borders instead. A chunk that would
+    grow beyond ``MAX_CHUNK`` is cut at a character.
     """
     if not data:
         return []
     values = np.frombuffer(data, np.uint8)
-    blank = (values == 32) | ((values >= 9) & (values <= 13))
+    blank = _blanks(values)
+    hashes = gear_hashes(values)
     mask = np.uint16(((1 << CUT_BITS) - 1) << CUT_SHIFT)
-    marked = np.flatnonzero(blank & ((gear_hashes(values) & mask) == 0)) + 1
+    chosen = blank & ((hashes & mask) == 0)
+    mask = np.uint16(((1 << ANY_BITS) - 1) << ANY_SHIFT)
+    for begin, end in blankless(blank):
+        place = slice(begin + NO_BLANK, end - 1)
+        border = (values[begin + NO_BLANK + 1 : end] & 0xC0) != 0x80
+        chosen[place] = border & ((hashes[place] & mask) == 0)
+    marked = np.flatnonzero(chosen) + 1
     ends, start = [], 0
 
     def fill(to: int) -> None:
@@ -85,12 +128,13 @@ def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             for row, text in enumerate(batch.column(1).to_pylist()):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 start, name = 0, xxhash.xxh32_intdigest(data)
-                for end in chunk_ends(data):
+                ends = chunk_ends(data)
+                for end, words in zip(ends, chunk_words(data, ends), strict=True):
                     part = data[start:end]
                     at.append(row)
                     ids.append(name)
                     digests.append(xxhash.xxh64_intdigest(part))
-                    values = (start, end - start, len(part.split()), xxhash.xxh32_intdigest(part))
+                    values = (start, end - start, words, xxhash.xxh32_intdigest(part))
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
                     start = end
@@ -136,6 +180,8 @@ def repeated_passages(
 ) -> DataFrame:
     """Runs of repeated chunks with at least ``min_words`` words.
 
+    Words are counted as in :func:`chunk_words`, also for text without blanks.
+
     Returns ``(key, start, length, words, copies, first_key, first_start, kept)``:
     byte offset and length in the text, the most copies one of the chunks has,
     and the place of the first chunk's first occurrence. A run ends where a

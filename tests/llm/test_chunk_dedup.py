@@ -10,6 +10,7 @@ from ledgerlake.llm.chunk_dedup import (
     MAX_CHUNK,
     MIN_CHUNK,
     chunk_ends,
+    chunk_words,
     chunks,
     drop_repeated_passages,
     gear_hashes,
@@ -108,6 +109,66 @@ def test_repeated_chunks_against_counting(spark):
     assert Counter(r["copies"] for r in got) == Counter(n for n in seen.values() if n > 1 for _ in range(n))
 
 
+def unspaced(n, seed, blank=""):
+    """Characters without blanks, or words parted by one that is not ASCII."""
+    rng = random.Random(seed)
+    if blank:
+        return blank.join(prose(n, seed, 5000).split())
+    return "".join(chr(rng.randrange(0x4E00, 0x8000)) for _ in range(n))
+
+
+def cut(text):
+    data = text.encode()
+    ends = chunk_ends(data)
+    parts = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    assert b"".join(parts) == data and all(p.decode() and len(p) <= MAX_CHUNK for p in parts)
+    return parts
+
+
+def test_insertions_into_text_without_blanks():
+    for blank in ("", "\u00a0", "\u3000"):
+        for seed in range(5):
+            text = unspaced(1500, seed, blank)
+            old = set(cut(text))
+            assert len(old) > 60
+            for at in (0, 200, 900):
+                new = set(cut(text[:at] + "新しい" + text[at:]))
+                assert len(new - old) <= 8
+
+
+def test_words_of_text_without_blanks():
+    data = ("a bc " + "字" * 60 + " d " + "é" * 20 + "\n").encode()
+    for ends in ([len(data)], [5, 65, len(data)], [2, 5, 35, 95, 185, len(data)]):
+        words = chunk_words(data, ends)
+        assert sum(words) == 2 + 30 + 2 and len(words) == len(ends)
+    plain = prose(500, 3).encode()
+    ends = chunk_ends(plain)
+    parts = [plain[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    assert chunk_words(plain, ends) == [len(p.split()) for p in parts]
+
+
+def test_copies_and_passages_without_blanks_are_found(spark):
+    rows = []
+    for i, blank in enumerate(("", "\u00a0", "\u3000")):
+        text, n = unspaced(400, i, blank), len(unspaced(400, i, blank))
+        rows.append((10 * i, text, "zh", "s", 1))
+        rows.append((10 * i + 1, text, "zh", "s", 1))  # a copy
+        rows.append((10 * i + 2, text[: n // 2] + "新しい" + text[n // 2 :], "zh", "s", 1))
+        passage = text[n // 4 : 3 * n // 4]
+        rows.append((10 * i + 3, unspaced(300, 50 + i, blank) + passage + unspaced(200, 70 + i, blank), "zh", "s", 1))
+        rows.append((10 * i + 4, unspaced(500, 90 + i, blank), "zh", "s", 1))  # its own
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    sizes = {key: len(text.encode()) for key, text, *_ in rows}
+    found = Counter()
+    for r in repeated_passages(docs).collect():
+        found[r["doc_id"]] += 0 if r["kept"] else r["length"]
+    for i in (0, 10, 20):
+        assert found[i + 1] == sizes[i]
+        assert found[i + 2] > 0.8 * sizes[i]
+        assert 0.7 * sizes[i] / 2 < found[i + 3] < 1.1 * sizes[i] / 2
+        assert not found[i] and not found[i + 4]
+
+
 def test_odd_rows(spark):
     docs = odd(spark, start=1, length="x", kept=True, digest=2)
     rows = repeated_passages(docs).collect()
