@@ -7,8 +7,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .text import mix, signed, slices
+from .text import mix, signed, slices, with_columns
 
 #: Bytes of a chunk: at least, and at most.
 MIN_CHUNK, MAX_CHUNK = 16, 1024
@@ -110,6 +111,12 @@ def chunk_ends(data: bytes) -> list[int]:
     return ends
 
 
+def _text_id(text: str | None) -> int:
+    """The ``text_id`` of :func:`chunks`."""
+    name = xxhash.xxh32_intdigest((text or "").encode("utf-8", "surrogatepass"))
+    return name - (name >> 31 << 32)
+
+
 def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, text_id, start, length, words, digest, check)``, a row per chunk.
 
@@ -190,6 +197,11 @@ def repeated_passages(
     at either end. Rows repeated with equal key and text are one document here,
     whose chunks count as copies.
     """
+    return _passages(documents, key, text, min_words).drop("text_id").withColumnRenamed("key", key)
+
+
+def _passages(documents: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
+    """:func:`repeated_passages`, with ``key`` and ``text_id`` in front."""
     rows = repeated_chunks(documents, key, text).dropDuplicates(["key", "text_id", "start"])
     order = Window.partitionBy("key", "text_id").orderBy("start")
     goes_on = (F.lag(F.col("start") + F.col("length")).over(order) == F.col("start")) & (
@@ -206,7 +218,8 @@ def repeated_passages(
         F.first("kept").alias("kept"),
     )
     return runs.where(F.col("words") >= min_words).select(
-        F.col("key").alias(key),
+        "key",
+        "text_id",
         "start",
         "length",
         "words",
@@ -222,13 +235,21 @@ def drop_repeated_passages(
 ) -> DataFrame:
     """Cut later copies of repeated passages out of the texts.
 
-    Has the columns of ``documents``. A null key's texts are left as they are.
+    Has the columns of ``documents``. A null key's texts are left as they are;
+    texts that share a key are cut each by its own passages.
     """
-    runs = repeated_passages(documents, key, text, min_words).where("not kept")
-    spans = runs.groupBy(F.col(key).alias("_ll_cut_key")).agg(
+    runs = _passages(documents, key, text, min_words).where("not kept")
+    spans = runs.groupBy(F.col("key").alias("_ll_cut_key"), F.col("text_id").alias("_ll_cut_text")).agg(
         F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_ll_cut_spans")
     )
-    joined = documents.join(spans, F.col(key) == F.col("_ll_cut_key"), "left")
+
+    def make():
+        return lambda texts: [[_text_id(x) for x in texts]]
+
+    added = T.StructType([T.StructField("_ll_text_id", T.IntegerType())])
+    named = with_columns(documents, text, make, added)
+    same = (F.col(key) == F.col("_ll_cut_key")) & (F.col("_ll_text_id") == F.col("_ll_cut_text"))
+    joined = named.join(spans, same, "left")
     data = F.col(text).cast("binary")
     size = F.octet_length(text)
     edges = F.transform(

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,7 +111,8 @@ def _sized(documents: DataFrame, key: str, text: str, n: int) -> DataFrame:
         return compute
 
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return with_columns(rows, "text", make, added).select("key", "n_shingles", "set_id")
+    text_id = F.xxhash64("text").alias("text_id")
+    return with_columns(rows, "text", make, added).select("key", text_id, "n_shingles", "set_id")
 
 
 def _shared_pieces(
@@ -212,8 +213,8 @@ def _sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, n: int)
     """``(set_id, members, sketch)`` of the stored ``wanted (set_id, key)``.
 
     Only the texts of these keys are looked at; texts are shuffled only if the
-    keys are too many to broadcast. Rows that repeat a key's text give one set;
-    texts of one key that differ but have equal sets may give it again.
+    keys are too many to broadcast. Rows that repeat a key, with a text of the
+    same set, give it again; see :func:`_once`.
     """
     keys = wanted.select(F.col("set_id").alias("wanted_set"), F.col("key").alias("wanted_key"))
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -243,6 +244,14 @@ def _sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, n: int)
     return found.select("set_id", "members", "sketch")
 
 
+def _once(sets: DataFrame) -> DataFrame:
+    """The stored ``sets`` with each ``set_id`` once. They are shuffled only if
+    some repeat, which unique keys rule out."""
+    if sets.groupBy("set_id").count().where("count > 1").isEmpty():
+        return sets
+    return stored(sets.dropDuplicates(["set_id"]))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar."""
     left = sets.select(F.col("set_id").alias("a"), F.col("members").alias("x"))
@@ -395,6 +404,16 @@ def jaccard_components(
     The join is complete: for every link between different sets the two sets
     end up in one component, through that link or through others.
     """
+    rows = _grouped(documents, key, text, n, percent)
+    return rows.select(F.col("key").alias(key), "n_shingles", "component")
+
+
+def _grouped(documents: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """``(key, text_id, n_shingles, set_id, class, component)``, one row per input row.
+
+    ``class`` names the group (null without words); several groups may have the
+    same smallest key, if keys repeat. ``text_id`` is a hash of the text.
+    """
     rows = stored(_sized(documents, key, text, n))
     classes = rows.where("set_id is not null").groupBy("set_id").agg(
         F.min("key").alias("key"), F.max("n_shingles").alias("n_shingles")
@@ -407,7 +426,7 @@ def jaccard_components(
         stars = members.join(lowest, "piece").where(F.col("a") != F.col("set_id"))
         stars = stars.select("a", F.col("set_id").alias("b")).distinct()
         wanted = stored(members.select("set_id").distinct().join(classes, "set_id"))
-        sets = stored(_sets(documents, wanted, key, text, n))
+        sets = _once(stored(_sets(documents, wanted, key, text, n)))
         links = stored(_verified(_sketched(stars, sets, percent), sets, percent))
         merged = stored(components(links))
 
@@ -429,12 +448,12 @@ def jaccard_components(
             .select("set_id", "key", F.coalesce("component", "set_id").alias("class"))
         )
         tops = smallest.groupBy("class").agg(F.min("key").alias("component"))
-        named = smallest.select("set_id", "class").join(tops, "class").select("set_id", "component")
+        named = smallest.select("set_id", "class").join(tops, "class")
         rows = rows.join(named, "set_id", "left")
     else:
-        rows = rows.withColumn("component", F.col("key"))
+        rows = rows.withColumns({"class": F.lit(None).cast("long"), "component": F.col("key")})
     alone = F.when(F.col("set_id").isNull(), F.col("key")).otherwise(F.col("component"))
-    return rows.select(F.col("key").alias(key), "n_shingles", alone.alias("component"))
+    return rows.select("key", "text_id", "n_shingles", "set_id", "class", alone.alias("component"))
 
 
 def near_duplicates_removed(
@@ -446,17 +465,29 @@ def near_duplicates_removed(
 ) -> DataFrame:
     """Keep one document of each group: the one with the smallest key.
 
-    Of rows that repeat a kept key one stays, the smallest by its text's hash.
-    Texts without words form no group and all stay. Rows with a null key stay
-    as they are, unless their group has a key.
+    Decided by key and text: of a group's texts under its smallest key the one
+    with the lowest hash stays, and unlike texts under one key are decided each
+    on their own. Of rows that repeat a kept key and text one stays, the lowest
+    by a hash of all columns. Texts without words form no group and all stay.
+    Rows with a null key stay as they are, unless their group has a key.
     """
-    groups = jaccard_components(documents, key, text, n, percent)
+    groups = _grouped(documents, key, text, n, percent).where(F.col("key").eqNullSafe(F.col("component")))
+    once = F.col("set_id").isNotNull() & F.col("key").isNotNull()
     kept = (
-        groups.where(F.col(key).eqNullSafe(F.col("component")))
-        .groupBy(F.col(key).alias("_ll_kept_key"))
-        .agg(F.max(F.col("n_shingles") > 0).alias("_ll_grouped"))
+        groups.withColumn("_ll_once", once)
+        .groupBy(
+            "_ll_once",
+            F.when(once, F.col("class")).alias("of_class"),
+            F.when(~once, F.struct("key", "text_id")).alias("of_row"),
+        )
+        .agg(F.min("key").alias("_ll_kept_key"), F.min("text_id").alias("_ll_kept_text"))
+        .drop("of_class", "of_row")
     )
-    rows = documents.join(kept, F.col(key).eqNullSafe(F.col("_ll_kept_key")))
-    grouped = rows.where("_ll_grouped and _ll_kept_key is not null").dropDuplicates([key])
-    single = rows.where("not _ll_grouped or _ll_kept_key is null")
-    return grouped.unionByName(single).select(*documents.columns)
+    same = F.col(key).eqNullSafe(F.col("_ll_kept_key")) & (F.xxhash64(text) == F.col("_ll_kept_text"))
+    rows = documents.join(kept, same)
+    # Maps can't be hashed.
+    others = [c for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
+    order = Window.partitionBy("_ll_kept_key", "_ll_kept_text").orderBy(F.xxhash64(*others))
+    grouped = rows.where("_ll_once").withColumn("_ll_place", F.row_number().over(order))
+    grouped = grouped.where("_ll_place = 1").drop("_ll_place")
+    return grouped.unionByName(rows.where("not _ll_once")).select(*documents.columns)

@@ -169,6 +169,18 @@ def test_copies_and_passages_without_blanks_are_found(spark):
         assert not found[i] and not found[i + 4]
 
 
+def test_texts_of_one_key_are_cut_by_their_own_passages(spark):
+    passage = prose(200, 77, 5000)
+    own = [prose(150, 80 + i, 20_000) for i in range(3)]
+    texts = [passage + " " + own[0], own[1] + " " + passage, own[2]]
+    rows = [(1, texts[0], "en", "s", 1), (2, texts[1], "en", "s", 1), (2, texts[2], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    cleaned = [r["text"] for r in drop_repeated_passages(docs).collect()]
+    assert texts[0] in cleaned and texts[2] in cleaned
+    (cut_text,) = set(cleaned) - set(texts)
+    assert cut_text.startswith(own[1]) and len(cut_text) < len(own[1]) + 200
+
+
 def test_odd_rows(spark):
     docs = odd(spark, start=1, length="x", kept=True, digest=2)
     rows = repeated_passages(docs).collect()

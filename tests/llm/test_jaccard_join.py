@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import components
 from ledgerlake.llm.jaccard_join import (
+    _once,
+    _sets,
+    _sized,
     bands,
     folded,
     jaccard_components,
@@ -13,6 +16,7 @@ from ledgerlake.llm.jaccard_join import (
     pieces,
     sketch,
 )
+from ledgerlake.llm.storage import stored
 from ledgerlake.llm.text import mix
 
 from .data import SCHEMA, empty, odd, odd_rows, prose
@@ -105,6 +109,37 @@ def test_odd_rows_removed(spark):
     assert keys == Counter({None: 2, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 1, 9: 1, 10: 1, -11: 1})
 
 
+def test_unlike_texts_under_one_key_all_stay(spark):
+    first, second, third = prose(80, 51), prose(80, 52), prose(80, 53)
+    rows = [
+        (1, first, "en", "a", 1),
+        (1, second, "en", "b", 2),  # unlike the first
+        (1, second, "en", "c", 3),  # its text again
+        (2, second + " tail", "en", "d", 4),
+        (3, third, "en", "e", 5),
+        (3, " \n", "en", "f", 6),  # without words
+        (3, third, "en", "e", 5),
+        (4, first, "en", "g", 7),
+        (None, third, "en", "h", 8),
+    ]
+    results = set()
+    for parts in (1, 2, 3, 5):
+        table = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        results.add(tuple(sorted(tuple(r) for r in near_duplicates_removed(table).collect())))
+    (kept,) = results  # the same whatever the partitions
+    assert Counter((r[0], r[1]) for r in kept) == Counter([(1, first), (1, second), (3, third), (3, " \n")])
+
+
+def test_sets_of_repeated_rows_come_once(spark):
+    rows = [(i % 4, prose(80, i % 4), "en", "a", 1) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sized = _sized(docs, "doc_id", "text", 5)
+    wanted = stored(sized.select("set_id", "key").distinct())
+    sets = stored(_sets(docs, wanted, "doc_id", "text", 5))
+    assert sets.count() == 20 and _once(sets).count() == 4
+    assert _once(_once(sets)).count() == 4
+
+
 def test_similar_sets_share_a_piece():
     """For every number of changes that the likeness allows."""
     rng = np.random.default_rng(1)
