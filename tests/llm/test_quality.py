@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.linear_model import train
@@ -137,6 +138,33 @@ def test_site_rates_against_plain_python(spark):
         assert r["kept"] == (r["quality"] >= 0.5)
 
 
+def test_sparse_sites_shrink(spark):
+    """Sixty hosts of one document with paths of their own, beside two large hosts."""
+    docs, labels = labelled(spark, 240)
+    model = train_quality(docs, labels)
+    order = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"))) - 1
+    table = docs.withColumn("at", order)
+    host = F.when(F.col("at") < 60, F.concat(F.lit("h"), F.col("at"))).otherwise(F.concat(F.lit("big"), F.col("at") % 2))
+    path = F.when(F.col("at") < 60, F.lit("/")).when(F.col("at") < 100, F.col("at").cast("string")).otherwise(F.lit("/main"))
+    rows = site_quality(table, model, host, path).collect()
+    prior = sum(r["evidence"] for r in rows) / len(rows)
+    hosts, sizes = {}, Counter((r["host"], r["path"]) for r in rows)
+    for r in rows:
+        hosts.setdefault(r["host"], []).append(r["evidence"])
+    left = {}  # the share of a host's distance from the prior that stays
+    for r in rows:
+        own = sum(hosts[r["host"]]) / len(hosts[r["host"]])
+        left[r["host"]] = (r["host_rate"] - prior) / (own - prior)
+    assert len(left) == 62 and all(0 < x < 1 for x in left.values())
+    sparse = [x for h, x in left.items() if len(hosts[h]) == 1]
+    assert len(sparse) == 60 and max(sparse) <= 0.5 and max(sparse) - min(sparse) < 1e-6
+    assert min(left["big0"], left["big1"]) > 1.5 * max(sparse)
+    # A path's only document has its host's rate as prior: it does not count itself.
+    alone = [r for r in rows if sizes[r["host"], r["path"]] == 1]
+    assert len(alone) == 100
+    assert all(abs(r["path_rate"] - min(max(r["host_rate"], 0.001), 0.999)) < 1e-9 for r in alone)
+
+
 def test_site_quality_empty(spark):
     assert site_quality(empty(spark), None, F.col("source"), F.col("lang")).count() == 0
     rows = site_quality(odd(spark), None, F.col("source"), F.col("lang")).collect()
