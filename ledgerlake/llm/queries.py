@@ -16,6 +16,8 @@ from .packing import pack_documents
 from .quality_rules import quality_rules, train_quality
 from .site_quality import site_quality
 from .small_tables import word_count
+from .storage import stored
+from .token_alignment import aligned, pair_counts, with_pair_scores
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +93,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(documents)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a = public_tokenizers.path("byte_bpe_50k.json")
+    b = public_tokenizers.path("piece_bpe_32k.model")
+    found = aligned(_documents(spark, sf_dir), a, b)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    # Stored: the links are read twice, the texts of the groups are not needed again.
+    links = stored(found.withColumn("groups_sha256", digest).drop("groups"))
+    return with_pair_scores(links, pair_counts(links))
+
+
 def queries() -> dict:
     registered = (
         op1_imatch_fingerprints,
@@ -103,6 +117,7 @@ def queries() -> dict:
         op8_kd_sharding,
         op9_chunk_dedup,
         op10_line_dedup,
+        op12_token_alignment,
     )
     return {query.__name__: query for query in registered}
 
