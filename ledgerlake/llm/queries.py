@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_dedup import repeated_passages
+from .hard_negatives import hard_negatives, integer_vector
 from .imatch import build_lexicon, compare_with_next
 from .jaccard_join import jaccard_components
 from .kd_sharding import shard_documents
@@ -105,6 +106,17 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_pair_scores(links, pair_counts(links))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    vectors = table.select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        integer_vector(F.col("embedding")).alias("vector"),
+    )
+    return hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict:
     registered = (
         op1_imatch_fingerprints,
@@ -118,6 +130,7 @@ def queries() -> dict:
         op9_chunk_dedup,
         op10_line_dedup,
         op12_token_alignment,
+        op13_hard_negatives,
     )
     return {query.__name__: query for query in registered}
 
@@ -170,6 +183,34 @@ SELECT doc_id, source, array_to_string(kept_lines, chr(10)) AS text, len(lines)
        len(lines) - len(kept_lines) AS n_dropped
 FROM kept"""
 
+# Every anchor against every row, without lists or thresholds.
+_OP13 = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i])), 0) AS BIGINT) AS score
+  FROM vectors a JOIN vectors r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, id, score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS "rank",
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same
+ AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 3"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": _OP6, "op10_line_dedup": _OP10}
+    return {
+        "op6_jaccard_join": _OP6,
+        "op10_line_dedup": _OP10,
+        "op13_hard_negatives": _OP13,
+    }
