@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import url_filter
 from .chunk_dedup import repeated_passages
 from .hard_negatives import hard_negatives, integer_vector
 from .imatch import build_lexicon, compare_with_next
@@ -94,6 +95,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(documents)
 
 
+# The verdict of each rule.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    model = url_filter.train_url_filter(url_filter.labelled_urls(spark))
+    return url_filter.judge_urls(pages, model, URL_RULES).drop("score")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -129,6 +146,7 @@ def queries() -> dict:
         op8_kd_sharding,
         op9_chunk_dedup,
         op10_line_dedup,
+        op11_url_filter,
         op12_token_alignment,
         op13_hard_negatives,
     )
@@ -183,6 +201,84 @@ SELECT doc_id, source, array_to_string(kept_lines, chr(10)) AS text, len(lines)
        len(lines) - len(kept_lines) AS n_dropped
 FROM kept"""
 
+def _grams(codes: str, kind: int) -> str:
+    """Buckets of all n-grams of a list of code points."""
+    sizes = []
+    for n in url_filter.GRAMS:
+        total = " + ".join(f"{codes}[i + {k + 1}] * {url_filter.FACTORS[k]}" for k in range(n))
+        sizes.append(
+            f"list_transform(range(0, len({codes}) - {n - 1}), lambda i: ({total} + {kind + n}) % {url_filter.BUCKETS})"
+        )
+    return f"list_concat({', '.join(sizes)})"
+
+
+def _valued(grams: str, norm: float) -> str:
+    return f"list_transform({grams}, lambda b: {{'b': b, 'v': CAST({norm} AS DOUBLE) / sqrt(len({grams}))}})"
+
+
+def _rule_case(rules, result: int) -> str:
+    """The longest rule first; ``result`` 0 gives its verdict, 1 its name."""
+    cases = []
+    for rule in sorted(rules, key=lambda r: -len(r[1])):
+        host, _, path = rule[1].partition("/")
+        fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+        cases.append(f"WHEN {fits} THEN '{rule[result]}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _op11() -> str:
+    listed = [(u, 1) for u in url_filter.BLOCKED_URLS] + [(u, 0) for u in url_filter.ALLOWED_URLS]
+    values = ", ".join(f"('{u}', {y})" for u, y in listed)
+    size = url_filter.BUCKETS + 1
+    return f"""
+WITH RECURSIVE labelled(url, y) AS (VALUES {values}
+), urls AS (
+  SELECT url, CAST(y AS DOUBLE) AS y, CAST(NULL AS BIGINT) AS page_id FROM labelled
+  UNION ALL SELECT url, NULL, page_id FROM pages
+), cut AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM urls
+), parts AS (
+  SELECT y, page_id, url, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM cut
+), codes AS (
+  SELECT *, list_transform(string_split('^' || host || '$', ''), lambda c: unicode(c)) AS h,
+         list_transform(string_split('^' || path || '$', ''), lambda c: unicode(c)) AS p FROM parts
+), grams AS (
+  SELECT *, {_grams("h", url_filter.HOST[0])} AS hg, {_grams("p", url_filter.PATH[0])} AS pg FROM codes
+), featured AS (
+  SELECT y, page_id, url, host, path, list_concat({_valued("hg", url_filter.HOST[1])}, {_valued("pg", url_filter.PATH[1])},
+         [{{'b': CAST({url_filter.BUCKETS} AS BIGINT), 'v': CAST(1 AS DOUBLE)}}]) AS x FROM grams
+), numbered AS (
+  SELECT row_number() OVER (ORDER BY url) AS i, y, x FROM featured WHERE y IS NOT NULL
+), entries AS (
+  SELECT e.b AS b, list({{'i': i, 'v': e.v}} ORDER BY i) AS l FROM (SELECT i, unnest(x) AS e FROM numbered) GROUP BY e.b
+), problem AS (
+  SELECT (SELECT list(x ORDER BY i) FROM numbered) AS xs, (SELECT list(y ORDER BY i) FROM numbered) AS ys,
+         (SELECT list(coalesce(l, []) ORDER BY n) FROM range({size}) r(n) LEFT JOIN entries ON b = n) AS ls,
+         (SELECT 2 / sum(list_sum(list_transform(x, lambda e: e.v * e.v))) FROM numbered) AS step
+), fit AS (
+  SELECT 0 AS n, list_transform(range({size}), lambda i: CAST(0 AS DOUBLE)) AS w,
+         list_transform(range({size}), lambda i: CAST(0 AS DOUBLE)) AS v
+  UNION ALL
+  SELECT n + 1, list_transform(range(1, {size + 1}), lambda j: w[j] + moved[j]), moved
+  FROM (
+    SELECT n, w, list_transform(range(1, {size + 1}), lambda j: CAST({url_filter.MOMENTUM} AS DOUBLE) * v[j] - step * (
+             coalesce(list_sum(list_transform(ls[j], lambda e: err[e.i] * e.v)), 0)
+             + CAST({url_filter.SHRINK} AS DOUBLE) * w[j])) AS moved
+    FROM (
+      SELECT n, w, v, step, ls, list_transform(range(1, len(xs) + 1), lambda k:
+               1 / (1 + exp(-list_sum(list_transform(xs[k], lambda e: w[e.b + 1] * e.v)))) - ys[k]) AS err
+      FROM fit, problem WHERE n < {url_filter.STEPS}
+    )
+  )
+), model AS (SELECT w FROM fit WHERE n = {url_filter.STEPS})
+SELECT page_id, host, path, {_rule_case(URL_RULES, 1)} AS rule,
+       coalesce({_rule_case(URL_RULES, 0)}, CASE WHEN
+         list_sum(list_transform(x, lambda e: w[e.b + 1] * e.v)) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM featured, model WHERE y IS NULL"""
+
+
 # Every anchor against every row, without lists or thresholds.
 _OP13 = """
 WITH vectors AS (
@@ -212,5 +308,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_jaccard_join": _OP6,
         "op10_line_dedup": _OP10,
+        "op11_url_filter": _op11(),
         "op13_hard_negatives": _OP13,
     }
