@@ -22,9 +22,12 @@ from ledgerlake.contracts import (  # noqa: E402
     TRANSACTION_SCHEMA,
     TRANSACTION_TYPES,
 )
-from ledgerlake.plans import MALFORMED, ingest_layer, run_medallion  # noqa: E402
+from ledgerlake import plans  # noqa: E402
+from ledgerlake.plans import MALFORMED, REASONS, ingest_layer, run_medallion  # noqa: E402
 from ledgerlake.sources import (  # noqa: E402
+    published_runs,
     read_layer,
+    read_run,
     read_transactions_csv,
     scratch_path,
     write_layer,
@@ -51,8 +54,8 @@ def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     finished again by every branch that reads it.
     """
     path = scratch_path(spark, "layer")
-    write_layer(df, path)
-    return read_layer(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def type_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +68,11 @@ def type_metrics_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     The rank is off by no more than half a percent of the type's rows.
     """
     silver = _stored(spark, _silver(spark, sf_dir))
-    metrics = op.type_metrics(silver, "approx", TRANSACTION_TYPES)
+    return _median_checked(op.type_metrics(silver, "approx", TRANSACTION_TYPES), silver)
+
+
+def _median_checked(metrics: DataFrame, silver: DataFrame) -> DataFrame:
+    """The metrics, with whether the median's rank is within the bound instead of it."""
     own = F.broadcast(metrics.select(F.col("type").alias("of_type"), "median_amount_k"))
     # The metric is rounded to 10; half of that on either side counts as equal.
     off = F.col("amount") - F.col("median_amount_k") * 1000
@@ -235,6 +242,100 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, _stored_run(spark, sf_dir).gold.path)
 
 
+def _deliveries(spark: SparkSession, sf_dir: str, **options) -> str:
+    """A lake with a run for each of two deliveries, which together are all transactions."""
+    base = scratch_path(spark, "lake")
+    for part, run_id in enumerate(("first", "second")):
+        run_medallion(spark, write_transactions_csv(spark, sf_dir, part), base, run_id, **options)
+    return base
+
+
+def runs_of_a_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue of two runs, against the rows that readers of each run find."""
+    base = _deliveries(spark, sf_dir)
+    listed = published_runs(spark, base).select("run_id", "layer", "newest", "rows")
+    found = [
+        read_run(spark, base, layer, run_id).agg(
+            F.lit(run_id).alias("of_run"), F.lit(layer).alias("of_layer"), F.count("*").alias("found_rows")
+        )
+        for run_id in ("first", "second")
+        for layer in ("bronze", "silver", "gold")
+    ]
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
+    same = (F.col("run_id") == F.col("of_run")) & (F.col("layer") == F.col("of_layer"))
+    return listed.join(rows, same, "full").drop("of_run", "of_layer")
+
+
+def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned rows that a reader who names no run finds after two runs."""
+    silver = read_run(spark, _deliveries(spark, sf_dir), "silver")
+    return silver.groupBy("type").agg(F.count("*").alias("rows"), F.sum("step").alias("sum_step"))
+
+
+def failed_gate_leaves_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers find after a good run and one that its suite stops.
+
+    The second run has the first one's id, so it would have replaced it.
+    """
+    base = scratch_path(spark, "lake")
+    good = run_medallion(spark, write_transactions_csv(spark, sf_dir), base, "daily")
+    try:
+        run_medallion(
+            spark, _write_dirty_csv(spark, sf_dir), base, "daily", quarantine=True,
+            clean_gate=op.TRANSACTION_EXPECTATIONS,
+        )
+        failed = False
+    except plans.ChecksFailed:
+        failed = True
+    silver = read_layer(spark, good.silver.target)
+    return silver.groupBy(F.lit(failed).alias("second_failed"), "type").agg(F.count("*").alias("rows"))
+
+
+def rows_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, set aside, dropped as copies and out per type, from the run's own counts."""
+    base = scratch_path(spark, "lake")
+    run_medallion(spark, _write_dirty_csv(spark, sf_dir), base, "daily", quarantine=True)
+    return plans.rows_by_type(spark, base).drop("run_id")
+
+
+def broken_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions per set of expectations that they break; none broken for the good ones."""
+    good, bad = op.split_by_expectations(dirty_transactions(spark, sf_dir))
+    parts = op.broken_counts(bad).select(F.array_join("broken", ", ").alias("broken"), "rows")
+    passing = good.agg(F.lit("").alias("broken"), F.count("*").alias("rows"))
+    return parts.unionByName(passing)
+
+
+def rows_with_broken_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = op.split_by_expectations(dirty_transactions(spark, sf_dir))
+    return bad.select("txn_id", "type", "amount", F.array_join("broken", ", ").alias("broken"))
+
+
+def routed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layer of a run that sets aside whatever breaks the suite, with the reasons."""
+    source = _write_dirty_csv(spark, sf_dir)
+    run = run_medallion(
+        spark, source, scratch_path(spark, "lake"), quarantine=True, route=op.TRANSACTION_EXPECTATIONS
+    )
+    aside = read_layer(spark, run.silver.quarantined.path)
+    reasons = aside.groupBy(F.array_join(REASONS, ", ").alias("reasons")).agg(F.count("*").alias("rows"))
+    others = [
+        read_layer(spark, layer.path).agg(F.lit(layer.layer).alias("reasons"), F.count("*").alias("rows"))
+        for layer in (run.bronze, run.silver)
+    ]
+    return reasons.unionByName(others[0]).unionByName(others[1])
+
+
+def metrics_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of two runs from their states, and whether their medians are within the bound."""
+    base = _deliveries(spark, sf_dir, keep_states=True)
+    metrics = plans.metrics_over_runs(spark, base)
+    silver = read_run(spark, base, "silver", "first").unionByName(read_run(spark, base, "silver", "second"))
+    return _median_checked(metrics, silver)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query: metrics per transaction type."""
     return type_metrics(spark, "/root/testdata/sf0.001")
@@ -268,6 +369,14 @@ def queries() -> dict[str, Query]:
         lenient_scan,
         required_columns,
         invalid_type_emptiness,
+        runs_of_a_lake,
+        newest_run,
+        failed_gate_leaves_nothing,
+        rows_by_type,
+        broken_expectations,
+        rows_with_broken_expectations,
+        routed_quarantine,
+        metrics_over_runs,
     )
     named = {query.__name__: query for query in registered}
     if llm_queries:
@@ -322,6 +431,13 @@ _BROKEN = (
 )"""
 )
 
+# Why a row of the dirty table breaks the suite, in the suite's order.
+_REASONS = """concat_ws(', ',
+         CASE WHEN type IS NULL THEN 'type not_null' END,
+         CASE WHEN type NOT IN ('PAYMENT', 'TRANSFER', 'CASH_OUT', 'CASH_IN', 'DEBIT') THEN 'type in_set' END,
+         CASE WHEN amount IS NULL THEN 'amount not_null' END,
+         CASE WHEN amount <= 0 THEN 'amount between' END)"""
+
 _SILVER = (
     _TXN
     + """, silver AS (
@@ -454,6 +570,48 @@ def oracle_sql() -> dict[str, str]:
         "invalid_type_emptiness": _DIRTY
         + f""" SELECT 'clean' AS table_name, count(*) FILTER (WHERE type NOT IN {_DOMAIN}) = 0 AS is_empty FROM txn
                UNION ALL SELECT 'dirty', count(*) FILTER (WHERE type NOT IN {_DOMAIN}) = 0 FROM dirty""",
+        "runs_of_a_lake": _METRICS
+        + """, rows_of AS (
+               SELECT txn_id % 2 AS part, 'bronze' AS layer, count(*) AS n FROM txn GROUP BY 1
+               UNION ALL SELECT txn_id % 2, 'silver', count(*) FROM silver GROUP BY 1
+               UNION ALL SELECT txn_id % 2, 'gold', count(DISTINCT type) FROM silver GROUP BY 1)
+             SELECT CASE part WHEN 0 THEN 'first' ELSE 'second' END AS run_id, layer,
+                    part = 1 AS newest, n AS "rows", n AS found_rows FROM rows_of""",
+        "newest_run": _SILVER
+        + """ SELECT type, count(*) AS "rows", CAST(sum(step) AS BIGINT) AS sum_step
+              FROM silver WHERE txn_id % 2 = 1 GROUP BY type""",
+        "failed_gate_leaves_nothing": _SILVER
+        + ' SELECT true AS second_failed, type, count(*) AS "rows" FROM silver GROUP BY type',
+        "rows_by_type": _BROKEN
+        + f""", named AS (
+               SELECT *, CASE WHEN type IS NULL THEN '(null)' WHEN type IN {_DOMAIN} THEN type
+                              ELSE '(other)' END AS kind,
+                      CASE WHEN txn_id % 101 = 0 THEN NULL ELSE amount END AS read_amount FROM broken
+             ), counted AS (
+               SELECT kind, count(*) AS rows_in, count(*) FILTER (WHERE apart) AS quarantined FROM named GROUP BY kind
+             ), kept AS (
+               SELECT kind, count(*) AS rows_out FROM (
+                 SELECT DISTINCT * EXCLUDE (txn_id, amount) FROM named WHERE NOT apart) GROUP BY kind)
+             SELECT kind AS type, rows_in, quarantined, rows_in - quarantined - coalesce(rows_out, 0) AS duplicates,
+                    coalesce(rows_out, 0) AS rows_out FROM counted LEFT JOIN kept USING (kind)""",
+        "broken_expectations": _DIRTY
+        + f' SELECT {_REASONS} AS broken, count(*) AS "rows" FROM dirty GROUP BY 1',
+        "rows_with_broken_expectations": _DIRTY
+        + f""" SELECT * FROM (SELECT txn_id, type, amount, {_REASONS} AS broken FROM dirty)
+               WHERE broken <> ''""",
+        "routed_quarantine": _DIRTY
+        + f""", seen AS (
+               SELECT * REPLACE (CASE WHEN txn_id % 101 = 0 THEN NULL ELSE amount END AS amount) FROM dirty
+             ), flagged AS (
+               SELECT *, concat_ws(', ', CASE WHEN type NOT IN {_DOMAIN} THEN 'invalid type' END,
+                                   CASE WHEN txn_id % 101 = 0 THEN 'malformed line' END,
+                                   nullif({_REASONS}, '')) AS reasons FROM seen
+             ), good AS (SELECT DISTINCT * EXCLUDE (txn_id) FROM flagged WHERE reasons = '')
+             SELECT reasons, count(*) AS "rows" FROM flagged WHERE reasons <> '' GROUP BY reasons
+             UNION ALL SELECT 'bronze', count(*) FROM flagged
+             UNION ALL SELECT 'silver', count(*) FROM good""",
+        "metrics_over_runs": _METRICS
+        + " SELECT * EXCLUDE (median_amount_k), true AS median_within_bound FROM metrics",
         "malformed_lines": _BROKEN
         + """ SELECT count(*) FILTER (WHERE txn_id % 101 = 0) AS counted_lines,
                      count(*) FILTER (WHERE txn_id % 101 = 0) AS stored_lines FROM broken""",

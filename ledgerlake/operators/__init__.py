@@ -7,10 +7,13 @@ from .expectations import (
     TRANSACTION_EXPECTATIONS,
     Expectation,
     between,
+    broken_counts,
+    broken_expectations,
     in_set,
     not_null,
     passes,
     run_expectations,
+    split_by_expectations,
 )
 from .gate import (
     InvalidTypeError,
@@ -20,11 +23,19 @@ from .gate import (
     split_valid,
 )
 from .median import median_by_key
-from .metrics import share_of_total, type_metrics
-from .profile import distinct_types, ingest_profile, quarantine_counts
+from .metrics import (
+    merge_states,
+    metric_states,
+    metrics_of_states,
+    share_of_total,
+    type_metrics,
+)
+from .profile import NO_TYPE, OTHER_TYPE, distinct_types, ingest_profile, quarantine_counts, type_counts
 
 __all__ = [
     "METRIC_EXPECTATIONS",
+    "NO_TYPE",
+    "OTHER_TYPE",
     "TRANSACTION_EXPECTATIONS",
     "Expectation",
     "InvalidTypeError",
@@ -33,6 +44,8 @@ __all__ = [
     "balance_consistency",
     "balance_discrepancies",
     "between",
+    "broken_counts",
+    "broken_expectations",
     "clean",
     "distinct_types",
     "drop_duplicate_rows",
@@ -43,11 +56,16 @@ __all__ = [
     "ingest_profile",
     "invalid_type_report",
     "median_by_key",
+    "merge_states",
+    "metric_states",
+    "metrics_of_states",
     "not_null",
     "passes",
     "quarantine_counts",
     "run_expectations",
     "share_of_total",
+    "split_by_expectations",
     "split_valid",
+    "type_counts",
     "type_metrics",
 ]

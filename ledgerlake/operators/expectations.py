@@ -44,6 +44,10 @@ class Expectation:
             outside = outside | (cell >= high if self.strict_max else cell > high)
         return outside
 
+    @property
+    def label(self) -> str:
+        return f"{self.column} {self.name}"
+
     def evaluated_count(self) -> Column:
         return F.count(F.lit(1) if self.name == "not_null" else F.col(self.column))
 
@@ -72,6 +76,32 @@ def between(
     return Expectation("between", column, (), min_value, max_value, strict_min, strict_max)
 
 
+def broken_expectations(suite: Sequence[Expectation]) -> Column:
+    """The expectations that a row breaks, as an array of names in the suite's order."""
+    named = (F.when(e.violated(), F.lit(e.label)) for e in suite)
+    return F.array_compact(F.array(*named)) if suite else F.array().cast("array<string>")
+
+
+def split_by_expectations(
+    df: DataFrame, suite: Sequence[Expectation] | None = None, reasons: str = "broken"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that break no expectation, and the others with what they break.
+
+    Every row is in exactly one part. ``reasons`` names the column that the second
+    part has in addition.
+    """
+    suite = TRANSACTION_EXPECTATIONS if suite is None else suite
+    flagged = assert_columns(df, {e.column for e in suite}).withColumn(
+        reasons, broken_expectations(suite)
+    )
+    return flagged.where(F.size(reasons) == 0).drop(reasons), flagged.where(F.size(reasons) > 0)
+
+
+def broken_counts(df: DataFrame, reasons: str = "broken") -> DataFrame:
+    """Rows per set of reasons: ``(reasons, rows)`` for the second part of a split."""
+    return df.groupBy(reasons).agg(F.count("*").alias("rows"))
+
+
 TRANSACTION_EXPECTATIONS = (
     not_null("type"),
     in_set("type", TRANSACTION_TYPES),

@@ -67,21 +67,48 @@ def _finished(sums: DataFrame) -> DataFrame:
     )
 
 
-def _with_sketch(df: DataFrame, large_amount: float, accuracy: int) -> DataFrame:
+def metric_states(
+    df: DataFrame, large_amount: float = LARGE_AMOUNT, accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """What the metrics are made of, one row per type, in a form that can be added up.
+
+    Sums, and in column ``sketch`` a quantile sketch of the amounts; NaN amounts are left
+    out of it. States of parts of a table, put under each other, give the metrics of
+    all of it by :func:`metrics_of_states`. Scan tasks are dealt to ``MERGES`` groups whose
+    sketches are merged first, so no task merges the sketches of all scan tasks.
+    """
     sketch = F.kll_sketch_agg_double("amount", accuracy).alias("sketch")
-    parts = df.groupBy("type", F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part")).agg(
-        *_sums(large_amount), sketch
-    )
-    added = [c for c in parts.columns if c not in ("type", "part", "sketch")]
-    merged = parts.groupBy("type").agg(
-        *(F.sum(c).alias(c) for c in added), F.kll_merge_agg_double("sketch", accuracy).alias("sketch")
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part")
+    parts = assert_columns(df).groupBy("type", part).agg(*_sums(large_amount), sketch)
+    return merge_states(parts.drop("part"), accuracy)
+
+
+def merge_states(states: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Add up states of the same type; again one row per type."""
+    added = [c for c in states.columns if c not in ("type", "sketch")]
+    return states.groupBy("type").agg(
+        *(F.sum(c).alias(c) for c in added),
+        F.kll_merge_agg_double("sketch", accuracy).alias("sketch"),
     )
+
+
+def metrics_of_states(states: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """The metrics table of everything whose states are in the rows, however many per type."""
+    metrics = _with_median(_of_states(merge_states(states, accuracy)))
+    return share_of_total(metrics, total=over_all("transaction_count")).select(*METRIC_COLUMNS)
+
+
+def _of_states(merged: DataFrame) -> DataFrame:
     median = F.when(
         F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5))
     )
     return _finished(merged.withColumn("median", median))
 
 
+def _with_median(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("median_amount_k", F.round(F.col("median") / 1000, 2))
+
+
 def type_metrics(
     df: DataFrame,
     median: str = "exact",
@@ -93,9 +120,7 @@ def type_metrics(
 
     ``median="approx"`` adds quantile sketches of size ``accuracy`` to the same
     aggregate: one scan, and a value whose rank is nearly the middle one (about
-    0.13 % off at the default size). Scan tasks are dealt to ``MERGES`` groups
-    whose sketches are merged first, then those of the groups, so no task merges
-    the sketches of all scan tasks. NaN amounts are left out of a sketch.
+    0.13 % off at the default size); see :func:`metric_states`.
 
     The exact plan reads ``df`` twice, so store it first if it is expensive.
 
@@ -108,7 +133,7 @@ def type_metrics(
     assert_columns(df)
 
     if median == "approx":
-        metrics = _with_sketch(df, large_amount, accuracy)
+        metrics = _of_states(metric_states(df, large_amount, accuracy))
     elif domain is not None:
         sums = _sums(large_amount)
         metrics = _finished(median_by_key(df, "type", "amount", domain, sums=sums))
@@ -118,7 +143,7 @@ def type_metrics(
         same_type = F.col("type").eqNullSafe(F.col("median_type"))
         metrics = metrics.join(medians, same_type, "left")
 
-    metrics = metrics.withColumn("median_amount_k", F.round(F.col("median") / 1000, 2))
+    metrics = _with_median(metrics)
     # Any number of types may occur without a domain: count rows in a subquery.
     total = df.agg(F.count("*")).scalar() if domain is None else over_all("transaction_count")
     return share_of_total(metrics, total=total).select(*METRIC_COLUMNS)

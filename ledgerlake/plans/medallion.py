@@ -2,13 +2,17 @@
 
 Each layer is one write. The checks that decide whether the next layer may go
 ahead are taken while a layer is written, so the whole run is three actions
-(four if rows are quarantined) and no table is scanned just to be counted.
+(four if rows are quarantined, one more if states are kept) and no table is
+scanned just to be counted. Layers are written aside and published together, by one
+commit of a single row, once every check of the run has passed; of a run that fails
+readers find nothing.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
@@ -21,17 +25,35 @@ from ..operators import (
     Expectation,
     InvalidTypeError,
     assert_columns,
+    broken_expectations,
     clean,
     invalid_type_report,
+    metric_states,
+    type_counts,
     type_metrics,
 )
-from ..sources import layer_path, new_run_id, read_layer, read_transactions_csv, write_layer
+from ..sources import (
+    Written,
+    commit,
+    discard,
+    layer_path,
+    log_path,
+    new_run_id,
+    read_layer,
+    read_transactions_csv,
+    stage_layer,
+    write_layer,
+)
 from .sizing import ROWS_PER_PARTITION, sized_session
 
 log = logging.getLogger("ledgerlake")
 
 #: Column of a bronze layer that keeps the raw text of malformed lines.
 MALFORMED = "malformed_line"
+#: Column of a quarantine layer that lists everything for which a row was set aside.
+REASONS = "quarantine_reasons"
+# Reasons besides broken expectations.
+INVALID_TYPE, MALFORMED_LINE = "invalid type", "malformed line"
 DEFAULT = Ledger()
 
 
@@ -47,7 +69,12 @@ class ChecksFailed(ValueError):
 @dataclass(frozen=True)
 class LayerRun:
     """A stored layer: its rows, the checks taken while writing it, and what was
-    checked: the suite and the ledger."""
+    checked: the suite, the routed expectations and the ledger.
+
+    ``path`` is the folder with the data of this write, which never changes;
+    ``target`` the place where readers find what was last published. ``types`` has
+    the rows per type.
+    """
 
     layer: str
     path: str
@@ -56,18 +83,80 @@ class LayerRun:
     suite: tuple[Expectation, ...] = ()
     ledger: Ledger = DEFAULT
     quarantined: LayerRun | None = None
-
-    def verify(self, path: str, suite: Sequence[Expectation], ledger: Ledger) -> None:
-        """Raise unless this run checked this path with this suite and ledger."""
+    route: tuple[Expectation, ...] = ()
+    target: str = ""
+    types: Mapping[str, int] = field(default_factory=dict)
+
+    def verify(
+        self,
+        path: str,
+        suite: Sequence[Expectation],
+        ledger: Ledger,
+        route: Sequence[Expectation] = (),
+    ) -> None:
+        """Raise unless this run checked this path with this suite, routing and ledger."""
         for what, own, asked in (
             ("path", self.path, path),
             ("suite", self.suite, tuple(suite)),
+            ("routing", self.route, tuple(route)),
             ("ledger", self.ledger, ledger),
         ):
             if own != asked:
                 raise ValueError(f"the {self.layer} run given was taken with another {what}")
 
 
+class Staging:
+    """Layers that are written one by one and published together.
+
+    As a context it removes what was not published if its block fails.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.written: list[Written] = []
+
+    def write(
+        self,
+        layer: str,
+        df: DataFrame,
+        target: str,
+        checks: Mapping[str, Column] | None = None,
+        types: Column | None = None,
+        **more,
+    ) -> LayerRun:
+        done = stage_layer(df, target, checks, layer, types)
+        self.written.append(done)
+        log.info("%s: %d rows -> %s", layer, done.rows, done.folder)
+        return LayerRun(layer, done.folder, done.rows, done.checks, target=done.target, types=done.types, **more)
+
+    def publish(self, run_id: str | None = None) -> None:
+        """Make everything visible: one commit per log, and a run has a single log."""
+        waiting, self.written = self.written, []
+        by_log: dict[str, list[Written]] = {}
+        for table in waiting:
+            by_log.setdefault(log_path(table.target), []).append(table)
+        for name, tables in by_log.items():
+            commit(self.spark, name, tables, run_id)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, failure, *_) -> None:
+        if failure:
+            discard(self.spark, self.written)
+
+
+@contextmanager
+def _staged(spark: SparkSession, staging: Staging | None) -> Iterator[Staging]:
+    """The staging given, whose owner publishes; else one that is published at the end."""
+    if staging is not None:
+        yield staging
+        return
+    with Staging(spark) as own:
+        yield own
+        own.publish()
+
+
 @dataclass(frozen=True)
 class MedallionRun:
     """A finished run."""
@@ -89,18 +178,35 @@ class MedallionRun:
         }
 
 
-def layer_checks(suite: Sequence[Expectation] = (), ledger: Ledger = DEFAULT) -> dict[str, Column]:
+def layer_checks(
+    suite: Sequence[Expectation] = (),
+    ledger: Ledger = DEFAULT,
+    route: Sequence[Expectation] = (),
+) -> dict[str, Column]:
     """Aggregates the clean layer needs to know about its input.
 
-    The number of rows outside the domain, of rows per broken fee rule, and of
-    unexpected cells per expectation of the suite.
+    The number of rows outside the domain, of rows per broken fee rule, of unexpected
+    cells per expectation of the suite, and of rows that break one of ``route``.
     """
     label = balance_label(ledger.fee_rules)
-    return {
+    checks = {
         "invalid_types": F.count_if(outside_domain(domain=ledger.types)),
         **{rule.label: F.count_if(label == rule.label) for rule in ledger.fee_rules},
         **_suite_checks(suite),
     }
+    if route:
+        checks["routed_rows"] = F.count_if(F.size(broken_expectations(route)) > 0)
+    return checks
+
+
+def quarantine_reasons(
+    ledger: Ledger = DEFAULT, route: Sequence[Expectation] = (), malformed: bool = True
+) -> Column:
+    """Everything for which a row goes to quarantine, as an array; empty for a good row."""
+    kinds = [F.when(outside_domain(domain=ledger.types), INVALID_TYPE)]
+    if malformed:
+        kinds.append(F.when(F.col(MALFORMED).isNotNull(), MALFORMED_LINE))
+    return F.concat(F.array_compact(F.array(*kinds)), broken_expectations(route))
 
 
 def _suite_checks(suite: Sequence[Expectation]) -> dict[str, Column]:
@@ -117,15 +223,6 @@ def _passed(layer: str, checks: Mapping[str, int], names: Sequence[str]) -> None
         raise ChecksFailed(layer, failed)
 
 
-def _write(
-    layer: str, df: DataFrame, path: str, checks: Mapping[str, Column] | None = None, **more
-) -> LayerRun:
-    seen = write_layer(df, path, checks)
-    run = LayerRun(layer, path, seen.pop("rows"), seen, **more)
-    log.info("%s: %d rows -> %s", layer, run.rows, path)
-    return run
-
-
 def ingest_layer(
     spark: SparkSession,
     source: str,
@@ -135,11 +232,14 @@ def ingest_layer(
     ledger: Ledger = DEFAULT,
     keep_malformed: bool = False,
     skip_unreadable: bool = False,
+    route: Sequence[Expectation] = (),
+    staging: Staging | None = None,
 ) -> LayerRun:
     """CSV under the ledger's schema -> Parquet. Takes the layer checks on the way.
 
     ``keep_malformed`` stores the raw text of malformed lines in a further
-    column, :data:`MALFORMED`, and counts them (check ``malformed_lines``).
+    column, :data:`MALFORMED`, and counts them (check ``malformed_lines``). The layer
+    is published when it is stored, or with the others of ``staging``.
     """
     df = read_transactions_csv(
         spark,
@@ -149,10 +249,12 @@ def ingest_layer(
         MALFORMED if keep_malformed else None,
         skip_unreadable,
     )
-    checks = layer_checks(suite, ledger)
+    checks = layer_checks(suite, ledger, route)
     if keep_malformed:
         checks["malformed_lines"] = F.count(MALFORMED)
-    return _write("bronze", df, target, checks, suite=tuple(suite), ledger=ledger)
+    checked = {"suite": tuple(suite), "ledger": ledger, "route": tuple(route)}
+    with _staged(spark, staging) as own:
+        return own.write("bronze", df, target, checks, type_counts(ledger.types), **checked)
 
 
 def clean_layer(
@@ -167,54 +269,65 @@ def clean_layer(
     gate: Sequence[Expectation] = (),
     balance_type: str | None = None,
     rows_per_partition: int = ROWS_PER_PARTITION,
+    route: Sequence[Expectation] = (),
+    staging: Staging | None = None,
 ) -> LayerRun:
     """Gate, de-duplicate and fill a Parquet layer.
 
     Raises :class:`ChecksFailed` if an expectation of ``suite`` fails, and
     :class:`InvalidTypeError` if a type is outside the domain; nothing is written
     then, but the complete report of types goes to ``rejected`` if that path is
-    given. With a ``quarantine`` path the rows with such types and the malformed
-    lines of the source are written there instead, and the others are cleaned.
+    given. With a ``quarantine`` path the rows with such types, the malformed lines
+    of the source and the rows that break an expectation of ``route`` are written
+    there instead, each with everything that is wrong with it in column
+    :data:`REASONS`, and the others are cleaned.
 
     The checks come from ``checked``, the ingest of ``source`` with the same
-    suite and ledger (anything else is a ``ValueError``); without it, from one
-    scan of the columns they need. They stay in the result, as they include the
+    suite, routing and ledger (anything else is a ``ValueError``); without it, from
+    one scan of the columns they need. They stay in the result, as they include the
     rows per broken fee rule.
 
     ``gate`` is a suite for the cleaned rows, ``balance_type`` a type whose rows
     must all satisfy the balance arithmetic (check ``balance_unexpected``); both
-    are taken while writing, and raise :class:`ChecksFailed` after it.
+    are taken while writing. If they fail, :class:`ChecksFailed` is raised and what
+    was written is removed. The layer is published after they hold, or with the
+    others of ``staging``.
     """
+    if route and not quarantine:
+        raise ValueError("rows that break an expectation can be routed only to a quarantine")
     if checked is None:
         df = assert_columns(read_layer(spark, source))
-        counts = {"rows": F.count(F.lit(1)), **layer_checks(suite, ledger)}
+        counts = {"rows": F.count(F.lit(1)), **layer_checks(suite, ledger, route)}
         if MALFORMED in df.columns:
             counts["malformed_lines"] = F.count(MALFORMED)
         seen = df.agg(*(c.alias(name) for name, c in counts.items())).first().asDict()
-        checked = LayerRun("bronze", source, seen.pop("rows"), seen, tuple(suite), ledger)
-    checked.verify(source, suite, ledger)
+        checked = LayerRun(
+            "bronze", source, seen.pop("rows"), seen, tuple(suite), ledger, route=tuple(route)
+        )
+    checked.verify(source, suite, ledger, route)
 
     _passed("bronze", checked.checks, list(_suite_checks(suite)))
     df = assert_columns(read_layer(sized_session(spark, checked.rows, rows_per_partition), source))
-    stray = outside_domain(domain=ledger.types)
-    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
-    bad = checked.checks["invalid_types"] + checked.checks.get("malformed_lines", 0)
-    aside = None
-    if quarantine and bad:
-        apart = F.coalesce(stray, F.lit(False)) | malformed
-        aside = _write("quarantine", df.where(apart), quarantine, ledger=ledger)
-        df = df.where(~apart)
-    elif checked.checks["invalid_types"]:
-        _reject(df, ledger, rejected)
-    df = df.drop(MALFORMED)
-
-    checks = _suite_checks(gate)
-    if balance_type:
-        holds = F.coalesce(balance_drift() < F.lit(BALANCE_TOLERANCE), F.lit(False))
-        checks["balance_unexpected"] = F.count_if((F.col("type") == balance_type) & ~holds)
-    rows = clean(df, rules=ledger.fee_rules)
-    written = _write("silver", rows, target, checks, ledger=ledger, quarantined=aside)
-    _passed("silver", written.checks, list(checks))
+    reasons = quarantine_reasons(ledger, route, MALFORMED in df.columns)
+    bad = sum(checked.checks.get(n, 0) for n in ("invalid_types", "malformed_lines", "routed_rows"))
+    types = type_counts(ledger.types)
+    with _staged(spark, staging) as own:
+        aside = None
+        if quarantine and bad:
+            apart = df.withColumn(REASONS, reasons).where(F.size(REASONS) > 0)
+            aside = own.write("quarantine", apart, quarantine, types=types, ledger=ledger)
+            df = df.where(F.size(reasons) == 0)
+        elif checked.checks["invalid_types"]:
+            _reject(df, ledger, rejected)
+        df = df.drop(MALFORMED)
+
+        checks = _suite_checks(gate)
+        if balance_type:
+            holds = F.coalesce(balance_drift() < F.lit(BALANCE_TOLERANCE), F.lit(False))
+            checks["balance_unexpected"] = F.count_if((F.col("type") == balance_type) & ~holds)
+        rows = clean(df, rules=ledger.fee_rules)
+        written = own.write("silver", rows, target, checks, types, ledger=ledger, quarantined=aside)
+        _passed("silver", written.checks, list(checks))
     return replace(written, checks={**checked.checks, **written.checks})
 
 
@@ -238,13 +351,16 @@ def metrics_layer(
     ledger: Ledger = DEFAULT,
     gate: Sequence[Expectation] = (),
     rows_per_partition: int = ROWS_PER_PARTITION,
+    staging: Staging | None = None,
 ) -> LayerRun:
     """Metrics per type of a cleaned Parquet layer.
 
     ``cleaned``, the run that wrote ``source`` under the same ledger, tells that
     its types are inside the domain and how many rows to size shuffles for;
     without it the rows are counted and any type may occur. ``gate`` is a suite
-    for the metrics, taken while writing; :class:`ChecksFailed` comes after it.
+    for the metrics, taken while writing; if it fails, :class:`ChecksFailed` is
+    raised and what was written is removed. The layer is published after it holds,
+    or with the others of ``staging``.
     """
     if cleaned is None:
         rows, domain = read_layer(spark, source).count(), None
@@ -254,11 +370,25 @@ def metrics_layer(
     df = read_layer(sized_session(spark, rows, rows_per_partition), source)
     metrics = type_metrics(df, median, domain, ledger.large_amount, ledger.accuracy)
     checks = _suite_checks(gate)
-    written = _write("gold", metrics, target, checks, suite=tuple(gate), ledger=ledger)
-    _passed("gold", written.checks, list(checks))
+    with _staged(spark, staging) as own:
+        written = own.write("gold", metrics, target, checks, suite=tuple(gate), ledger=ledger)
+        _passed("gold", written.checks, list(checks))
     return written
 
 
+def states_layer(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    ledger: Ledger = DEFAULT,
+    staging: Staging | None = None,
+) -> LayerRun:
+    """Partial metrics of a cleaned layer, for :func:`..plans.metrics_over_runs`."""
+    states = metric_states(read_layer(spark, source), ledger.large_amount, ledger.accuracy)
+    with _staged(spark, staging) as own:
+        return own.write("states", states, target, ledger=ledger)
+
+
 def run_medallion(
     spark: SparkSession,
     source: str,
@@ -274,37 +404,68 @@ def run_medallion(
     metric_gate: Sequence[Expectation] = (),
     skip_unreadable: bool = False,
     rows_per_partition: int = ROWS_PER_PARTITION,
+    route: Sequence[Expectation] = (),
+    keep_states: bool = False,
 ) -> MedallionRun:
-    """Run all three layers on the caller's session.
-
-    Output goes to ``<base>/<layer>/run_id=<run_id>``. Repeating a run id
-    replaces that run's output. ``quarantine`` sets bad types and malformed lines
-    aside in the layer ``quarantine`` instead of stopping the run; otherwise a
-    stopped run leaves the complete report of bad types in the layer ``rejected``.
-    The gates are described at :func:`clean_layer` and :func:`metrics_layer`.
+    """Run all three layers on the caller's session, then publish them together.
+
+    Readers find them with :func:`..sources.read_run`, or at the places
+    ``<base>/<layer>/run_id=<run_id>`` with :func:`..sources.read_layer`. Repeating a run
+    id replaces what they find there. A run that fails removes what it wrote and
+    publishes nothing; readers keep what they had.
+
+    ``quarantine`` sets bad types, malformed lines and rows that break an expectation
+    of ``route`` aside in the layer ``quarantine`` instead of stopping the run; otherwise
+    a stopped run leaves the complete report of bad types in the layer ``rejected``,
+    which is no layer of a published run. ``keep_states`` adds a layer ``states``, from
+    which metrics over several runs are made. The gates are described at
+    :func:`clean_layer` and :func:`metrics_layer`.
     """
     started = datetime.now()
     run_id = run_id or new_run_id()
-    layers = ("bronze", "silver", "gold", "quarantine", "rejected")
+    layers = ("bronze", "silver", "gold", "quarantine", "rejected", "states")
     path = {layer: layer_path(base, layer, run_id) for layer in layers}
 
-    bronze = ingest_layer(
-        spark, source, path["bronze"], suite, strict_header, ledger, quarantine, skip_unreadable
-    )
-    silver = clean_layer(
-        spark,
-        bronze.path,
-        path["silver"],
-        suite,
-        bronze,
-        ledger,
-        path["quarantine"] if quarantine else None,
-        path["rejected"],
-        clean_gate,
-        balance_type,
-        rows_per_partition,
-    )
-    gold = metrics_layer(
-        spark, silver.path, path["gold"], median, silver, ledger, metric_gate, rows_per_partition
-    )
+    with Staging(spark) as staging:
+        bronze = ingest_layer(
+            spark,
+            source,
+            path["bronze"],
+            suite,
+            strict_header,
+            ledger,
+            quarantine,
+            skip_unreadable,
+            route,
+            staging,
+        )
+        silver = clean_layer(
+            spark,
+            bronze.path,
+            path["silver"],
+            suite,
+            bronze,
+            ledger,
+            path["quarantine"] if quarantine else None,
+            path["rejected"],
+            clean_gate,
+            balance_type,
+            rows_per_partition,
+            route,
+            staging,
+        )
+        gold = metrics_layer(
+            spark,
+            silver.path,
+            path["gold"],
+            median,
+            silver,
+            ledger,
+            metric_gate,
+            rows_per_partition,
+            staging,
+        )
+        if keep_states:
+            states_layer(spark, silver.path, path["states"], ledger, staging)
+        staging.publish(run_id)
     return MedallionRun(bronze, silver, gold, started, datetime.now() - started)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import TRANSACTION_SCHEMA
+from .commits import published, published_runs
 
 
 def _lenient(skip_unreadable: bool) -> dict[str, bool]:
@@ -46,9 +48,27 @@ def read_layer(
 ) -> DataFrame:
     """Read a stored layer, or several as one.
 
-    The schema comes from one file unless it is given, which it should be if
-    that file may be an unreadable one.
+    Of a place that :func:`..sources.write_layer` or a run has written, what was
+    last published there; any other folder as it is. The schema comes from one file
+    unless it is given, which it should be if that file may be an unreadable one.
     """
     reader = spark.read.options(**_lenient(skip_unreadable))
     paths = [path] if isinstance(path, str) else path
-    return (reader.schema(schema) if schema else reader).parquet(*paths)
+    folders = [published(spark, p) or p for p in paths]
+    return (reader.schema(schema) if schema else reader).parquet(*folders)
+
+
+def read_run(
+    spark: SparkSession, base: str, layer: str, run_id: str | None = None
+) -> DataFrame:
+    """A layer of one run of the lake ``base``: of the newest that was published, or of ``run_id``.
+
+    Runs that failed, or were killed, have published nothing and are never found.
+    """
+    runs = published_runs(spark, base).where(F.col("layer") == layer)
+    if run_id is not None:
+        runs = runs.where(F.col("run_id") == run_id)
+    found = runs.agg(F.max_by("folder", "commit")).first()[0]
+    if found is None:
+        raise FileNotFoundError(f"no published run of {base} has {layer} of {run_id or 'any run'}")
+    return spark.read.parquet(found)

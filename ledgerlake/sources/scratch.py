@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .files import make_until_end
+
 _own: list[str] = []
 
 
@@ -27,9 +29,5 @@ def scratch_path(spark: SparkSession, name: str = "table") -> str:
             _own.append(tempfile.mkdtemp(prefix="ledgerlake-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         base = _own[0]
-    files = spark._jvm.org.apache.hadoop.fs
-    folder = files.Path(f"{base.rstrip('/')}/ledgerlake-{name}-{uuid.uuid4().hex}")
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(folder)
-    system.deleteOnExit(folder)
-    return f"{folder.toString()}/{name}"
+    folder = f"{base.rstrip('/')}/ledgerlake-{name}-{uuid.uuid4().hex}"
+    return f"{make_until_end(spark, folder)}/{name}"

@@ -10,7 +10,7 @@ import pytest
 from ledgerlake import operators as op
 from ledgerlake import plans
 from ledgerlake.contracts import METRIC_COLUMNS, TRANSACTION_SCHEMA, FeeRule, Ledger
-from ledgerlake.sources import scratch_path
+from ledgerlake.sources import published_runs, read_layer, read_run, scratch_path
 from testtables import write_transactions_csv
 from tests.test_sources import GOOD, HEADER
 
@@ -28,6 +28,11 @@ def source(tmp_path):
     return write
 
 
+def nothing_left(base, layer):
+    """No data of a layer, published or not."""
+    return not list((base / layer).rglob("*.parquet"))
+
+
 def test_one_row_through_all_layers(spark, source, tmp_path):
     run = plans.run_medallion(spark, source(GOOD), str(tmp_path / "lake"), run_id="r1")
     assert [layer.rows for layer in (run.bronze, run.silver, run.gold)] == [1, 1, 1]
@@ -48,9 +53,10 @@ def test_repeating_a_run_replaces_it_and_others_stay(spark, source, tmp_path):
     first = plans.run_medallion(spark, path, base, run_id="a")
     plans.run_medallion(spark, path, base, run_id="b")
     again = plans.run_medallion(spark, path, base, run_id="a")
-    assert again.gold.path == first.gold.path
-    assert spark.read.parquet(f"{base}/silver").groupBy("run_id").count().count() == 2
-    assert spark.read.parquet(again.silver.path).count() == 1
+    assert again.gold.target == first.gold.target and again.gold.path != first.gold.path
+    assert published_runs(spark, base).groupBy("run_id").count().count() == 2
+    assert read_layer(spark, first.silver.target).count() == 1
+    assert read_run(spark, base, "silver", "a").count() == 1
 
 
 def test_invalid_type_stops_the_run_before_silver(spark, source, tmp_path):
@@ -58,10 +64,11 @@ def test_invalid_type_stops_the_run_before_silver(spark, source, tmp_path):
     with pytest.raises(op.InvalidTypeError) as caught:
         plans.run_medallion(spark, path, str(tmp_path / "lake"), run_id="r")
     assert (caught.value.rows, caught.value.types) == (1, 1)
-    stored = spark.read.parquet(str(tmp_path / "lake" / "rejected" / "run_id=r"))
+    stored = read_layer(spark, str(tmp_path / "lake" / "rejected" / "run_id=r"))
     assert [tuple(r) for r in stored.collect()] == [("CASH-IN", 1)]
     assert caught.value.report.collect() == stored.collect()
-    assert (tmp_path / "lake" / "bronze").exists()
+    assert published_runs(spark, str(tmp_path / "lake")).count() == 0
+    assert nothing_left(tmp_path / "lake", "bronze")
     assert not (tmp_path / "lake" / "silver").exists()
 
 
@@ -150,10 +157,12 @@ def test_gates_after_silver_and_gold(spark, source, tmp_path):
     with pytest.raises(plans.ChecksFailed, match="balance_unexpected") as caught:
         plans.run_medallion(spark, source(off), str(tmp_path / "b"), **gates)
     assert caught.value.layer == "silver" and not (tmp_path / "b" / "gold").exists()
+    assert all(nothing_left(tmp_path / "b", layer) for layer in ("bronze", "silver"))
     zero = source(GOOD.replace("310.5", "0.0").replace("889.5", "1200.0"))
     with pytest.raises(plans.ChecksFailed, match="avg_amount_k") as caught:
         plans.run_medallion(spark, zero, str(tmp_path / "c"), **gates)
     assert caught.value.layer == "gold"
+    assert all(nothing_left(tmp_path / "c", layer) for layer in ("bronze", "silver", "gold"))
 
 
 def test_another_ledger(spark, source, tmp_path):
@@ -261,7 +270,7 @@ def test_counts_are_exact_when_tasks_fail_and_run_again(tmp_path):
     body = f"""
 from pyspark import TaskContext
 from pyspark.sql import functions as F
-from ledgerlake.sources import write_layer
+from ledgerlake.sources import read_layer, write_layer
 
 def flaky(batches):
     for batch in batches:
@@ -271,7 +280,7 @@ def flaky(batches):
 
 df = spark.range(0, 1000, 1, 4).mapInPandas(flaky, "id bigint")
 seen = write_layer(df, {str(tmp_path / "out")!r}, {{"even": F.count_if(F.col("id") % 2 == 0)}})
-print(seen["rows"], seen["even"], spark.read.parquet({str(tmp_path / "out")!r}).count())
+print(seen["rows"], seen["even"], read_layer(spark, {str(tmp_path / "out")!r}).count())
 """
     assert run_script(body).split() == ["1000", "500", "1000"]
 
@@ -285,11 +294,11 @@ def test_command_line(tmp_path, source):
     )
     assert "SparkUI" not in done.stderr
     summary = json.loads(done.stdout)
-    assert summary["gold_path"] == f"{tmp_path}/lake/gold/run_id=r1"
+    assert summary["gold_path"].startswith(f"{tmp_path}/lake/gold/run_id=r1/")
     assert list(Path(summary["gold_path"]).glob("*.parquet"))
 
 
-def test_a_run_is_three_actions(tmp_path, source):
+def test_a_run_is_three_actions_and_a_commit(tmp_path, source):
     """Counted in Spark's event log: one SQL execution per layer, checks included."""
     logs = tmp_path / "events"
     logs.mkdir()
@@ -313,4 +322,4 @@ run_medallion(spark, {path!r}, {str(tmp_path / "lake")!r}, suite=TRANSACTION_EXP
         for line in open(path)
     ]
     executions = {e["executionId"] for e in events if e["Event"].endswith("SQLExecutionStart")}
-    assert len(executions) == 3
+    assert len(executions) == 3 + 1

@@ -79,9 +79,18 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_transactions_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Store :func:`transactions` as CSV files with a header; return the path."""
+def write_transactions_csv(
+    spark: SparkSession, sf_dir: str, part: int | None = None, parts: int = 2
+) -> str:
+    """Store :func:`transactions` as CSV files with a header; return the path.
+
+    ``part`` takes the transactions of one of ``parts`` deliveries; copies of a
+    transaction lie in the same one.
+    """
     path = scratch_path(spark, "csv")
     columns = TRANSACTION_SCHEMA.fieldNames()
-    transactions(spark, sf_dir).select(*columns).write.option("header", True).csv(path)
+    rows = transactions(spark, sf_dir)
+    if part is not None:
+        rows = rows.where(F.col("txn_id") % parts == part)
+    rows.select(*columns).write.option("header", True).csv(path)
     return path
