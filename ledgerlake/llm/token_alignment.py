@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -28,7 +28,7 @@ from .text import mix, signed, slices
 #: Texts of more characters than this are left to the slower, unlimited library.
 LONG = 100_000
 #: Windows that a task remembers at a time; distinct pairs it adds up at a time.
-WINDOWS, PAIRS = 200_000, 500_000
+WINDOWS, PAIRS = 250_000, 500_000
 
 # Fixed value: where byte-level tokenizers of this kind part a text beforehand.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -114,7 +114,13 @@ class PieceTokens:
                 self.bytes.append(piece.replace("▁", " ").encode())
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+        return [np.array(self.model.encode(text), np.int64) for text in texts]
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers of ranges with these starts and lengths."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum())) + np.repeat(first - before, count)
 
 
 class Aligner:
@@ -124,6 +130,9 @@ class Aligner:
         self.a, self.b, self.most = a, b, most
         self.lengths = [np.array([len(x) for x in t.bytes], np.int64) for t in (a, b)]
         self.marked = [np.array([x[:1] == b" " for x in t.bytes], bool) for t in (a, b)]
+        # An id with each mark that may follow it: three entries per id.
+        size = max(len(a.bytes), len(b.bytes))
+        self.written = [f"{i}{mark}" for i in range(size) for mark in (",", "|", ";")]
         self.forget()
 
     def forget(self) -> None:
@@ -191,46 +200,48 @@ class Aligner:
         named = [raw[i:j] for i, j in pairwise([0, *bounds])]
 
         number = list(map(self.known.get, named))
-        if None in number:
-            if len(self.known) + len(set(named)) > self.most:
-                self.forget()
-            for name in named:
-                if name not in self.known:
-                    self._learn(name)
-            number = list(map(self.known.__getitem__, named))
+        missing = [i for i, n in enumerate(number) if n is None]
+        new = {named[i]: i for i in missing}
+        if len(self.known) + len(new) > self.most:
+            self.forget()
+            missing = range(len(named))
+            new = {named[i]: i for i in missing}
+        if new:
+            at = np.fromiter(new.values(), np.int64, len(new))
+            own_a, own_b = (_ranges(u[at] - n[at], n[at]) for u, n in ((upto_a, n_a), (upto_b, n_b)))
+            self._learn(new, a[own_a], b[own_b], n_a[at], n_b[at])
+            for i in missing:
+                number[i] = self.known[named[i]]
         return np.array(number, np.int64), last
 
-    def _learn(self, name: bytes) -> None:
-        """Work out the alignment of a window."""
-        ids = np.frombuffer(name, np.uint32).tolist()
-        n_a = ids[0]
-        a, b = ids[1 : n_a + 1], ids[n_a + 1 :]
-        bytes_a, bytes_b = self.a.bytes, self.b.bytes
-        groups, i, j, first_i, first_j = [], 0, 0, 0, 0
-        end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
-        while True:
-            pair = a[i] << 32 | b[j]
+    def _learn(self, names: Iterable[bytes], a, b, n_a, n_b) -> None:
+        """Work out the alignments of windows with these tokens in a row."""
+        ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
+        window = np.repeat(np.arange(len(n_a)), n_a)
+        # Every stretch between two ends lies in one token of either: a link.
+        ends = np.union1d(ends_a, ends_b)
+        of_a, of_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        pairs, place = np.unique(a[of_a] << 32 | b[of_b], return_inverse=True)
+        for pair in pairs.tolist():
             if pair not in self.pairs:
                 self.pairs[pair] = len(self.pair_ids)
                 self.pair_ids.append(pair)
-            self.links.append(self.pairs[pair])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                left, right = a[first_i : i + 1], b[first_j : j + 1]
-                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                first_i, first_j = i + 1, j + 1
-                if first_i == len(a):
-                    break
-            if step_a:
-                i += 1
-                end_a += len(bytes_a[a[i]])
-            if step_b:
-                j += 1
-                end_b += len(bytes_b[b[j]])
-        self.known[name] = len(self.strings)
-        self.strings.append(";".join(groups))
-        self.groups.append(len(groups))
-        self.starts.append(len(self.links))
+        numbers = np.fromiter(map(self.pairs.__getitem__, pairs.tolist()), np.int64, len(pairs))
+        upto = np.cumsum(np.bincount(window[of_a])) + len(self.links)
+        self.links.frombytes(numbers[place].tobytes())
+        self.starts.frombytes(upto.astype(np.int64).tobytes())
+
+        shared_a, shared_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        self.groups.frombytes(np.bincount(window[shared_a]).astype(np.int64).tobytes())
+        group_a, group_b = (np.cumsum(x) - x for x in (shared_a, shared_b))
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        items = np.concatenate([3 * a + shared_a, 3 * b + 2 * shared_b])[order]
+        written = list(map(self.written.__getitem__, items.tolist()))
+        # A window's items end with the last token of b, whose mark is left out.
+        tokens = np.cumsum(n_a + n_b)
+        first = len(self.strings)
+        self.strings += ["".join(written[i:j])[:-1] for i, j in pairwise([0, *tokens.tolist()])]
+        self.known.update(zip(names, range(first, len(self.strings)), strict=True))
 
     def _put_together(self, out: dict, number: np.ndarray, row: np.ndarray) -> None:
         """Sum up the windows ``number`` of the ascending rows ``row``."""
@@ -245,9 +256,7 @@ class Aligner:
         for r, (i, j) in zip(own.tolist(), pairwise([*first.tolist(), len(numbers)]), strict=True):
             out["groups"][r] = ";".join(map(self.strings.__getitem__, numbers[i:j]))
 
-        before = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) + np.repeat(starts[number] - before, size)
-        both = (np.repeat(row, size) << 32) + links[place]
+        both = (np.repeat(row, size) << 32) + links[_ranges(starts[number], size)]
         both, times = np.unique(both, return_counts=True)
         out["pairs"] = np.frombuffer(self.pair_ids, np.int64)[both & 0xFFFFFFFF]
         out["links"] = times
