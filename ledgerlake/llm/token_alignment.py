@@ -27,8 +27,8 @@ from .text import mix, signed, slices
 
 #: Texts of more characters than this are left to the slower, unlimited library.
 LONG = 100_000
-#: Windows that a task remembers at a time; distinct pairs it adds up at a time.
-WINDOWS, PAIRS = 250_000, 500_000
+#: Texts aligned together, windows that a task remembers, distinct pairs it adds up.
+TEXTS, WINDOWS, PAIRS = 64, 60_000, 500_000
 
 # Fixed value: where byte-level tokenizers of this kind part a text beforehand.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -292,7 +292,7 @@ def aligned(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(ByteLevelTokens(a), PieceTokens(b))
-        for batch in slices(batches):
+        for batch in slices(batches, TEXTS):
             out = aligner.batch(batch.column(1).to_pylist())
             offsets = pa.array(out["offsets"], pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(out[c])) for c in ("pairs", "links")]
