@@ -18,11 +18,19 @@ from ledgerlake.llm.small_tables import word_count
 from ledgerlake.llm.storage import shared_folder
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """The documents with all columns but the ``used`` ones under names that no operator
+    gives to its own, whatever their case, and these names in order."""
+    names = [c if c in used else f"_ll_column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules and the classifier keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules(docs, train_quality(docs, labels))
-    return judged.where("kept").select(*docs.columns)
+    model = train_quality(docs.select("doc_id", "text"), labels)
+    apart, names = _apart(docs, "text")
+    return quality_rules(apart, model).where("kept").select(*names).toDF(*docs.columns)
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +38,12 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Copies of a text count as one page: the next stage decides about them.
     """
+    apart, names = _apart(docs, "doc_id", "source", "text")
     cleaned = drop_boilerplate(
-        docs, max_ratio=CORPUS_RATIO, different=True, deviations=CORPUS_DEVIATIONS
+        apart, max_ratio=CORPUS_RATIO, different=True, deviations=CORPUS_DEVIATIONS
     )
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cleaned = cleaned.select(*names).toDF(*docs.columns)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
