@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
+from .set_store import write_sets
 from .small_tables import small
-from .storage import stored
+from .storage import is_mounted, stored
 from .text import WordHashes, mix, signed, slices, windows, with_columns, words
 
 #: A band's largest size over its smallest.
@@ -319,28 +320,65 @@ def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(near, "a bigint, b bigint")
 
 
-def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one piece in different components that their sketches allow.
+def _together(members: DataFrame) -> DataFrame:
+    """``(together, set_id, component)``: which sets to compare with each other.
 
-    ``members (piece, set_id, component)`` has the pieces that star links left
-    with several components. A piece's sets are dealt to blocks of about
-    ``BLOCK``; a unit holds two of its blocks and yields only the pairs whose
-    sketches are near enough, so no task and no table ever holds all pairs of a
-    piece. Units are gathered to groups of about ``GROUP`` rows.
+    ``members (piece, set_id, component)`` has the pieces that are left with several
+    components. Sets that share pieces, directly or through others, form a cluster; near
+    copies share so many pieces that comparing a cluster's sets once is far less than
+    comparing those of every piece. Where a cluster is so loose that its pieces are less
+    work, they are compared piece by piece.
     """
-    sizes = members.groupBy("piece").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = sizes.join(members, "piece").agg(F.sum("blocks")).first()[0]
+    lowest = members.groupBy("piece").agg(F.min("set_id").alias("a"))
+    stars = members.join(lowest, "piece").where(F.col("a") != F.col("set_id"))
+    clusters = components(stars.select("a", F.col("set_id").alias("b")).distinct())
+    clusters = stored(clusters.withColumnRenamed("component", "cluster"))
+    placed = stored(members.join(clusters, F.col("set_id") == F.col("node")).drop("node"))
+
+    def squares(*keys: str) -> DataFrame:
+        return placed.groupBy(*keys).agg(F.pow(F.count_distinct("set_id"), F.lit(2)).alias("pairs"))
+
+    by_piece = squares("cluster", "piece").groupBy("cluster").agg(F.sum("pairs").alias("by_piece"))
+    chosen = squares("cluster").join(by_piece, "cluster")
+    chosen = chosen.select("cluster", (F.col("pairs") <= F.col("by_piece")).alias("whole"))
+    together = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(
+        F.xxhash64(F.lit("piece"), "piece")
+    )
+    marked = placed.join(small(stored(chosen)), "cluster")
+    return marked.select(together.alias("together"), "set_id", "component").distinct()
+
+
+def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between sets of different components that are compared together.
+
+    ``members`` is :func:`_together`'s result, stored. Its groups are dealt to blocks of
+    about ``BLOCK`` sets; a unit holds two blocks of a group, compares their sketches and
+    verifies what these allow on the sets themselves. It yields only links that join
+    components which it has not yet seen joined, so there are fewer links than sets
+    in a unit, whatever the number of similar pairs. Units are gathered to groups of
+    about ``GROUP`` rows. The sets are read from files where the shared folder is
+    mounted; elsewhere they travel with their sketches.
+    """
+    sizes = members.groupBy("together").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = sizes.join(members, "together").agg(F.sum("blocks")).first()[0]
     groups = max(1, -(-(rows or 0) // GROUP))
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    thin = sets.select("set_id", F.size("members").alias("size"), "sketch")
+    needed = stored(sets.join(members.select("set_id").distinct(), "set_id", "left_semi"))
+    store = write_sets(needed) if is_mounted(sets.sparkSession) else None
+    thin = needed.select(
+        "set_id",
+        F.size("members").alias("size"),
+        "sketch",
+        (F.lit(None).cast("array<bigint>") if store else F.col("members")).alias("members"),
+    )
     low, high = F.least("block", "other"), F.greatest("block", "other")
     # The sketches come last, so that only the last shuffle carries them.
     dealt = (
-        members.join(sizes, "piece")
+        members.join(sizes, "together")
         .withColumn("block", block)
         .withColumn("other", other)
-        .withColumn("unit", F.xxhash64("piece", low, high))
+        .withColumn("unit", F.xxhash64("together", low, high))
         .join(thin, "set_id")
         .select(
             F.pmod("unit", F.lit(groups)).alias("group"),
@@ -351,6 +389,7 @@ def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> Da
             "component",
             "size",
             "sketch",
+            "members",
         )
     )
 
@@ -360,30 +399,44 @@ def _candidates_between(members: DataFrame, sets: DataFrame, percent: int) -> Da
             for c in ("unit", "left", "right", "set_id", "component", "size")
         )
         bits = table.column("sketch").to_pylist()
+
+        def of(i: int) -> np.ndarray:
+            if store:
+                return store[int(name[i])]
+            return table.column("members")[int(i)].values.to_numpy().view(np.uint64)
+
         order = np.argsort(unit, kind="stable")
         cuts = np.flatnonzero(np.diff(unit[order])) + 1
-        found = [np.empty((0, 2), np.int64)]
+        found = []
         for part in np.split(order, cuts):
             if len(part) < 2 or (component[part] == component[part[0]]).all():
                 continue
-            rows = folded([bits[i] for i in part])
-            names, parts, sizes = name[part], component[part], size[part]
+            rows, sizes = folded([bits[i] for i in part]), size[part]
+            _, joined = np.unique(component[part], return_inverse=True)
             to = np.flatnonzero(right[part])
             for x in np.flatnonzero(left[part]):
                 most = _allowed(sizes[to], sizes[x], percent)
-                apart = parts[to] != parts[x]
-                apart &= np.abs(sizes[to] - sizes[x]) <= most
-                y, most = to[apart], most[apart]
-                near = np.bitwise_count(rows[y] ^ rows[x]).sum(1) <= most
-                y = y[near]
-                a, b = np.minimum(names[x], names[y]), np.maximum(names[x], names[y])
-                found.append(np.stack([a, b], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
+                near = (joined[to] != joined[x]) & (np.abs(sizes[to] - sizes[x]) <= most)
+                y, most = to[near], most[near]
+                y = y[np.bitwise_count(rows[y] ^ rows[x]).sum(1) <= most]
+                own = of(part[x]) if len(y) else None
+                for i in y.tolist():
+                    if joined[i] != joined[x] and _similar(own, of(part[i]), percent):
+                        found.append(sorted((int(name[part[x]]), int(name[part[i]]))))
+                        joined[joined == joined[i]] = joined[x]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     return dealt.groupBy("group").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two ascending arrays are similar enough."""
+    at = np.searchsorted(x, y)
+    both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def jaccard_components(
     documents: DataFrame,
     key: str = "doc_id",
@@ -438,8 +491,8 @@ def _grouped(documents: DataFrame, key: str, text: str, n: int, percent: int) ->
         )
         open_pieces = open_pieces.where("low <> high").select("piece")
         left = stored(placed.join(open_pieces, "piece", "left_semi"))
-        more = stored(_verified(_candidates_between(left, sets, percent), sets, percent))
-        if not more.isEmpty():
+        if not left.isEmpty():
+            more = stored(_links_between(stored(_together(left)), sets, percent))
             merged = stored(components(links.unionByName(more)))
 
     if merged is not None:

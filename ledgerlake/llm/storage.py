@@ -31,17 +31,26 @@ def stored(df: DataFrame) -> DataFrame:
 def mounted_folder(spark: SparkSession) -> str:
     """A new shared folder as a plain path, for arrays that workers map to memory."""
     folder = shared_folder(spark)
-    scheme, colon, rest = folder.partition(":")
-    if not colon or "/" in scheme:
-        path = folder
-    elif scheme == "file":
-        path = "/" + rest.lstrip("/")
-    else:
+    path = plain_path(folder)
+    if path is None:
         raise ValueError(f"arrays can be mapped only in a mounted folder, not in {folder}")
     os.makedirs(path, exist_ok=True)
     return path
 
 
+def plain_path(folder: str) -> str | None:
+    """A folder's path on this machine; None if it is on another file system."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        return folder
+    return "/" + rest.lstrip("/") if scheme == "file" else None
+
+
+def is_mounted(spark: SparkSession) -> bool:
+    """Whether workers can map arrays in the shared folder to memory."""
+    return plain_path(shared_folder(spark)) is not None
+
+
 def save_array(folder: str, name: str, array: np.ndarray) -> None:
     """Write an array so that a repeated or concurrent attempt leaves a whole file."""
     path = f"{folder}/{name}.npy"

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import jaccard_join
 from ledgerlake.llm.components import components
 from ledgerlake.llm.jaccard_join import (
     _once,
@@ -16,6 +17,7 @@ from ledgerlake.llm.jaccard_join import (
     pieces,
     sketch,
 )
+from ledgerlake.llm.set_store import write_sets
 from ledgerlake.llm.storage import stored
 from ledgerlake.llm.text import mix
 
@@ -162,3 +164,44 @@ def test_components(spark):
     path = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (200, 150), (150, 199)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(path, "a bigint, b bigint")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 150: 150, 199: 150, 200: 150}
+
+
+def near_group(n, links):
+    """``n`` texts that share a passage, most pairs a little under 80 %; some are linked."""
+    base = prose(300, 77).split()
+    rows = []
+    for i in range(n):
+        own = [f"w{i}x{k}" for k in range(40)]
+        rows.append((i, " ".join(base + own), "en", "a", 0))
+    for i in range(links):  # a copy of a part of the group with fewer words changed
+        text = rows[i][1].split()
+        rows.append((n + i, " ".join([*text[:-8], *(f"v{i}y{k}" for k in range(8))]), "en", "a", 0))
+    return rows
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_near_group_yields_spanning_links_only(spark, monkeypatch, mounted):
+    rows = near_group(160, 25)
+    monkeypatch.setattr(jaccard_join, "is_mounted", lambda spark: mounted)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 40)
+    made = []
+    between = jaccard_join._links_between
+
+    def counted(members, sets, percent):
+        links = stored(between(members, sets, percent))
+        made.append((links.count(), members.count()))
+        return links
+
+    monkeypatch.setattr(jaccard_join, "_links_between", counted)
+    table = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = {(r["doc_id"], r["component"]) for r in jaccard_components(table, n=5, percent=80).collect()}
+    want = {(k, c) for k, _, c in brute([r[:2] for r in rows], 5, 80)}
+    assert got == want and 100 < len({c for _, c in want}) < 185
+    assert all(links < rows for links, rows in made)
+
+
+def test_set_store(spark):
+    rows = [(i - 50, sorted(int(x) for x in np.random.default_rng(i).integers(1, 9**9, i % 7))) for i in range(100)]
+    store = write_sets(spark.createDataFrame(rows, "set_id bigint, members array<bigint>"), shard_members=20)
+    assert store.shards > 5
+    assert all(store[name].tolist() == members for name, members in rows)
