@@ -49,9 +49,10 @@ def site_quality(
     quality. A host's rate is the mean evidence of its documents, shrunk toward
     the global mean; a path's rate that of its documents, shrunk toward its
     host's rate; both shrink the more the fewer documents there are, with prior
-    strengths estimated from how much the rates spread. ``quality`` replaces the
-    global prior in the document's odds by its path's rate, to which the document
-    itself does not contribute. ``kept`` needs at least ``min_probability``.
+    strengths estimated from how much the rates spread. The rates and the mean
+    that a document is judged by are those of all other documents, so its own
+    evidence counts once. ``quality`` replaces the mean in the document's odds by its
+    path's rate. ``kept`` needs at least ``min_probability``.
 
     Without a model all evidence is 1/2. A null or empty text has no evidence
     besides the prior of the model. Null hosts and paths are groups of their own.
@@ -73,25 +74,39 @@ def site_quality(
 
     paths = stored(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s")))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
-    total = paths.agg(F.sum("s") / F.sum("n")).first()[0] or 0.5
-    prior = F.lit(float(total))
-    strength = hosts.agg(_strength(hosts, "host_n", F.col("host_s") / F.col("host_n"), prior)).first()[0]
+    count, total = paths.agg(F.sum("n"), F.sum("s")).first()
+    mean = F.lit(float(total / count) if count else 0.5)
+    strength = hosts.agg(_strength(hosts, "host_n", F.col("host_s") / F.col("host_n"), mean)).first()[0]
     strength = F.lit(float(strength if strength is not None else WEAKEST))
-    rate = (F.col("host_s") + strength * prior) / (F.col("host_n") + strength)
-    hosts = hosts.withColumn("host_rate", rate).withColumnRenamed("host", "of_host")
 
+    def shrunk(s: Column, n: Column, toward: Column, strength: Column) -> Column:
+        return (s + strength * toward) / (n + strength)
+
+    hosts = hosts.withColumnRenamed("host", "of_host")
+    rate = shrunk(F.col("host_s"), F.col("host_n"), mean, strength)
     paths = stored(
-        paths.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).select("host", "path", "n", "s", "host_rate")
+        paths.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).select(
+            "host", "path", "n", "s", "host_n", "host_s", rate.alias("rate")
+        )
     )
-    within = paths.agg(_strength(paths, "n", F.col("s") / F.col("n"), F.col("host_rate"))).first()[0]
+    within = paths.agg(_strength(paths, "n", F.col("s") / F.col("n"), F.col("rate"))).first()[0]
     within = F.lit(float(within if within is not None else WEAKEST))
     named = paths.withColumnsRenamed({"host": "of_host", "path": "of_path"})
     judged = rows.join(
         small(named),
         F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")),
     )
-    others = F.col("s") - F.col("evidence"), F.col("n") - 1
-    path_rate = (others[0] + within * F.col("host_rate")) / (others[1] + within)
+    # Of the other documents: their mean, their host's rate, and their path's.
+    own = F.col("evidence")
+    if count and count > 1:
+        prior = (F.lit(float(total)) - own) / F.lit(float(count - 1))
+    else:
+        prior = F.lit(0.5)
+    judged = judged.withColumn("prior", F.least(F.greatest(prior, F.lit(0.001)), F.lit(0.999)))
+    prior = F.col("prior")
+    rate = shrunk(F.col("host_s") - own, F.col("host_n") - 1, prior, strength)
+    judged = judged.withColumn("host_rate", rate)
+    path_rate = shrunk(F.col("s") - own, F.col("n") - 1, F.col("host_rate"), within)
     path_rate = F.least(F.greatest(path_rate, F.lit(0.001)), F.lit(0.999))
     odds = _log_odds(F.col("evidence")) - _log_odds(prior) + _log_odds(F.col("path_rate"))
     return (

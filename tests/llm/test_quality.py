@@ -129,10 +129,13 @@ def test_site_rates_against_plain_python(spark):
     rate = {h: (sum(v) + k * prior) / (len(v) + k) for h, v in hosts.items()}
     j = strength([(len(v), sum(v) / len(v), rate[h]) for (h, _), v in paths.items()], prior)
     for r in rows:
-        own = paths[r["host"], r["path"]]
-        p = (sum(own) - r["evidence"] + j * rate[r["host"]]) / (len(own) - 1 + j)
-        odds = math.log(r["evidence"] / (1 - r["evidence"])) - math.log(prior / (1 - prior)) + math.log(p / (1 - p))
-        assert r["host_rate"] == pytest.approx(rate[r["host"]], rel=1e-6)
+        # The document is left out at every level.
+        e, host, own = r["evidence"], hosts[r["host"]], paths[r["host"], r["path"]]
+        others = (sum(x["evidence"] for x in rows) - e) / (len(rows) - 1)
+        of_host = (sum(host) - e + k * others) / (len(host) - 1 + k)
+        p = (sum(own) - e + j * of_host) / (len(own) - 1 + j)
+        odds = math.log(e / (1 - e)) - math.log(others / (1 - others)) + math.log(p / (1 - p))
+        assert r["host_rate"] == pytest.approx(of_host, rel=1e-6)
         assert r["path_rate"] == pytest.approx(p, rel=1e-6)
         assert r["quality"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
         assert r["kept"] == (r["quality"] >= 0.5)
@@ -147,22 +150,28 @@ def test_sparse_sites_shrink(spark):
     host = F.when(F.col("at") < 60, F.concat(F.lit("h"), F.col("at"))).otherwise(F.concat(F.lit("big"), F.col("at") % 2))
     path = F.when(F.col("at") < 60, F.lit("/")).when(F.col("at") < 100, F.col("at").cast("string")).otherwise(F.lit("/main"))
     rows = site_quality(table, model, host, path).collect()
-    prior = sum(r["evidence"] for r in rows) / len(rows)
+    total, n = sum(r["evidence"] for r in rows), len(rows)
     hosts, sizes = {}, Counter((r["host"], r["path"]) for r in rows)
     for r in rows:
         hosts.setdefault(r["host"], []).append(r["evidence"])
-    left = {}  # the share of a host's distance from the prior that stays
     for r in rows:
-        own = sum(hosts[r["host"]]) / len(hosts[r["host"]])
-        left[r["host"]] = (r["host_rate"] - prior) / (own - prior)
-    assert len(left) == 62 and all(0 < x < 1 for x in left.values())
-    sparse = [x for h, x in left.items() if len(hosts[h]) == 1]
-    assert len(sparse) == 60 and max(sparse) <= 0.5 and max(sparse) - min(sparse) < 1e-6
-    assert min(left["big0"], left["big1"]) > 1.5 * max(sparse)
-    # A path's only document has its host's rate as prior: it does not count itself.
-    alone = [r for r in rows if sizes[r["host"], r["path"]] == 1]
-    assert len(alone) == 100
-    assert all(abs(r["path_rate"] - min(max(r["host_rate"], 0.001), 0.999)) < 1e-9 for r in alone)
+        others = (total - r["evidence"]) / (n - 1)
+        if len(hosts[r["host"]]) == 1:
+            # Nothing is known of the site but this document, whose evidence counts once.
+            assert r["host_rate"] == pytest.approx(others) and r["path_rate"] == pytest.approx(others)
+            assert r["quality"] == pytest.approx(r["evidence"])
+        elif sizes[r["host"], r["path"]] == 1:
+            assert r["path_rate"] == pytest.approx(r["host_rate"])
+    # The share of a large host's distance from the mean that stays.
+    left = {}
+    for r in rows:
+        own = hosts[r["host"]]
+        if len(own) > 1:
+            mean = (sum(own) - r["evidence"]) / (len(own) - 1)
+            others = (total - r["evidence"]) / (n - 1)
+            left.setdefault(r["host"], []).append((r["host_rate"] - others) / (mean - others))
+    assert set(left) == {"big0", "big1"} and all(0 < x < 1 for own in left.values() for x in own)
+    assert sum(len(own) == 1 for own in hosts.values()) == 60
 
 
 def test_site_quality_empty(spark):
