@@ -6,7 +6,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,40 +67,62 @@ class Fingerprints:
         inside[order] = self.lexicon.find(hashes[order]) >= 0
         self.known.update(zip(new, np.where(inside, hashes, 0).tolist(), strict=True))
 
-    def of(self, terms: set[bytes]) -> str:
-        """The fingerprint of a text's distinct terms, all learnt before.
+    def codes(self, texts: list[set[bytes]]) -> np.ndarray:
+        """A row of ``PARTS`` numbers for the distinct terms, all learnt before, of each text.
 
         A text with words but without a term in the lexicon takes all its words,
-        so that different texts do not share an empty fingerprint.
+        so that different texts do not share an empty fingerprint. A part without a
+        term is 0.
         """
-        values = np.fromiter(map(self.known.__getitem__, terms), np.uint64, len(terms))
-        values = np.sort(values[values > 0])
-        if not len(values) and terms:
-            values = np.sort(self.cache.of(list(terms)))
-        parts = [_part(values.tobytes())]
+        codes = np.zeros((len(texts), PARTS), np.uint32)
+        values = []
+        for terms in texts:
+            own = np.fromiter(map(self.known.__getitem__, terms), np.uint64, len(terms))
+            own = own[own > 0]
+            values.append(own if len(own) or not terms else self.cache.of(list(terms)))
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in values])
+        terms = np.concatenate([*values, np.empty(0, np.uint64)])
+        codes[:, :1] = _parts(text, terms, np.array([2**64 - 1], np.uint64), len(texts))
         # Each seed orders the lexicon at random; its subsets are the first terms.
-        for row in np.sort(mix(values ^ self.seeds[:, None]), axis=1):
-            data = row.tobytes()
-            parts += [_part(data[: 8 * cut]) for cut in np.searchsorted(row, self.limits)]
-        return "".join(parts)
+        for i, seed in enumerate(self.seeds):
+            placed = mix(terms ^ seed)
+            first = placed < self.limits[0]
+            found = _parts(text[first], placed[first], self.limits, len(texts))
+            codes[:, 1 + i * len(RATES) : 1 + (i + 1) * len(RATES)] = found
+        return codes
 
 
-def _part(terms: bytes) -> str:
-    """Hash of the hashes of terms in a fixed order."""
-    if not terms:
-        return "0" * DIGITS
-    return f"{xxhash.xxh64_intdigest(terms) % (2 ** (4 * DIGITS) - 1) + 1:0{DIGITS}x}"
+def _parts(text: np.ndarray, terms: np.ndarray, limits: np.ndarray, texts: int) -> np.ndarray:
+    """A hash of each text's terms below each limit, in ascending order; 0 without a term.
 
+    A term counts with its place in the order, so that sums from the first one on are
+    hashes of all the prefixes.
+    """
+    order = np.lexsort((terms, text))
+    text, terms = text[order], terms[order]
+    start = np.searchsorted(text, np.arange(texts + 1))
+    place = np.arange(len(text)) - start[text]
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(terms ^ mix((place + 1).astype(np.uint64))))])
+    parts = np.zeros((texts, len(limits)), np.uint32)
+    for i, limit in enumerate(limits):
+        count = np.bincount(text[terms < limit], minlength=texts)
+        hashes = mix(upto[start[:-1] + count] - upto[start[:-1]])
+        hashes = hashes % np.uint64(2 ** (4 * DIGITS) - 1) + np.uint64(1)
+        parts[:, i] = np.where(count > 0, hashes, 0)
+    return parts
+
+
+def _written(codes: np.ndarray) -> list[str]:
+    """Parts in hexadecimal digits, one after the other."""
+    return [row.tobytes().hex() for row in codes.astype(">u4")]
 
-def likeness(a: str, b: str) -> float:
-    """Share of equal parts among those that have a term in either fingerprint;
-    1 for equal fingerprints."""
-    if a == b:
-        return 1.0
-    empty = "0" * DIGITS
-    pairs = [(a[i : i + DIGITS], b[i : i + DIGITS]) for i in range(0, len(a), DIGITS)]
-    filled = [x == y for x, y in pairs if x != empty or y != empty]
-    return sum(filled) / len(filled)
+
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of equal parts among those that have a term in either fingerprint, row by
+    row; 1 for equal fingerprints."""
+    filled = (a != 0) | (b != 0)
+    alike = ((a == b) & filled).sum(1) / np.maximum(filled.sum(1), 1)
+    return np.where((a == b).all(1), 1.0, alike)
 
 
 def fingerprint_texts(documents: DataFrame, lexicon: HashStore, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,7 +131,7 @@ def fingerprint_texts(documents: DataFrame, lexicon: HashStore, key: str = "doc_
     def run(batches):
         prints = Fingerprints(lexicon)
         for batch in slices(batches):
-            found = _all(prints, batch.column(1).to_pylist())
+            found = _written(_all(prints, batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.string())], names=["key", "fingerprint"]
             )
@@ -120,13 +141,13 @@ def fingerprint_texts(documents: DataFrame, lexicon: HashStore, key: str = "doc_
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def _all(prints: Fingerprints, texts: list) -> list[str]:
-    found = []
+def _all(prints: Fingerprints, texts: list) -> np.ndarray:
+    found = [np.zeros((0, PARTS), np.uint32)]
     for first in range(0, len(texts), 256):
         part = [set(words(x)) for x in texts[first : first + 256]]
         prints.learn(set().union(*part))
-        found += map(prints.of, part)
-    return found
+        found.append(prints.codes(part))
+    return np.concatenate(found)
 
 
 def edited(text: str, following: str) -> str:
@@ -215,16 +236,20 @@ def _compared(prints: Fingerprints, rows: list[tuple]) -> pa.RecordBatch:
     """Rows ``(key, text, next text)``; of a run of rows only the last next text
     is not itself a row's text, so fingerprints are shared."""
     changed = [edited(a, b) for _, a, b in rows]
-    texts = list(dict.fromkeys([x for _, a, b in rows for x in (a, b)] + changed))
-    of = dict(zip(texts, _all(prints, texts), strict=True))
+    texts = {x: i for i, x in enumerate(dict.fromkeys([x for _, a, b in rows for x in (a, b)] + changed))}
+    codes = _all(prints, list(texts))
+    own, new, following = (
+        codes[[texts[x] for x in column]]
+        for column in ([a for _, a, _ in rows], changed, [b for _, _, b in rows])
+    )
     columns = [
         [k for k, _, _ in rows],
         [len(a) for _, a, _ in rows],
         [hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed],
-        [of[a] for _, a, _ in rows],
-        [of[c] for c in changed],
-        [likeness(of[a], of[c]) for (_, a, _), c in zip(rows, changed, strict=True)],
-        [likeness(of[a], of[b]) for _, a, b in rows],
+        _written(own),
+        _written(new),
+        likeness(own, new),
+        likeness(own, following),
     ]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     return pa.RecordBatch.from_arrays(

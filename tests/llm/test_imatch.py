@@ -10,12 +10,39 @@ from ledgerlake.llm.imatch import (
     build_lexicon,
     compare_with_next,
     fingerprint_texts,
-    likeness,
+    likeness as likenesses,
 )
 
 from .data import SCHEMA, empty, odd, odd_rows, prose
 
 
+def likeness(a, b):
+    """Of two written fingerprints, part by part."""
+    digits = imatch.DIGITS
+    parts = [(a[i : i + digits], b[i : i + digits]) for i in range(0, len(a), digits)]
+    filled = [x == y for x, y in parts if {x, y} != {"0" * digits}]
+    want = sum(filled) / len(filled) if a != b else 1.0
+    rows = [np.frombuffer(bytes.fromhex(x), ">u4")[None] for x in (a, b)]
+    assert likenesses(*rows)[0] == want
+    return want
+
+
+def test_parts_are_hashes_of_prefixes():
+    """A part depends on its subset of the terms alone, and on all of it."""
+    rng = np.random.default_rng(6)
+    terms = [np.unique(rng.integers(1, 2**63, n).astype(np.uint64)) * np.uint64(2) for n in (0, 1, 5, 400, 400)]
+    terms[4] = np.append(terms[3][:-1], np.uint64(2**64 - 4))  # differs in its last term
+    text = np.repeat(np.arange(5), [len(t) for t in terms])
+    order = rng.permutation(len(text))
+    limits = np.array([2**64 - 1, 2**62, 2**50], np.uint64)
+    parts = imatch._parts(text[order], np.concatenate(terms)[order], limits, 5)
+    for t, row in zip(terms, parts):
+        assert [x > 0 for x in row] == [bool((t < limit).any()) for limit in limits]
+    assert parts[3, 0] != parts[4, 0] and parts[3, 1] == parts[4, 1] > 0
+    below = terms[3][terms[3] < limits[1]]
+    assert imatch._parts(np.zeros(len(below), int), below, limits[:1], 1)[0, 0] == parts[3, 1]
+
+
 def table(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
 
