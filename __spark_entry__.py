@@ -336,6 +336,31 @@ def metrics_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _median_checked(metrics, silver)
 
 
+def rows_of_new_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned rows per run where deliveries overlap: a part, all, and all once more."""
+    base = scratch_path(spark, "lake")
+    sources = {"part": write_transactions_csv(spark, sf_dir, 0), "all": write_transactions_csv(spark, sf_dir)}
+    sources["again"] = sources["all"]
+    for run_id, source in sources.items():
+        run_medallion(spark, source, base, run_id, once=True)
+    silver = [
+        read_run(spark, base, "silver", run_id).agg(
+            F.lit(run_id).alias("run_id"),
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum("step"), F.lit(0)).alias("sum_step"),
+        )
+        for run_id in sources
+    ]
+    return silver[0].unionByName(silver[1]).unionByName(silver[2])
+
+
+def known_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the dirty table that are not, as a whole, in the clean one."""
+    dirty = _stored(spark, dirty_transactions(spark, sf_dir))
+    known = op.digests(transactions(spark, sf_dir))
+    return op.drop_known_rows(dirty, known, dirty.count()).select("txn_id", "type", "amount")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query: metrics per transaction type."""
     return type_metrics(spark, "/root/testdata/sf0.001")
@@ -377,6 +402,8 @@ def queries() -> dict[str, Query]:
         rows_with_broken_expectations,
         routed_quarantine,
         metrics_over_runs,
+        rows_of_new_deliveries,
+        known_rows_dropped,
     )
     named = {query.__name__: query for query in registered}
     if llm_queries:
@@ -612,6 +639,15 @@ def oracle_sql() -> dict[str, str]:
              UNION ALL SELECT 'silver', count(*) FROM good""",
         "metrics_over_runs": _METRICS
         + " SELECT * EXCLUDE (median_amount_k), true AS median_within_bound FROM metrics",
+        "rows_of_new_deliveries": _SILVER
+        + """ SELECT run_id, count(txn_id) AS "rows", CAST(coalesce(sum(step), 0) AS BIGINT) AS sum_step
+              FROM (VALUES ('part', 0), ('all', 1), ('again', 2)) runs(run_id, part)
+              LEFT JOIN silver ON silver.txn_id % 2 = part GROUP BY run_id""",
+        "known_rows_dropped": _DIRTY
+        + """, new AS (SELECT * FROM dirty EXCEPT SELECT * FROM txn)
+             SELECT txn_id, type, amount FROM dirty d WHERE EXISTS (
+               SELECT 1 FROM new n WHERE n.txn_id = d.txn_id AND n.type IS NOT DISTINCT FROM d.type
+                 AND n.amount IS NOT DISTINCT FROM d.amount)""",
         "malformed_lines": _BROKEN
         + """ SELECT count(*) FILTER (WHERE txn_id % 101 = 0) AS counted_lines,
                      count(*) FILTER (WHERE txn_id % 101 = 0) AS stored_lines FROM broken""",

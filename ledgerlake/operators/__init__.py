@@ -22,6 +22,7 @@ from .gate import (
     invalid_type_report,
     split_valid,
 )
+from .history import digests, drop_known_rows, row_digest
 from .median import median_by_key
 from .metrics import (
     merge_states,
@@ -47,8 +48,10 @@ __all__ = [
     "broken_counts",
     "broken_expectations",
     "clean",
+    "digests",
     "distinct_types",
     "drop_duplicate_rows",
+    "drop_known_rows",
     "duplicate_report",
     "fill_missing",
     "flag_balance",
@@ -62,6 +65,7 @@ __all__ = [
     "not_null",
     "passes",
     "quarantine_counts",
+    "row_digest",
     "run_expectations",
     "share_of_total",
     "split_by_expectations",

@@ -27,6 +27,8 @@ from ..operators import (
     assert_columns,
     broken_expectations,
     clean,
+    digests,
+    drop_known_rows,
     invalid_type_report,
     metric_states,
     type_counts,
@@ -39,6 +41,7 @@ from ..sources import (
     layer_path,
     log_path,
     new_run_id,
+    published_runs,
     read_layer,
     read_transactions_csv,
     stage_layer,
@@ -271,6 +274,8 @@ def clean_layer(
     rows_per_partition: int = ROWS_PER_PARTITION,
     route: Sequence[Expectation] = (),
     staging: Staging | None = None,
+    known: DataFrame | None = None,
+    remember: str | None = None,
 ) -> LayerRun:
     """Gate, de-duplicate and fill a Parquet layer.
 
@@ -287,6 +292,9 @@ def clean_layer(
     one scan of the columns they need. They stay in the result, as they include the
     rows per broken fee rule.
 
+    Rows whose digests are among ``known`` are left out as copies of earlier ones; the
+    digests of the others go to the path ``remember`` (:func:`..operators.drop_known_rows`).
+
     ``gate`` is a suite for the cleaned rows, ``balance_type`` a type whose rows
     must all satisfy the balance arithmetic (check ``balance_unexpected``); both
     are taken while writing. If they fail, :class:`ChecksFailed` is raised and what
@@ -320,6 +328,10 @@ def clean_layer(
         elif checked.checks["invalid_types"]:
             _reject(df, ledger, rejected)
         df = df.drop(MALFORMED)
+        if known is not None:
+            df = drop_known_rows(df, known, checked.rows)
+        if remember:
+            own.write("digests", digests(df), remember, ledger=ledger)
 
         checks = _suite_checks(gate)
         if balance_type:
@@ -331,6 +343,13 @@ def clean_layer(
     return replace(written, checks={**checked.checks, **written.checks})
 
 
+def _known_digests(spark: SparkSession, base: str, run_id: str) -> DataFrame | None:
+    """Digests that published runs other than this one have kept."""
+    kept = published_runs(spark, base).where((F.col("layer") == "digests") & (F.col("run_id") != run_id))
+    folders = [r["folder"] for r in kept.select("folder").collect()]  # a path per run
+    return spark.read.parquet(*folders) if folders else None
+
+
 def _reject(df: DataFrame, ledger: Ledger, path: str | None) -> None:
     """Raise, with the complete report of types outside the domain."""
     report = invalid_type_report(df, ledger.types)
@@ -406,6 +425,7 @@ def run_medallion(
     rows_per_partition: int = ROWS_PER_PARTITION,
     route: Sequence[Expectation] = (),
     keep_states: bool = False,
+    once: bool = False,
 ) -> MedallionRun:
     """Run all three layers on the caller's session, then publish them together.
 
@@ -417,13 +437,16 @@ def run_medallion(
     ``quarantine`` sets bad types, malformed lines and rows that break an expectation
     of ``route`` aside in the layer ``quarantine`` instead of stopping the run; otherwise
     a stopped run leaves the complete report of bad types in the layer ``rejected``,
-    which is no layer of a published run. ``keep_states`` adds a layer ``states``, from
+    which is no layer of a published run. With ``once`` a row that an earlier published
+    run with ``once`` has cleaned is not cleaned again: it is a copy, though of another
+    delivery. Digests of the new rows are kept in a layer ``digests`` for later runs; a run
+    id that is repeated does not count as earlier. ``keep_states`` adds a layer ``states``, from
     which metrics over several runs are made. The gates are described at
     :func:`clean_layer` and :func:`metrics_layer`.
     """
     started = datetime.now()
     run_id = run_id or new_run_id()
-    layers = ("bronze", "silver", "gold", "quarantine", "rejected", "states")
+    layers = ("bronze", "silver", "gold", "quarantine", "rejected", "states", "digests")
     path = {layer: layer_path(base, layer, run_id) for layer in layers}
 
     with Staging(spark) as staging:
@@ -453,6 +476,8 @@ def run_medallion(
             rows_per_partition,
             route,
             staging,
+            _known_digests(spark, base, run_id) if once else None,
+            path["digests"] if once else None,
         )
         gold = metrics_layer(
             spark,

@@ -95,3 +95,54 @@ def test_write_of_no_rows(spark, tmp_path):
     assert sources.read_layer(spark, path).columns == ["type"]
     grouped = spark.range(10).where("id < 0").groupBy("id").count()
     assert sources.write_layer(grouped, path) == {"rows": 0}
+
+
+def test_failed_write_leaves_the_old_rows(spark, tmp_path):
+    """A task that fails after other tasks have written, and a writer that is killed before its commit."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    sources.write_layer(spark.range(10), path)
+    bad = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(Exception, match="lost"):
+        sources.write_layer(bad, path)
+    assert sources.read_layer(spark, path).count() == 10
+    assert len(list(tmp_path.glob("t/_attempt-*"))) == 1
+    killed = sources.stage_layer(spark.range(77), path)  # whole, but never published
+    assert sources.read_layer(spark, path).count() == 10
+    assert sources.remove_unpublished(spark, path) == 1
+    assert not list(tmp_path.glob(f"t/{killed.folder.rsplit('/', 1)[1]}"))
+    # A table may be replaced by rows read from it.
+    sources.write_layer(sources.read_layer(spark, path).where("id < 4"), path)
+    assert sorted(r.id for r in sources.read_layer(spark, path).collect()) == [0, 1, 2, 3]
+
+
+def test_catalogue(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    assert sources.published_runs(spark, base).count() == 0
+    with pytest.raises(FileNotFoundError):
+        sources.read_run(spark, base, "silver")
+    for run_id, n in (("a", 1), ("b", 2), ("a", 3)):
+        tables = [
+            sources.stage_layer(spark.range(k), sources.layer_path(base, layer, run_id), layer=layer)
+            for layer, k in (("silver", n), ("gold", 10 * n))
+        ]
+        if run_id == "b":
+            found = sources.read_run(spark, base, "gold").count()  # before the commit
+            assert found == 10
+        sources.commit(spark, sources.log_path(tables[0].target), tables, run_id)
+    rows = {(r["run_id"], r["layer"]): (r["rows"], r["newest"]) for r in sources.published_runs(spark, base).collect()}
+    assert rows == {
+        ("a", "silver"): (3, True), ("a", "gold"): (30, True), ("b", "silver"): (2, False), ("b", "gold"): (20, False)
+    }
+    assert sources.read_run(spark, base, "silver").count() == 3
+    assert sources.read_run(spark, base, "silver", "b").count() == 2
+    assert sources.read_layer(spark, sources.layer_path(base, "gold", "a")).count() == 30
+    with pytest.raises(FileNotFoundError):
+        sources.read_run(spark, base, "silver", "c")
+    with pytest.raises(FileNotFoundError):
+        sources.read_layer(spark, sources.layer_path(base, "silver", "c"))
+    with pytest.raises(Exception, match="(?i)schema"):  # nothing is found past the catalogue
+        spark.read.parquet(f"{base}/silver").count()
