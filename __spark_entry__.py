@@ -361,6 +361,31 @@ def known_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.drop_known_rows(dirty, known, dirty.count()).select("txn_id", "type", "amount")
 
 
+def unexpected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unexpected values of the dirty table that more than five rows have."""
+    report = op.run_expectations(dirty_transactions(spark, sf_dir), examples=20)
+    values = report.select("expectation", "column", "unexpected", F.inline("examples"))
+    return values.where("rows > 5")
+
+
+def csv_by_header_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, one of them with its columns reversed and another one in between."""
+    first, second = (scratch_path(spark, "csv") for _ in range(2))
+    columns = TRANSACTION_SCHEMA.fieldNames()
+    rows = transactions(spark, sf_dir)
+    parts = [rows.where(F.col("txn_id") % 2 == part).select(*columns) for part in (0, 1)]
+    parts[0].write.option("header", True).csv(first)
+    turned = parts[1].select(*columns[:4:-1], F.lit("x").alias("branch"), *columns[4::-1])
+    turned.write.option("header", True).csv(second)
+    found = read_transactions_csv(spark, [first, second], by_name=True)
+    return found.groupBy("type").agg(
+        F.count("*").alias("rows"),
+        *(F.count(c).alias(f"present_{c}") for c in columns if c != "type"),
+        F.sum("step").alias("sum_step"),
+        F.round(F.sum("amount"), 2).alias("sum_amount"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query: metrics per transaction type."""
     return type_metrics(spark, "/root/testdata/sf0.001")
@@ -404,6 +429,8 @@ def queries() -> dict[str, Query]:
         metrics_over_runs,
         rows_of_new_deliveries,
         known_rows_dropped,
+        unexpected_values,
+        csv_by_header_name,
     )
     named = {query.__name__: query for query in registered}
     if llm_queries:
@@ -532,6 +559,7 @@ def oracle_sql() -> dict[str, str]:
         "step type amount nameOrig oldbalanceOrg newbalanceOrig nameDest "
         "oldbalanceDest newbalanceDest isFraud isFlaggedFraud"
     ).split()
+    present = ", ".join(f'count({c}) AS "present_{c}"' for c in contract if c != "type")
     null_counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in contract)
     llm = llm_queries.oracle_sql() if llm_queries else {}
     if llm_queries and corpus_pipeline.ORACLE_SQL:
@@ -639,6 +667,18 @@ def oracle_sql() -> dict[str, str]:
              UNION ALL SELECT 'silver', count(*) FROM good""",
         "metrics_over_runs": _METRICS
         + " SELECT * EXCLUDE (median_amount_k), true AS median_within_bound FROM metrics",
+        "csv_by_header_name": _TXN
+        + f""" SELECT type, count(*) AS "rows", {present}, CAST(sum(step) AS BIGINT) AS sum_step,
+                      round(sum(amount), 2) AS sum_amount FROM txn GROUP BY type""",
+        "unexpected_values": _DIRTY
+        + f""", bad AS (
+               SELECT 'in_set' AS expectation, 'type' AS "column", type AS value FROM dirty
+               WHERE type NOT IN {_DOMAIN}
+               UNION ALL SELECT 'between', 'amount', CAST(amount AS VARCHAR) FROM dirty WHERE amount <= 0)
+             SELECT expectation, "column", sum(n) OVER (PARTITION BY expectation)::BIGINT AS unexpected,
+                    value, n AS "rows"
+             FROM (SELECT expectation, "column", value, count(*) AS n FROM bad GROUP BY ALL)
+             QUALIFY n > 5""",
         "rows_of_new_deliveries": _SILVER
         + """ SELECT run_id, count(txn_id) AS "rows", CAST(coalesce(sum(step), 0) AS BIGINT) AS sum_step
               FROM (VALUES ('part', 0), ('all', 1), ('again', 2)) runs(run_id, part)

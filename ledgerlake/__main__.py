@@ -20,6 +20,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--median", choices=("exact", "approx"), default="exact")
     parser.add_argument("--expect", action="store_true", help="fail unless the suite passes")
     parser.add_argument("--strict-header", action="store_true", help="fail on another header")
+    parser.add_argument("--by-name", action="store_true", help="bind columns by each file's header")
+    parser.add_argument("--once", action="store_true", help="leave out rows of earlier runs")
+    parser.add_argument("--keep-states", action="store_true", help="keep metrics that can be added up")
+    parser.add_argument(
+        "--route", action="store_true", help="with --quarantine, set aside rows that fail the suite"
+    )
     parser.add_argument("--quarantine", action="store_true", help="set bad rows aside, go on")
     parser.add_argument("--check-balance", metavar="TYPE", help="fail unless its balances add up")
     parser.add_argument("--check-metrics", action="store_true", help="fail on implausible metrics")
@@ -41,6 +47,10 @@ def main(argv: list[str] | None = None) -> None:
         balance_type=args.check_balance,
         metric_gate=METRIC_EXPECTATIONS if args.check_metrics else (),
         skip_unreadable=args.skip_unreadable,
+        route=TRANSACTION_EXPECTATIONS if args.route else (),
+        keep_states=args.keep_states,
+        once=args.once,
+        by_name=args.by_name,
     )
     print(json.dumps(run.summary()))
 

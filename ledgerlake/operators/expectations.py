@@ -54,6 +54,16 @@ class Expectation:
     def unexpected_count(self) -> Column:
         return F.count_if(self.violated())
 
+    def unexpected_values(self, most: int, tracked: int) -> Column:
+        """An aggregate: the most frequent unexpected values and their rows."""
+        value = F.when(self.violated(), F.col(self.column).cast("string"))
+        # All other cells are null, which the sketch counts as a value of its own.
+        found = F.call_function("approx_top_k", value, F.lit(most + 1), F.lit(tracked))
+        named = F.filter(found, lambda x: x["item"].isNotNull())
+        return F.transform(
+            F.slice(named, 1, most), lambda x: F.struct(x["item"].alias("value"), x["count"].alias("rows"))
+        ).cast("array<struct<value:string,rows:bigint>>")
+
 
 def not_null(column: str) -> Expectation:
     return Expectation("not_null", column)
@@ -119,22 +129,36 @@ METRIC_EXPECTATIONS = (
 RESULT_SCHEMA = (
     "expectation string, column string, evaluated bigint, unexpected bigint, success boolean"
 )
+EXAMPLES_SCHEMA = "array<struct<value:string,rows:bigint>>"
+
+#: Different values that a sketch of unexpected ones tracks, for each expectation.
+TRACKED = 10_000
 
 
 def run_expectations(
-    df: DataFrame, suite: Sequence[Expectation] = TRANSACTION_EXPECTATIONS
+    df: DataFrame,
+    suite: Sequence[Expectation] = TRANSACTION_EXPECTATIONS,
+    examples: int = 0,
+    tracked: int = TRACKED,
 ) -> DataFrame:
     """One row per expectation: evaluated and unexpected cells, and success.
 
     The whole suite is a single aggregate over the columns it names. An empty
-    suite gives no rows.
+    suite gives no rows. With ``examples`` there is a further column of that name: so
+    many of the most frequent unexpected values, as text, and their rows, from the
+    largest count down. They come from a sketch in the same aggregate, which is exact
+    up to about ``tracked`` different values and of a fixed size beyond; a missing
+    cell has no value, so ``not_null`` has no examples.
     """
     assert_columns(df, {e.column for e in suite})
     if not suite:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        extra = f", examples {EXAMPLES_SCHEMA}" if examples else ""
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA + extra)
+    frequent = [e.unexpected_values(examples, tracked) for e in suite] if examples else []
     counts = df.agg(
         *(e.evaluated_count().alias(f"evaluated_{i}") for i, e in enumerate(suite)),
         *(e.unexpected_count().alias(f"unexpected_{i}") for i, e in enumerate(suite)),
+        *(values.alias(f"examples_{i}") for i, values in enumerate(frequent)),
     )
     results = F.array(
         *(
@@ -144,6 +168,7 @@ def run_expectations(
                 F.col(f"evaluated_{i}").alias("evaluated"),
                 F.col(f"unexpected_{i}").alias("unexpected"),
                 (F.col(f"unexpected_{i}") == 0).alias("success"),
+                *([F.col(f"examples_{i}").alias("examples")] if examples else []),
             )
             for i, e in enumerate(suite)
         )

@@ -237,6 +237,7 @@ def ingest_layer(
     skip_unreadable: bool = False,
     route: Sequence[Expectation] = (),
     staging: Staging | None = None,
+    by_name: bool = False,
 ) -> LayerRun:
     """CSV under the ledger's schema -> Parquet. Takes the layer checks on the way.
 
@@ -251,6 +252,7 @@ def ingest_layer(
         strict_header,
         MALFORMED if keep_malformed else None,
         skip_unreadable,
+        by_name,
     )
     checks = layer_checks(suite, ledger, route)
     if keep_malformed:
@@ -426,10 +428,12 @@ def run_medallion(
     route: Sequence[Expectation] = (),
     keep_states: bool = False,
     once: bool = False,
+    by_name: bool = False,
 ) -> MedallionRun:
     """Run all three layers on the caller's session, then publish them together.
 
-    Readers find them with :func:`..sources.read_run`, or at the places
+    ``by_name`` binds columns by each file's own header. Readers find the layers with
+    :func:`..sources.read_run`, or at the places
     ``<base>/<layer>/run_id=<run_id>`` with :func:`..sources.read_layer`. Repeating a run
     id replaces what they find there. A run that fails removes what it wrote and
     publishes nothing; readers keep what they had.
@@ -461,6 +465,7 @@ def run_medallion(
             skip_unreadable,
             route,
             staging,
+            by_name,
         )
         silver = clean_layer(
             spark,

@@ -95,3 +95,26 @@ def test_metric_sanity(spark):
     bad = spark.createDataFrame([(1, 100.0, 0.5), (0, 100.5, 0.0)], schema)
     assert op.passes(good, op.METRIC_EXPECTATIONS)
     assert [r.unexpected for r in op.run_expectations(bad, op.METRIC_EXPECTATIONS).collect()] == [1, 1, 1]
+
+
+def test_examples_of_unexpected_values(spark, frame):
+    rows = [("X", -1.0, 1.0, 1.0)] * 3 + [("y", 1.0, 1.0, 1.0)] + [(None, None, 1.0, 1.0)] * 9 + [("PAYMENT", 1.0, 1.0, 1.0)] * 50
+    report = {
+        (r["column"], r["expectation"]): [tuple(x) for x in r["examples"]]
+        for r in op.run_expectations(frame(*rows), examples=2).collect()
+    }
+    assert report == {
+        ("type", "not_null"): [],
+        ("type", "in_set"): [("X", 3), ("y", 1)],
+        ("amount", "not_null"): [],
+        ("amount", "between"): [("-1.0", 3)],
+    }
+    one = op.run_expectations(frame(*rows), examples=1).collect()
+    assert [len(r["examples"]) for r in one] == [0, 1, 0, 1]
+    empty = op.run_expectations(frame(("X", 1.0, 1.0, 1.0)).limit(0), examples=3).collect()
+    assert all(r["examples"] == [] and r["success"] for r in empty)
+    assert op.run_expectations(frame(*rows), [], examples=1).columns[-1] == "examples"
+    # Far more values than are tracked: the report stays small, the counts of cells exact.
+    many = spark.range(50_000).selectExpr("concat('t', id) as type", "1.0D as amount")
+    found = op.run_expectations(many, [op.in_set("type", ["a"])], examples=5, tracked=64).first()
+    assert found["unexpected"] == 50_000 and len(found["examples"]) <= 5

@@ -146,3 +146,31 @@ def test_catalogue(spark, tmp_path):
         sources.read_layer(spark, sources.layer_path(base, "silver", "c"))
     with pytest.raises(Exception, match="(?i)schema"):  # nothing is found past the catalogue
         spark.read.parquet(f"{base}/silver").count()
+
+
+def test_columns_bind_by_each_files_header(spark, tmp_path, csv):
+    import gzip
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    names, cells = HEADER.split(","), GOOD.split(",")
+    (folder / "a.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    turned = f"{','.join(names[::-1])},branch\n{','.join(cells[::-1])},x\n"
+    with gzip.open(folder / "b.csv.gz", "wt") as file:
+        file.write(turned)
+    fewer = "﻿" + ",".join(names[:3]) + ',"Type"\n5,DEBIT,n/a,1\n6,DEBIT\n'
+    (folder / "c.csv").write_text(fewer, encoding="utf-8")
+    (folder / "d.csv").write_text("")
+    df = sources.read_transactions_csv(spark, str(folder), by_name=True, corrupt_column="raw")
+    assert df.columns == [*TRANSACTION_SCHEMA.names, "raw"]
+    assert [f.dataType for f in df.schema.fields][:-1] == [f.dataType for f in TRANSACTION_SCHEMA.fields]
+    rows = sorted((tuple(r) for r in df.collect()), key=repr)
+    whole = (4, "PAYMENT", 310.5, "C77", 1200.0, 889.5, "M31", 0.0, 0.0, 0, 0, None)
+    short = [(5, "DEBIT", None, *[None] * 8, "5,DEBIT,n/a,1"), (6, "DEBIT", None, *[None] * 8, "6,DEBIT")]
+    assert rows == sorted([whole, whole, *short], key=repr)
+    twice = csv(GOOD, header=HEADER.replace("isFraud,", "step,"), name="twice.csv")
+    with pytest.raises(ValueError, match="step more than once"):
+        sources.read_transactions_csv(spark, twice, by_name=True)
+    assert sources.read_transactions_csv(spark, str(folder / "d.csv"), by_name=True).count() == 0
+    with pytest.raises(ValueError, match="not both"):
+        sources.read_transactions_csv(spark, twice, by_name=True, strict_header=True)
