@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .small_tables import small
 from .storage import stored
 
 #: A line is boilerplate if more than this share of its site's pages have it ...
@@ -72,7 +73,7 @@ def boilerplate(
     by ``deviations`` times the square root of that number of pages. With
     ``different``, a site's pages with equal texts are one page in both counts.
     Counts are combined in the tasks that read the pages, so neither a
-    large site nor a frequent line nor a group of copies meets in one task.
+    large site nor a frequent line nor a group of copies meets in one task here.
     """
     if different:
         # Stored, since both counts read it.
@@ -117,11 +118,14 @@ def drop_boilerplate(
     pages of their own.
 
     Whether a line goes depends on site and line only, so what is joined back to
-    the texts is, per key and site, the few digests to drop.
+    the texts is, per key and site, the few digests to drop. The table of lines to
+    drop is broadcast if counting it shows that it is small.
     """
     bad = boilerplate(pages, host, text, max_ratio, min_pages, different, deviations).select(
         F.col("site").alias("bad_site"), F.col("line").alias("bad_line")
     )
+    # The lines to drop are frequent ones, each a hot key of a shuffled join.
+    bad = small(stored(bad))
     marked = _digests(pages, host, text, F.col(key).alias("page"))
     same = F.col("site").eqNullSafe(F.col("bad_site")) & (F.col("line") == F.col("bad_line"))
     drops = (

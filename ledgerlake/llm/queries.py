@@ -12,7 +12,7 @@ from .imatch import build_lexicon, compare_with_next
 from .jaccard_join import jaccard_components
 from .kd_sharding import shard_documents
 from .kneser_ney import fold, score_texts, train_bigrams
-from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
+from .line_dedup import CORPUS_DEVIATIONS, CORPUS_RATIO, MIN_PAGES, drop_boilerplate
 from .mixing import mix
 from .packing import pack_documents
 from .quality_rules import quality_rules, train_quality
@@ -91,8 +91,11 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a text are one page of their source, so they keep their lines."""
     documents = _documents(spark, sf_dir).select("doc_id", "source", "text")
-    return drop_boilerplate(documents)
+    return drop_boilerplate(
+        documents, max_ratio=CORPUS_RATIO, different=True, deviations=CORPUS_DEVIATIONS
+    )
 
 
 # The verdict of each rule.
@@ -182,15 +185,17 @@ FROM sets JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON set
 _OP10 = f"""
 WITH split AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+), pages AS (
+  SELECT DISTINCT source, text, lines FROM split
 ), found AS (
-  SELECT DISTINCT doc_id, source, line
-  FROM (SELECT doc_id, source, unnest(lines) AS line FROM split)
+  SELECT DISTINCT source, text, line
+  FROM (SELECT source, text, unnest(lines) AS line FROM pages)
   WHERE regexp_matches(line, {_WORDS})
 ), bad AS (
   SELECT source, list(line) AS bad_lines
   FROM (SELECT source, line, count(*) AS n FROM found GROUP BY source, line)
-  JOIN (SELECT source, count(*) AS total FROM documents GROUP BY source) USING (source)
-  WHERE n >= {MIN_PAGES} AND n > total * CAST({MAX_RATIO} AS DOUBLE)
+  JOIN (SELECT source, count(*) * CAST({CORPUS_RATIO} AS DOUBLE) AS most FROM pages GROUP BY source) USING (source)
+  WHERE n >= {MIN_PAGES} AND n > most + CAST({CORPUS_DEVIATIONS} AS DOUBLE) * sqrt(most)
   GROUP BY source
 ), kept AS (
   SELECT doc_id, split.source, lines,
