@@ -364,14 +364,15 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     groups = max(1, -(-(rows or 0) // GROUP))
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    needed = stored(sets.join(members.select("set_id").distinct(), "set_id", "left_semi"))
-    store = write_sets(needed) if is_mounted(sets.sparkSession) else None
-    thin = needed.select(
-        "set_id",
-        F.size("members").alias("size"),
-        "sketch",
-        (F.lit(None).cast("array<bigint>") if store else F.col("members")).alias("members"),
-    )
+    names = stored(members.select(F.col("set_id").alias("name")).distinct())
+    needed = sets.join(small(names), F.col("set_id") == F.col("name"), "left_semi")
+    needed = needed.select("set_id", F.size("members").alias("size"), "sketch", "members")
+    if is_mounted(sets.sparkSession):
+        store, needed = write_sets(needed)
+        thin = stored(needed)
+        where = ["file", "place"]
+    else:
+        store, thin, where = None, needed, ["members"]
     low, high = F.least("block", "other"), F.greatest("block", "other")
     # The sketches come last, so that only the last shuffle carries them.
     dealt = (
@@ -389,7 +390,7 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
             "component",
             "size",
             "sketch",
-            "members",
+            *where,
         )
     )
 
@@ -399,10 +400,12 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
             for c in ("unit", "left", "right", "set_id", "component", "size")
         )
         bits = table.column("sketch").to_pylist()
+        if store:
+            file, place = (table.column(c).to_numpy() for c in where)
 
         def of(i: int) -> np.ndarray:
             if store:
-                return store[int(name[i])]
+                return store.get(int(file[i]), int(place[i]))
             return table.column("members")[int(i)].values.to_numpy().view(np.uint64)
 
         order = np.argsort(unit, kind="stable")
