@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,71 +23,83 @@ from .text import slices
 CAPACITY, SEPARATOR = 2048, 0
 
 
+#: The border between a letter or digit and punctuation behind it.
+_BORDER = re.compile(rb"(?<=[0-9A-Za-z])(?=[.,!?;:])")
+# Texts on which a tokenizer is tried.
+_PROBES = (
+    "Ab cD",
+    "word. Word, WORD! 3.14; a:b? x...",
+    "it's IT'S don't, we'll.",
+    "\tA\n\nb \r\x0b\x0c c  d ",
+    "Élan, STRASSE. 12.5% (x), 日本. e\u0301.",
+    "<|endoftext|> A.",
+)
+
+
 class TokenIds(dict):
     """Token ids of a word as little-endian bytes, remembered up to ``most`` words.
 
     The tokenizer sees white space as a border that no token crosses, so a
     text's ids are those of its words in a row. Likewise for the border between
-    a letter or digit and punctuation behind it, and upper-case letters have the
-    ids of lower-case ones; so few different words are left to encode. Those of
+    a letter or digit and punctuation behind it, and ASCII upper-case letters have
+    the ids of lower-case ones; so few different words are left to encode. Those of
     letters alone are encoded many in a text, and told apart by the tokens that
-    end a word.
+    end a word. A tokenizer that does otherwise on one of a few texts is refused.
     """
 
-    PUNCTUATION = b".,!?;:"
-
     def __init__(self, path: str, most: int = 700_000):
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.ending = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ending[i] = token.endswith("</w>")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content.lower().encode() for token in added]
+        for text in _PROBES:
+            words = self.words(text.encode())
+            self.learn([words])
+            (whole,) = self._ids([text])
+            if self.of(words) != whole.tobytes():
+                raise ValueError(f"{path}: the tokenizer does not encode texts word by word")
+
+    def words(self, text: bytes) -> list[bytes]:
+        """A text's words in lower case, punctuation behind them apart."""
+        lower = text.lower()
+        if any(token in lower for token in self.special):
+            return text.split()  # only its own case makes it a special token
+        # Before a combining mark case can matter too: both compose into other letters.
+        if b"\xcc" not in text and b"\xcd" not in text:
+            text = lower
+        return _BORDER.sub(b" ", text).split()
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Encode the words of these texts that are not known yet."""
-        found = {word for words in texts for word in words if word not in self}
+        found = set().union(*texts)
         if len(self) + len(found) > self.most:
             self.clear()
-            found = {word for words in texts for word in words}
-        plain, parts, need = [], [], set()
-        for word in found:
-            core = word.rstrip(self.PUNCTUATION)
-            if core.isalpha():  # ASCII letters alone
-                tail, core = word[len(core) :], core.lower()
-            elif core[-1:].isalnum() or core.decode("utf-8", "replace").lower()[-1:].isalnum():
-                tail = word[len(core) :]
-            else:
-                tail, core = b"", word
-            need.add(core)
-            if tail:
-                need.add(tail)
-                parts.append((word, core, tail))
-            elif core != word:
-                plain.append((word, core))
-        self._encode([word for word in need if word not in self])
-        for word, core in plain:
-            self[word] = self[core]
-        for word, core, tail in parts:
-            self[word] = self[core] + self[tail]
+        self._encode([word for word in found if word not in self])
+
+    def of(self, words: list[bytes]) -> bytes:
+        """The ids of words that are known."""
+        if len(words) < 2:
+            return b"".join(self[word] for word in words)
+        return b"".join(itemgetter(*words)(self))
 
     def _encode(self, need: list[bytes]) -> None:
-        single, letters = [], []
-        for word in need:
-            text = word.decode("utf-8", "replace")
-            (letters if text.isalpha() else single).append((text, word))
+        texts = [word.decode("utf-8", "replace") for word in need]
+        letters = [i for i, text in enumerate(texts) if text.isalpha()]
+        single = [i for i, text in enumerate(texts) if not text.isalpha()]
         groups = [letters[i : i + 512] for i in range(0, len(letters), 512)]
-        texts = [" ".join(text for text, _ in group) for group in groups]
-        for group, ids in zip(groups, self._ids(texts), strict=True):
+        joined = [" ".join([texts[i] for i in group]) for group in groups]
+        for group, ids in zip(groups, self._ids(joined), strict=True):
             ends = np.flatnonzero(self.ending[ids]) + 1
             if len(ends) != len(group) or ends[-1] != len(ids):
                 single += group
                 continue
-            data, start = ids.tobytes(), 0
-            for (_, word), end in zip(group, (4 * ends).tolist(), strict=True):
-                self[word] = data[start:end]
-                start = end
-        for (_, word), ids in zip(single, self._ids([text for text, _ in single]), strict=True):
-            self[word] = ids.tobytes()
+            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.update(zip([need[i] for i in group], [data[a:b] for a, b in pairwise(cuts)], strict=True))
+        for i, ids in zip(single, self._ids([texts[i] for i in single]), strict=True):
+            self[need[i]] = ids.tobytes()
 
     def _ids(self, texts: list[str]):
         for i in range(0, len(texts), 1024):
@@ -116,11 +131,11 @@ def token_pieces(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         known = TokenIds(tokenizer)
         for batch in slices(batches):
-            texts = [(x or b"").split() for x in batch.column(1).cast(pa.binary()).to_pylist()]
+            texts = [known.words(x or b"") for x in batch.column(1).cast(pa.binary()).to_pylist()]
             known.learn(texts)
             at, columns = [], [[] for _ in names]
             for row, words in enumerate(texts):
-                data = b"".join(map(known.__getitem__, words)) + end
+                data = known.of(words) + end
                 for piece, i in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[i : i + 4 * capacity]
                     at.append(row)

@@ -82,11 +82,16 @@ def test_ids_of_words_are_those_of_the_text():
     whole, known = Tokenizer.from_file(PATH), TokenIds(PATH, most=3000)
     for _ in range(3000):
         text = "".join(rng.choices(signs, k=rng.randrange(1, 14)))
-        words = text.encode().split()
+        words = known.words(text.encode())
         known.learn([words])
-        ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4").tolist()
+        ids = np.frombuffer(known.of(words), "<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_another_kind_of_tokenizer_is_refused():
+    with pytest.raises(ValueError, match="word by word"):
+        TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_empty(spark):
     assert pack_documents(empty(spark), PATH).count() == 0
