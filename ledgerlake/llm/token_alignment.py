@@ -53,21 +53,20 @@ class ByteLevelTokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
-        self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
+        self.path, self._exact = path, None
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         byte, vocabulary = byte_of_char(), config["model"]["vocab"]
         special = {t["content"] for t in config["added_tokens"]}
         own = {t: i for t, i in vocabulary.items() if t not in special}
-        self.bytes = [b""] * self.exact.get_vocab_size()
+        ids = [*vocabulary.values(), *(t["id"] for t in config["added_tokens"])]
+        self.bytes = [b""] * (max(ids) + 1)
         for token, i in own.items():
             self.bytes[i] = bytes(byte[c] for c in token)
         self.fast = None
-        if _plain(config):
+        # Tokens are then stretches of the text's own bytes: all of it, if lengths agree.
+        self.cuts_only = _plain(config)
+        if self.cuts_only:
             import tiktoken
 
             ranks = {self.bytes[i]: i for i in own.values()}
@@ -75,6 +74,16 @@ class ByteLevelTokens:
                 "byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
             )
 
+    @property
+    def exact(self):
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
+            self._exact = Tokenizer.from_file(self.path)
+            self._exact.encode_special_tokens = True
+        return self._exact
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [self._ids(text) for text in texts]
 
@@ -101,6 +110,8 @@ def _plain(config: dict) -> bool:
 class PieceTokens:
     """A ``sentencepiece`` model. U+2581 is a space, ``<0xHH>`` a byte."""
 
+    cuts_only = False  # it may change a text first
+
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
@@ -154,8 +165,7 @@ class Aligner:
         whole = [
             i
             for i, (x, y, z) in enumerate(zip(found_a, found_b, data, strict=True))
-            if z == b"".join(map(self.a.bytes.__getitem__, x.tolist()))
-            and z == b"".join(map(self.b.bytes.__getitem__, y.tolist()))
+            if self._gives_back(0, x, z) and self._gives_back(1, y, z)
         ]
         n = len(texts)
         out = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
@@ -176,6 +186,15 @@ class Aligner:
         self._put_together(out, number, row)
         return out
 
+    def _gives_back(self, side: int, ids: np.ndarray, data: bytes) -> bool:
+        """Whether the tokens' bytes in a row are the text."""
+        if int(self.lengths[side][ids].sum()) != len(data):
+            return False
+        tokens = (self.a, self.b)[side]
+        if tokens.cuts_only:
+            return True
+        return data == b"".join(map(tokens.bytes.__getitem__, ids.tolist()))
+
     def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of every window in a row of tokens, and its last token of ``a``."""
         ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
