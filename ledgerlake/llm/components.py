@@ -14,9 +14,11 @@ def components(links: DataFrame) -> DataFrame:
     ``component`` is the smallest node reachable. Alternates large-star and
     small-star steps (Kiveris et al., "Connected Components in MapReduce and
     Beyond"): each replaces links by links to a smaller neighbour, until every
-    node links to its component's smallest. The number of links never grows, so
-    no node gathers its neighbours in a task: minima are combined in the tasks
-    that read the links, and joined back. Every step is stored.
+    node links to its component's smallest. The number of links never grows, and no
+    task holds a node's neighbours: minima are combined in the tasks that read the
+    links, and joined back. Where that join is a shuffle, the links of one large
+    star meet in one partition, which adaptive execution cuts into several. Every
+    step is stored.
     """
     edges = _clean(links.select("a", "b"))
     edges = stored(edges)

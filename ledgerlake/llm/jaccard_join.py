@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .components import components
 from .set_store import write_sets
 from .small_tables import small
-from .storage import is_mounted, stored
+from .storage import is_mounted, release, stored
 from .text import WordHashes, mix, signed, slices, windows, with_columns, words
 
 #: A band's largest size over its smallest.
@@ -349,7 +349,7 @@ def _together(members: DataFrame) -> DataFrame:
 
 
 def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between sets of different components that are compared together.
+    """Stored links ``(a, b)`` between sets of different components that are compared together.
 
     ``members`` is :func:`_together`'s result, stored. Its groups are dealt to blocks of
     about ``BLOCK`` sets; a unit holds two blocks of a group, compares their sketches and
@@ -430,7 +430,9 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return dealt.groupBy("group").applyInArrow(compare, "a bigint, b bigint").distinct()
+    links = stored(dealt.groupBy("group").applyInArrow(compare, "a bigint, b bigint").distinct())
+    release(sets.sparkSession, store, thin)
+    return links
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -495,8 +497,10 @@ def _grouped(documents: DataFrame, key: str, text: str, n: int, percent: int) ->
         open_pieces = open_pieces.where("low <> high").select("piece")
         left = stored(placed.join(open_pieces, "piece", "left_semi"))
         if not left.isEmpty():
-            more = stored(_links_between(stored(_together(left)), sets, percent))
+            more = _links_between(stored(_together(left)), sets, percent)
             merged = stored(components(links.unionByName(more)))
+        # Large, and behind all that is left to do.
+        release(documents.sparkSession, members, sets, left)
 
     if merged is not None:
         smallest = (
@@ -536,11 +540,18 @@ def near_duplicates_removed(
             F.when(once, F.col("class")).alias("of_class"),
             F.when(~once, F.struct("key", "text_id")).alias("of_row"),
         )
-        .agg(F.min("key").alias("_ll_kept_key"), F.min("text_id").alias("_ll_kept_text"))
+        .agg(
+            F.min("key").alias("_ll_kept_key"),
+            F.min("text_id").alias("_ll_kept_text"),
+            F.count("*").alias("_ll_rows"),
+        )
         .drop("of_class", "of_row")
     )
+    kept = stored(kept)
     same = F.col(key).eqNullSafe(F.col("_ll_kept_key")) & (F.xxhash64(text) == F.col("_ll_kept_text"))
-    rows = documents.join(kept, same)
+    rows = documents.join(kept.drop("_ll_rows"), same)
+    if kept.where("_ll_once and _ll_rows > 1").isEmpty():
+        return rows.select(*documents.columns)  # no key repeats, so texts are shuffled once
     # Maps can't be hashed.
     others = [c for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
     order = Window.partitionBy("_ll_kept_key", "_ll_kept_text").orderBy(F.xxhash64(*others))

@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources import scratch_path
+from ..sources import files, scratch_path
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +25,21 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def release(spark: SparkSession, *tables) -> None:
+    """Delete stored tables, and stores with a ``folder``, that nothing will read again.
+
+    Only once every result made from them is stored itself.
+    """
+    for table in tables:
+        if hasattr(table, "stored_at"):
+            files.delete(spark, table.stored_at)
+        elif hasattr(table, "folder"):
+            files.delete(spark, f"file:{table.folder}")  # a mounted one
 
 
 def mounted_folder(spark: SparkSession) -> str:

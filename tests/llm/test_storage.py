@@ -14,6 +14,20 @@ def test_stored_tables_and_arrays(spark):
         assert storage.map_array(folder, "a").tolist() == array.tolist()
 
 
+def test_release(spark):
+    import os
+
+    from ledgerlake.llm.set_store import write_sets
+
+    table = storage.stored(spark.createDataFrame([(1, [2, 3])], "set_id bigint, members array<bigint>"))
+    store, placed = write_sets(table)
+    placed = storage.stored(placed)
+    paths = [storage.plain_path(table.stored_at), store.folder, storage.plain_path(placed.stored_at)]
+    assert all(map(os.path.exists, paths))
+    storage.release(spark, store, table, None)
+    assert list(map(os.path.exists, paths)) == [False, False, True]
+
+
 @pytest.mark.parametrize("folder", ["hdfs://host/x", "viewfs:/x", "s3a://bucket/x"])
 def test_arrays_need_a_mounted_folder(spark, monkeypatch, folder):
     monkeypatch.setattr(storage, "shared_folder", lambda _: folder)
