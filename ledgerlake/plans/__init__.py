@@ -1,5 +1,6 @@
 """Plans that chain sources, operators and sinks."""
 
+from .arrivals import run_arrivals
 from .medallion import (
     MALFORMED,
     REASONS,
@@ -32,6 +33,7 @@ __all__ = [
     "metrics_over_runs",
     "quarantine_reasons",
     "rows_by_type",
+    "run_arrivals",
     "run_medallion",
     "shuffle_partitions",
     "sized_session",

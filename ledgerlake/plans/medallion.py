@@ -228,7 +228,7 @@ def _passed(layer: str, checks: Mapping[str, int], names: Sequence[str]) -> None
 
 def ingest_layer(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     target: str,
     suite: Sequence[Expectation] = (),
     strict_header: bool = False,
@@ -241,19 +241,25 @@ def ingest_layer(
 ) -> LayerRun:
     """CSV under the ledger's schema -> Parquet. Takes the layer checks on the way.
 
+    ``source`` may be a table of that schema instead, with a column :data:`MALFORMED` if
+    ``keep_malformed``; the options of the scan are then its own affair.
+
     ``keep_malformed`` stores the raw text of malformed lines in a further
     column, :data:`MALFORMED`, and counts them (check ``malformed_lines``). The layer
     is published when it is stored, or with the others of ``staging``.
     """
-    df = read_transactions_csv(
-        spark,
-        source,
-        ledger.schema,
-        strict_header,
-        MALFORMED if keep_malformed else None,
-        skip_unreadable,
-        by_name,
-    )
+    if isinstance(source, DataFrame):
+        df = assert_columns(source, [*ledger.schema.names, *([MALFORMED] if keep_malformed else [])])
+    else:
+        df = read_transactions_csv(
+            spark,
+            source,
+            ledger.schema,
+            strict_header,
+            MALFORMED if keep_malformed else None,
+            skip_unreadable,
+            by_name,
+        )
     checks = layer_checks(suite, ledger, route)
     if keep_malformed:
         checks["malformed_lines"] = F.count(MALFORMED)
@@ -412,7 +418,7 @@ def states_layer(
 
 def run_medallion(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     base: str,
     run_id: str | None = None,
     median: str = "exact",
