@@ -37,6 +37,8 @@ SPARE = 0.25
 #: Entries a task holds before it deals them out; sets of a piece compared at a
 #: time; rows in a group of such comparisons.
 FLUSH, BLOCK, GROUP = 500_000, 512, 20_000
+#: Blocks from which on they grow, and the sets that one then holds at most, about.
+FEW_BLOCKS, LARGEST_BLOCK = 8, 16_384
 
 
 def shingles(text: str | None, n: int, cache: WordHashes) -> np.ndarray:
@@ -352,14 +354,17 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     """Stored links ``(a, b)`` between sets of different components that are compared together.
 
     ``members`` is :func:`_together`'s result, stored. Its groups are dealt to blocks of
-    about ``BLOCK`` sets; a unit holds two blocks of a group, compares their sketches and
-    verifies what these allow on the sets themselves. It yields only links that join
+    ``BLOCK`` sets or, if these were more than ``FEW_BLOCKS``, of up to ``LARGEST_BLOCK``,
+    since a set's sketch goes to every other block; a unit holds two blocks of a group,
+    compares their sketches and verifies what these allow on the sets themselves. It yields only links that join
     components which it has not yet seen joined, so there are fewer links than sets
     in a unit, whatever the number of similar pairs. Units are gathered to groups of
     about ``GROUP`` rows. The sets are read from files where the shared folder is
     mounted; elsewhere they travel with their sketches.
     """
-    sizes = members.groupBy("together").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    count = F.count("*")
+    blocks = F.least(F.ceil(count / BLOCK), FEW_BLOCKS + F.floor(count / LARGEST_BLOCK))
+    sizes = members.groupBy("together").agg(blocks.cast("int").alias("blocks"))
     rows = sizes.join(members, "together").agg(F.sum("blocks")).first()[0]
     groups = max(1, -(-(rows or 0) // GROUP))
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")

@@ -179,9 +179,10 @@ def near_group(n, links):
     return rows
 
 
-@pytest.mark.parametrize("mounted", [True, False])
-def test_near_group_yields_spanning_links_only(spark, monkeypatch, mounted):
+@pytest.mark.parametrize("mounted,few", [(True, 8), (False, 2)])
+def test_near_group_yields_spanning_links_only(spark, monkeypatch, mounted, few):
     rows = near_group(160, 25)
+    monkeypatch.setattr(jaccard_join, "FEW_BLOCKS", few)
     monkeypatch.setattr(jaccard_join, "is_mounted", lambda spark: mounted)
     monkeypatch.setattr(jaccard_join, "BLOCK", 40)
     made = []
