@@ -245,11 +245,11 @@ def _first_that_fit(units: DataFrame, few: int) -> DataFrame:
     """The units of each source that fit into its room, in the order of their hash.
 
     It ends ``RESERVE`` mean lengths before the room is full, so that :func:`_fill` has a
-    choice. The place is found by halves of the
-    hash's range, 12 bits at a time: sums of 4096 parts tell which parts fit as a
-    whole and which one is cut, until at most ``few`` units of a source are in the cut
-    part; these are summed up one by one and come out as ``single``. So no task gets more
-    of a source, however large a block is; units of one hash are one part and are not cut.
+    choice. The place is found in the hash's range, 12 bits at a time: sums of 4096
+    parts tell which parts fit as a whole and which one is cut, until at most ``few``
+    units of a source are in the cut part; these are summed up one by one and come out
+    as ``single``. So no task gets more of a source, however large a block is; units of
+    one hash are one part and are not cut.
     """
     fitting, names = [], ["source", "key", "size", "order", "words"]
     # Flipping the sign bit puts signed hashes into the order of their bits.
