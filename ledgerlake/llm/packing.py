@@ -11,10 +11,11 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from .small_tables import gapless_rank
 from .storage import stored
@@ -23,8 +24,11 @@ from .text import slices
 CAPACITY, SEPARATOR = 2048, 0
 
 
-#: The border between a letter or digit and punctuation behind it.
-_BORDER = re.compile(rb"(?<=[0-9A-Za-z])(?=[.,!?;:])")
+#: The border between a letter or digit, of ASCII or Latin-1, and an ASCII sign behind it
+#: other than an apostrophe. What is rarer is looked for first.
+_BORDER = re.compile(
+    rb"(?=[!-&(-/:-@[-`{-~])(?:(?<=[0-9A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))"
+)
 # Texts on which a tokenizer is tried.
 _PROBES = (
     "Ab cD",
@@ -32,6 +36,7 @@ _PROBES = (
     "it's IT'S don't, we'll.",
     "\tA\n\nb \r\x0b\x0c c  d ",
     "Élan, STRASSE. 12.5% (x), 日本. e\u0301.",
+    "thé$$$ a### x=y é=\u0338 a<\u0338b c`d_e ×. ÷. @f",
     "<|endoftext|> A.",
 )
 
@@ -44,12 +49,16 @@ class TokenIds(dict):
     a letter or digit and punctuation behind it, and ASCII upper-case letters have
     the ids of lower-case ones; so few different words are left to encode. Those of
     letters alone are encoded many in a text, and told apart by the tokens that
-    end a word. A tokenizer that does otherwise on one of a few texts is refused.
+    end a word; those of a to z alone by the tokenizer's model as they are, as there is
+    nothing to normalize in them. A tokenizer that does otherwise on one of a few
+    texts is refused.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.plain = Tokenizer(self.tokenizer.model)  # the same one, not a copy
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ending = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ending[i] = token.endswith("</w>")
@@ -62,23 +71,51 @@ class TokenIds(dict):
             if self.of(words) != whole.tobytes():
                 raise ValueError(f"{path}: the tokenizer does not encode texts word by word")
 
-    def words(self, text: bytes) -> list[bytes]:
-        """A text's words in lower case, punctuation behind them apart."""
+    def apart(self, text: bytes) -> bytes:
+        """A text in lower case, with a space between words and punctuation behind them."""
         lower = text.lower()
         if any(token in lower for token in self.special):
-            return text.split()  # only its own case makes it a special token
+            return text  # only its own case makes it a special token
         # Before a combining mark case can matter too: both compose into other letters.
         if b"\xcc" not in text and b"\xcd" not in text:
             text = lower
-        return _BORDER.sub(b" ", text).split()
+        return _BORDER.sub(b" ", text)
+
+    def words(self, text: bytes) -> list[bytes]:
+        """A text's words in lower case, punctuation behind them apart."""
+        return self.apart(text).split()
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Encode the words of these texts that are not known yet."""
-        found = set().union(*texts)
+        self._learn(set().union(*texts))
+
+    def _learn(self, found) -> None:
         if len(self) + len(found) > self.most:
             self.clear()
         self._encode([word for word in found if word not in self])
 
+    def of_texts(self, texts: list[bytes | None], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end`` after each, and where each text begins;
+        the last border is the end. Every different word is looked up once."""
+        rows = pa.array([self.apart(x or b"") for x in texts], pa.large_binary())
+        # The view takes bytes that are no UTF-8 as they are; only ASCII matters here.
+        split = pc.ascii_split_whitespace(rows.view(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        different = coded.dictionary.view(pa.large_binary()).to_pylist()
+        self._learn(different)
+        found = [self[word] for word in different]
+        found.append(end)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(sizes) - sizes
+        last = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
+        words = np.insert(coded.indices.to_numpy(), last, len(different))
+        number = sizes[words]
+        behind = np.cumsum(number)
+        place = np.repeat(first[words] - behind + number, number)
+        place += np.arange(len(place))
+        ids = np.frombuffer(b"".join(found), "<u4")[place]
+        return ids, np.concatenate([[0], behind[last + np.arange(len(last))]])
+
     def of(self, words: list[bytes]) -> bytes:
         """The ids of words that are known."""
         if len(words) < 2:
@@ -86,24 +123,35 @@ class TokenIds(dict):
         return b"".join(itemgetter(*words)(self))
 
     def _encode(self, need: list[bytes]) -> None:
-        texts = [word.decode("utf-8", "replace") for word in need]
-        letters = [i for i, text in enumerate(texts) if text.isalpha()]
-        single = [i for i, text in enumerate(texts) if not text.isalpha()]
-        groups = [letters[i : i + 512] for i in range(0, len(letters), 512)]
-        joined = [" ".join([texts[i] for i in group]) for group in groups]
-        for group, ids in zip(groups, self._ids(joined), strict=True):
+        plain, other, single = [], [], []
+        for word in need:
+            if word.isalpha() and word.islower():  # in bytes, a to z alone
+                plain.append(word)
+            else:
+                (other if word.decode("utf-8", "replace").isalpha() else single).append(word)
+        single += self._together(plain, self.plain)
+        single += self._together(other, self.tokenizer)
+        texts = [word.decode("utf-8", "replace") for word in single]
+        for word, ids in zip(single, self._ids(texts), strict=True):
+            self[word] = ids.tobytes()
+
+    def _together(self, need: list[bytes], by: Tokenizer) -> list[bytes]:
+        """Encode words of letters many in a text; return those that could not be told apart."""
+        groups = [need[i : i + 512] for i in range(0, len(need), 512)]
+        left = []
+        joined = [b" ".join(group).decode("utf-8", "replace") for group in groups]
+        for group, ids in zip(groups, self._ids(joined, by), strict=True):
             ends = np.flatnonzero(self.ending[ids]) + 1
             if len(ends) != len(group) or ends[-1] != len(ids):
-                single += group
+                left += group
                 continue
             data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.update(zip([need[i] for i in group], [data[a:b] for a, b in pairwise(cuts)], strict=True))
-        for i, ids in zip(single, self._ids([texts[i] for i in single]), strict=True):
-            self[need[i]] = ids.tobytes()
+            self.update(zip(group, [data[a:b] for a, b in pairwise(cuts)], strict=True))
+        return left
 
-    def _ids(self, texts: list[str]):
-        for i in range(0, len(texts), 1024):
-            for e in self.tokenizer.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False):
+    def _ids(self, texts: list[str], by: Tokenizer | None = None):
+        for i in range(0, len(texts), 128):
+            for e in (by or self.tokenizer).encode_batch_fast(texts[i : i + 128], add_special_tokens=False):
                 yield np.array(e.ids, "<u4")
 
 
@@ -131,17 +179,15 @@ def token_pieces(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         known = TokenIds(tokenizer)
         for batch in slices(batches):
-            texts = [known.words(x or b"") for x in batch.column(1).cast(pa.binary()).to_pylist()]
-            known.learn(texts)
+            all_ids, borders = known.of_texts(batch.column(1).cast(pa.binary()).to_pylist(), end)
             at, columns = [], [[] for _ in names]
-            for row, words in enumerate(texts):
-                data = known.of(words) + end
-                for piece, i in enumerate(range(0, len(data), 4 * capacity)):
-                    own = data[i : i + 4 * capacity]
+            for row, (first, last) in enumerate(pairwise(borders.tolist())):
+                for piece, i in enumerate(range(first, last, capacity)):
+                    own = all_ids[i : min(i + capacity, last)]
                     at.append(row)
-                    values = [piece, i // 4, len(own) // 4, zlib.crc32(own)]
+                    values = [piece, i - first, len(own), zlib.crc32(own)]
                     if ids:
-                        values.append(np.frombuffer(own, "<u4").astype(np.int32))
+                        values.append(own.astype(np.int32))
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
             keys = batch.column(0).take(pa.array(at, pa.int32()))

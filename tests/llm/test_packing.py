@@ -88,6 +88,28 @@ def test_ids_of_words_are_those_of_the_text():
         assert ids == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_many_texts():
+    rng = random.Random(2)
+    signs = ["a", "Ab", "z", "thé", "É", "ß", "×", "÷", "日", "1", "$$$", "###", "=", "<", ">", "`", "_", "@", "(", "-", ".", "'", "'s"]
+    signs += ["\u0338", "\u0301", "\x1c", "\x85", "\u2003", "<|endoftext|>", "<|EndOfText|>", " ", "  ", "\n", "\t"]
+    texts = [None, "", " ", *("".join(rng.choices(signs, k=rng.randrange(1, 14))) for _ in range(3000)), ""]
+    whole, known = Tokenizer.from_file(PATH), TokenIds(PATH, most=3000)
+    for i in range(0, len(texts), 500):
+        own = texts[i : i + 500]
+        ids, borders = known.of_texts([x and x.encode() for x in own], b"\0\0\0\0")
+        assert len(borders) == len(own) + 1 and borders[-1] == len(ids)
+        for text, first, last in zip(own, borders, borders[1:], strict=False):
+            expected = whole.encode(text or "", add_special_tokens=False).ids + [0]
+            assert ids[first:last].tolist() == expected, text
+
+
+def test_signs_behind_a_word_do_not_make_another():
+    known = TokenIds(PATH)
+    before = len(known)
+    known.of_texts(["".join(f"{x}{s} " for x in ("thé", "house") for s in ("$$$", "###", "&&&", "%%%", ".", "")).encode()], b"\0" * 4)
+    assert len(known) - before <= 2 + 5 + 1
+
+
 def test_another_kind_of_tokenizer_is_refused():
     with pytest.raises(ValueError, match="word by word"):
         TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
