@@ -22,7 +22,15 @@ from .gate import (
     invalid_type_report,
     split_valid,
 )
-from .history import digests, drop_known_rows, row_digest
+from .history import (
+    DIGEST,
+    digest_text,
+    digests,
+    drop_known_digests,
+    drop_known_rows,
+    row_digest,
+    with_digests,
+)
 from .median import median_by_key
 from .metrics import (
     merge_states,
@@ -34,6 +42,7 @@ from .metrics import (
 from .profile import NO_TYPE, OTHER_TYPE, distinct_types, ingest_profile, quarantine_counts, type_counts
 
 __all__ = [
+    "DIGEST",
     "METRIC_EXPECTATIONS",
     "NO_TYPE",
     "OTHER_TYPE",
@@ -48,9 +57,11 @@ __all__ = [
     "broken_counts",
     "broken_expectations",
     "clean",
+    "digest_text",
     "digests",
     "distinct_types",
     "drop_duplicate_rows",
+    "drop_known_digests",
     "drop_known_rows",
     "duplicate_report",
     "fill_missing",
@@ -72,4 +83,5 @@ __all__ = [
     "split_valid",
     "type_counts",
     "type_metrics",
+    "with_digests",
 ]

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 #: Bits of the filter per row of the new table, and bits it may have at most (64 MB, in
 #: buckets of 32768 bits, which are broadcast). Beyond that it is left out.
 BITS_PER_ROW, MOST_BITS = 32, 2**29
-#: Repeated rows up to which they are broadcast.
-MOST_BROADCAST = 1_000_000
+#: Known rows for each row of the new table from which the filter costs less than it saves.
+KNOWN_PER_ROW = 4
 
 DIGEST = "row_digest"
 _BUCKET = 32_768
@@ -37,6 +37,16 @@ def digests(df: DataFrame) -> DataFrame:
     return df.select(row_digest(df.dtypes).alias(DIGEST)).distinct()
 
 
+def with_digests(df: DataFrame) -> DataFrame:
+    """A column of digests, as the 32 bytes that they stand for: half of what text takes."""
+    return df.withColumn(DIGEST, F.unhex(row_digest(df.dtypes)))
+
+
+def digest_text(name: str = DIGEST) -> Column:
+    """The digests of :func:`with_digests` as :func:`digests` has them."""
+    return F.lower(F.hex(name)).alias(DIGEST)
+
+
 def _position(bits: int) -> Column:
     """Where a digest's bit lies in the filter, from 1."""
     return F.pmod(F.xxhash64(DIGEST), F.lit(bits)) + 1
@@ -56,20 +66,29 @@ def _filtered(known: DataFrame, new: DataFrame, bits: int) -> DataFrame:
     return joined.where(is_set).select(DIGEST)
 
 
-def drop_known_rows(df: DataFrame, known: DataFrame, rows: int) -> DataFrame:
-    """The rows of ``df`` whose digest is not among ``known``, one column of digests.
+def drop_known_digests(
+    marked: DataFrame, known: DataFrame, rows: int, known_rows: int | None = None
+) -> DataFrame:
+    """The rows of a table of :func:`with_digests` whose digest is not among ``known``.
 
-    ``rows`` is the number of rows of ``df``, which should be a stored table: its digests
-    are taken three times. ``known`` may be far larger. Before any of it is shuffled, a
-    bitmap of the new digests, one bit per digest, sorts out nearly all that cannot
-    match; what is left is compared exactly. Copies within ``df`` all stay or all go.
+    ``known`` has one column of digests as :func:`digests` makes it, ``rows`` and
+    ``known_rows`` are the numbers of rows, the latter None if it is not known. Each side is
+    shuffled once, by digest, and compared exactly. If ``known`` is far larger, a bitmap
+    of the new digests, one bit per digest, first sorts out nearly all that cannot match; it
+    takes the digests of ``marked`` once more, and its parts cost about as much as the rows'.
     """
-    marked = df.withColumn(DIGEST, row_digest(df.dtypes))
-    new = marked.select(DIGEST).distinct()
     bits = max(_BUCKET, 1 << (BITS_PER_ROW * max(rows, 1) - 1).bit_length())
-    if bits <= MOST_BITS:
-        known = _filtered(known, new, bits)
-    again = known.join(new, DIGEST, "left_semi").distinct().withColumnRenamed(DIGEST, "again")
-    if rows <= MOST_BROADCAST:  # no more digests repeat than there are rows
-        again = F.broadcast(again)
-    return marked.join(again, F.col(DIGEST) == F.col("again"), "left_anti").drop(DIGEST)
+    if bits <= MOST_BITS and (known_rows is None or known_rows > KNOWN_PER_ROW * rows):
+        known = _filtered(known, marked.select(digest_text()), bits)
+    again = known.select(F.unhex(DIGEST).alias("digest_again"))
+    return marked.join(again, F.col(DIGEST) == F.col("digest_again"), "left_anti")
+
+
+def drop_known_rows(
+    df: DataFrame, known: DataFrame, rows: int, known_rows: int | None = None
+) -> DataFrame:
+    """The rows of ``df`` whose digest is not among ``known``, see :func:`drop_known_digests`.
+
+    Copies within ``df`` all stay or all go.
+    """
+    return drop_known_digests(with_digests(df), known, rows, known_rows).drop(DIGEST)

@@ -45,6 +45,39 @@ def test_filter_leaves_little_of_the_known_rows(spark):
     assert 1000 <= left.count() < 1000 + 50_000 / 20
 
 
+def test_each_side_is_shuffled_once(spark):
+    """Known rows that are not far more are not filtered, which would cost as much again."""
+    new = spark.range(1000).selectExpr("id", "'new' as s")
+    known = spark.createDataFrame([("ab" * 32,)], f"{history.DIGEST} string").repartition(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for known_rows, exchanges, bitmaps in ((4000, 2, False), (4001, 3, True)):
+            left = op.drop_known_rows(new, known, 1000, known_rows)
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == exchanges
+            assert ("bitmap_construct_agg" in plan) == bitmaps
+            assert left.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_run_takes_digests_once(spark, source, tmp_path, monkeypatch):  # noqa: F811
+    """Both layers made from the new rows come from one pass, of which nothing is left."""
+    base, lines = str(tmp_path / "lake"), [GOOD, GOOD, GOOD.replace("310.5", "5.0")]
+    taken, real = [], plans.medallion.with_digests
+    monkeypatch.setattr(plans.medallion, "with_digests", lambda df: taken.append(df) or real(df))
+    plans.run_medallion(spark, source(*lines), base, "r1", once=True)
+    plans.run_medallion(spark, source(*lines, GOOD.replace("310.5", "")), base, "r2", once=True)
+    assert len(taken) == 2
+    for run_id, rows in (("r1", 2), ("r2", 1)):
+        digests = read_run(spark, base, "digests", run_id)
+        own = op.digests(read_run(spark, base, "bronze", run_id))
+        assert digests.count() == rows and digests.dtypes == own.dtypes
+        assert digests.join(own, history.DIGEST).count() == rows
+        assert len(list((tmp_path / "lake" / "digests" / f"run_id={run_id}").iterdir())) == 1
+    assert [r["amount"] for r in read_run(spark, base, "silver", "r2").collect()] == [0.0]
+
+
 def test_second_delivery_of_a_file_adds_nothing(spark, source, tmp_path):  # noqa: F811
     base, first = str(tmp_path / "lake"), source(GOOD, GOOD, GOOD.replace("310.5", "5.0"))
     run = plans.run_medallion(spark, first, base, "r1", once=True)
