@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from ledgerlake import operators as op
 from ledgerlake import plans
 from ledgerlake.sources import published_runs, read_run
@@ -49,3 +51,26 @@ def test_a_batch_that_fails_is_taken_again(spark, arrive, tmp_path):
     )
     assert amounts(spark, base) == [310.5]
     assert read_run(spark, base, "quarantine", run_id).count() == 1
+
+
+def test_the_query_derives_its_rows_once(spark, monkeypatch):
+    """Three deliveries are parts of one stored table; each row is derived once for all."""
+    derived = spark.sparkContext.accumulator(0)
+
+    def noted(step):
+        derived.add(1)
+        return step
+
+    def rows(spark, sf_dir):
+        step = F.udf(noted, "int")(F.lit(1).cast("int") + F.col("id").cast("int"))
+        kept = {"step": step, "type": F.lit("PAYMENT"), "amount": F.col("id").cast("double")}
+        for field in entry_point.TRANSACTION_SCHEMA:
+            kept.setdefault(field.name, F.lit("1").cast(field.dataType))
+        return spark.range(1, 41).select(
+            F.col("id").alias("txn_id"), *(kept[n].alias(n) for n in entry_point.TRANSACTION_SCHEMA.fieldNames())
+        )
+
+    monkeypatch.setattr(entry_point, "transactions", rows)
+    (metrics,) = [r for r in entry_point.metrics_of_arrivals(spark, "").collect() if r["transaction_count"]]
+    assert (metrics["type"], metrics["transaction_count"], metrics["median_within_bound"]) == ("PAYMENT", 40, True)
+    assert derived.value == 40
