@@ -322,38 +322,70 @@ def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(near, "a bigint, b bigint")
 
 
+def _open_pieces(others: DataFrame, merged: DataFrame) -> DataFrame:
+    """``(piece, set_id, component)`` of the pieces whose other sets are not all in one component.
+
+    ``others (piece, set_id)`` has the sets of a piece but the one that they were all
+    compared with: a piece of two sets is settled, whether they are similar or not.
+    """
+    placed = others.join(merged, F.col("set_id") == F.col("node"), "left").select(
+        "piece", "set_id", F.coalesce("component", "set_id").alias("component")
+    )
+    ends = placed.groupBy("piece").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(ends.where("low <> high").select("piece"), "piece", "left_semi")
+
+
 def _together(members: DataFrame) -> DataFrame:
     """``(together, set_id, component)``: which sets to compare with each other.
 
     ``members (piece, set_id, component)`` has the pieces that are left with several
-    components. Sets that share pieces, directly or through others, form a cluster; near
-    copies share so many pieces that comparing a cluster's sets once is far less than
-    comparing those of every piece. Where a cluster is so loose that its pieces are less
-    work, they are compared piece by piece.
+    components. Sets that share pieces, directly or through others, form a cluster; within
+    it, the sets of the pieces that have the same lowest set form a star. Near copies share
+    so many pieces that comparing a star's sets once is far less than comparing those of
+    every piece, and so for a cluster's. But the more sets there are, the looser are the
+    clusters. So a star's sets are compared together or, where it is so loose that its pieces
+    are less work, piece by piece; and a cluster's together where that is no more work
+    than its stars.
     """
     lowest = members.groupBy("piece").agg(F.min("set_id").alias("a"))
-    stars = members.join(lowest, "piece").where(F.col("a") != F.col("set_id"))
-    clusters = components(stars.select("a", F.col("set_id").alias("b")).distinct())
+    starred = stored(members.join(lowest, "piece"))
+    links = starred.where(F.col("a") != F.col("set_id")).select("a", F.col("set_id").alias("b"))
+    clusters = components(links.distinct())
     clusters = stored(clusters.withColumnRenamed("component", "cluster"))
-    placed = stored(members.join(clusters, F.col("set_id") == F.col("node")).drop("node"))
+    placed = stored(starred.join(clusters, F.col("set_id") == F.col("node")).drop("node"))
 
     def squares(*keys: str) -> DataFrame:
         return placed.groupBy(*keys).agg(F.pow(F.count_distinct("set_id"), F.lit(2)).alias("pairs"))
 
-    by_piece = squares("cluster", "piece").groupBy("cluster").agg(F.sum("pairs").alias("by_piece"))
-    chosen = squares("cluster").join(by_piece, "cluster")
-    chosen = chosen.select("cluster", (F.col("pairs") <= F.col("by_piece")).alias("whole"))
-    together = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(
-        F.xxhash64(F.lit("piece"), "piece")
+    by_piece = squares("cluster", "a", "piece").groupBy("cluster", "a").agg(F.sum("pairs").alias("by_piece"))
+    stars = squares("cluster", "a").join(by_piece, ["cluster", "a"])
+    stars = stored(
+        stars.select(
+            "cluster",
+            "a",
+            (F.col("pairs") <= F.col("by_piece")).alias("star"),
+            F.least("pairs", "by_piece").alias("least"),
+        )
+    )
+    by_star = stars.groupBy("cluster").agg(F.sum("least").alias("by_star"))
+    chosen = squares("cluster").join(by_star, "cluster")
+    chosen = chosen.select("cluster", (F.col("pairs") <= F.col("by_star")).alias("whole"))
+    together = (
+        F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster"))
+        .when(F.col("star"), F.xxhash64(F.lit("star"), "a"))
+        .otherwise(F.xxhash64(F.lit("piece"), "piece"))
     )
-    marked = placed.join(small(stored(chosen)), "cluster")
-    return marked.select(together.alias("together"), "set_id", "component").distinct()
+    marked = placed.join(stars.select("cluster", "a", "star"), ["cluster", "a"])
+    marked = marked.join(small(stored(chosen)), "cluster")
+    found = stored(marked.select(together.alias("together"), "set_id", "component").distinct())
+    release(members.sparkSession, starred, placed)
+    return found
 
 
 def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Stored links ``(a, b)`` between sets of different components that are compared together.
 
-    ``members`` is :func:`_together`'s result, stored. Its groups are dealt to blocks of
+    ``members`` is :func:`_together`'s result. Its groups are dealt to blocks of
     ``BLOCK`` sets or, if these were more than ``FEW_BLOCKS``, of up to ``LARGEST_BLOCK``,
     since a set's sketch goes to every other block; a unit holds two blocks of a group,
     compares their sketches and verifies what these allow on the sets themselves. It yields only links that join
@@ -374,7 +406,7 @@ def _links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     needed = needed.select("set_id", F.size("members").alias("size"), "sketch", "members")
     if is_mounted(sets.sparkSession):
         store, needed = write_sets(needed)
-        thin = stored(needed)
+        thin = stored(needed, texts=True)
         where = ["file", "place"]
     else:
         store, thin, where = None, needed, ["members"]
@@ -477,35 +509,30 @@ def _grouped(documents: DataFrame, key: str, text: str, n: int, percent: int) ->
     ``class`` names the group (null without words); several groups may have the
     same smallest key, if keys repeat. ``text_id`` is a hash of the text.
     """
-    rows = stored(_sized(documents, key, text, n))
+    rows = stored(_sized(documents, key, text, n), texts=True)
     classes = rows.where("set_id is not null").groupBy("set_id").agg(
         F.min("key").alias("key"), F.max("n_shingles").alias("n_shingles")
     )
     size = rows.agg(F.max("n_shingles"), F.sum("n_shingles")).first()
     merged = None
     if size[0]:
-        members = stored(_shared_pieces(documents, text, n, percent, size[0], size[1]))
+        members = stored(_shared_pieces(documents, text, n, percent, size[0], size[1]), texts=True)
+        # Every set of a piece is compared with the lowest; what is left lies between the others.
         lowest = members.groupBy("piece").agg(F.min("set_id").alias("a"))
-        stars = members.join(lowest, "piece").where(F.col("a") != F.col("set_id"))
-        stars = stars.select("a", F.col("set_id").alias("b")).distinct()
+        others = stored(members.join(lowest, "piece").where(F.col("a") != F.col("set_id")))
+        stars = others.select("a", F.col("set_id").alias("b")).distinct()
         wanted = stored(members.select("set_id").distinct().join(classes, "set_id"))
-        sets = _once(stored(_sets(documents, wanted, key, text, n)))
+        release(documents.sparkSession, members)
+        sets = _once(stored(_sets(documents, wanted, key, text, n), texts=True))
         links = stored(_verified(_sketched(stars, sets, percent), sets, percent))
         merged = stored(components(links))
 
-        placed = members.join(merged, F.col("set_id") == F.col("node"), "left").select(
-            "piece", "set_id", F.coalesce("component", "set_id").alias("component")
-        )
-        open_pieces = placed.groupBy("piece").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        open_pieces = open_pieces.where("low <> high").select("piece")
-        left = stored(placed.join(open_pieces, "piece", "left_semi"))
+        left = stored(_open_pieces(others, merged))
         if not left.isEmpty():
-            more = _links_between(stored(_together(left)), sets, percent)
+            more = _links_between(_together(left), sets, percent)
             merged = stored(components(links.unionByName(more)))
         # Large, and behind all that is left to do.
-        release(documents.sparkSession, members, sets, left)
+        release(documents.sparkSession, others, sets, left)
 
     if merged is not None:
         smallest = (

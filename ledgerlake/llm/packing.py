@@ -304,4 +304,4 @@ def pack_documents(
     empty table gives no rows. Rows that repeat, also with null keys, are pieces
     of their own. Tokens are counted once: the thin table of pieces is stored.
     """
-    return pack(stored(token_pieces(documents, tokenizer, key, text, capacity)), key, capacity)
+    return pack(stored(token_pieces(documents, tokenizer, key, text, capacity), texts=True), key, capacity)

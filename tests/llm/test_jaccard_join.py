@@ -10,6 +10,7 @@ from ledgerlake.llm.jaccard_join import (
     _once,
     _sets,
     _sized,
+    _together,
     bands,
     folded,
     jaccard_components,
@@ -201,6 +202,46 @@ def test_near_group_yields_spanning_links_only(spark, monkeypatch, mounted, few)
     assert all(links < rows for links, rows in made)
 
 
+def family_chain(n):
+    """Pieces of ``n`` families of four sets with 30 pieces in common; one more piece joins each to the next."""
+    rows = [(100 * f + p, 4 * f + k, 4 * f + k) for f in range(n) for p in range(30) for k in range(4)]
+    return rows + [(100 * f + 50, 4 * f + k, 4 * f + k) for f in range(n - 1) for k in (3, 4)]
+
+
+def test_loose_clusters_are_compared_star_by_star(spark):
+    made = {}
+    for n in (5, 60):
+        rows = family_chain(n)
+        members = spark.createDataFrame(rows, "piece bigint, set_id bigint, component bigint").repartition(3)
+        groups, asked = {}, {}
+        for r in _together(members).collect():
+            groups.setdefault(r["together"], set()).add(r["set_id"])
+        for piece, member, _ in rows:
+            asked.setdefault(piece, set()).add(member)
+        # No pair of a piece is lost, and near copies are not compared for each of their pieces.
+        assert all(any(sets <= g for g in groups.values()) for sets in asked.values())
+        made[n] = sum(map(len, groups.values()))
+    assert made[60] <= 2 * 60 * 4 and made[60] <= 15 * made[5]
+
+
+def test_settled_pieces_are_not_compared_again(spark, monkeypatch):
+    """A piece of two sets is settled, though they are unlike; one more set leaves a pair."""
+    asked = []
+    together = jaccard_join._together
+
+    def counted(members):
+        asked.append({(r["piece"], r["set_id"]) for r in members.collect()})
+        return together(members)
+
+    monkeypatch.setattr(jaccard_join, "_together", counted)
+    for n in (2, 3):
+        rows = near_group(n, 0)
+        found = jaccard_components(spark.createDataFrame(rows, SCHEMA), n=5, percent=80).collect()
+        assert len({r["component"] for r in found}) == n
+    (left,) = asked
+    assert len({s for _, s in left}) == 2 and len(left) == 2 * len({p for p, _ in left})
+
+
 def test_set_store(spark):
     rows = [(i - 50, sorted(int(x) for x in np.random.default_rng(i).integers(1, 9**9, i % 7))) for i in range(100)]
     table = spark.createDataFrame(rows, "set_id bigint, members array<bigint>").repartition(3)

@@ -14,6 +14,27 @@ def test_stored_tables_and_arrays(spark):
         assert storage.map_array(folder, "a").tolist() == array.tolist()
 
 
+@pytest.mark.parametrize("before,most", [("10000", storage.TEXT_ROWS), ("100", 100), ("0", storage.TEXT_ROWS)])
+def test_texts_go_to_workers_in_small_batches(spark, before, most):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["rows"])
+
+    default = spark.conf.get(name)
+    spark.conf.set(name, before)
+    try:
+        table = spark.range(3000).coalesce(1).mapInArrow(sizes, "rows bigint")
+        rows = [r["rows"] for r in storage.stored(table, texts=True).collect()]
+        assert sum(rows) == 3000 and max(rows) == most
+        assert spark.conf.get(name) == before  # the caller's again
+    finally:
+        spark.conf.set(name, default)
+
+
 def test_release(spark):
     import os
 
