@@ -15,7 +15,7 @@ from ledgerlake.llm.mixing import mixed_documents
 from ledgerlake.llm.packing import pack_documents
 from ledgerlake.llm.quality_rules import quality_rules, train_quality
 from ledgerlake.llm.small_tables import word_count
-from ledgerlake.llm.storage import shared_folder
+from ledgerlake.llm.storage import few_rows, shared_folder, stored
 
 
 def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
@@ -28,9 +28,11 @@ def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
 def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules and the classifier keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = train_quality(docs.select("doc_id", "text"), labels)
+    with few_rows(spark):
+        model = train_quality(docs.select("doc_id", "text"), labels)
     apart, names = _apart(docs, "text")
-    return quality_rules(apart, model).where("kept").select(*names).toDF(*docs.columns)
+    kept = quality_rules(apart, model).where("kept").select(*names).toDF(*docs.columns)
+    return stored(kept, texts=True)
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
